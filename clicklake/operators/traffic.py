@@ -25,15 +25,26 @@ def event_mix(events: DataFrame, bucket: Column) -> DataFrame:
 
 
 def event_mix_drift(events: DataFrame, bucket: Column, expected: dict[str, float]) -> DataFrame:
-    """Observed minus expected share, per bucket and type; a type missing on either side counts as zero there."""
-    counts = _counts_per_type(events, bucket)
+    """Observed minus expected share, per bucket and type; a type missing on either side counts as zero there.
+
+    The expected types join in as extra rows of each bucket's first type, so the events are read and counted once.
+    """
     scale = sum(expected.values())
-    wanted = F.array(*[F.struct(F.lit(t).alias("event_type"), F.lit(w / scale).alias("wanted")) for t, w in expected.items()])
-    expected_rows = (
-        counts.select("bucket").distinct().select("bucket", F.inline(wanted)).withColumn("events", F.lit(0).cast("bigint"))
+
+    def row(event_type: Column, events: Column, share: Column) -> Column:
+        return F.struct(event_type.alias("event_type"), events.alias("events"), share.alias("expected_share"))
+
+    observed = row(F.col("event_type"), F.col("events"), F.lit(0.0))
+    wanted = [row(F.lit(t), F.lit(0).cast("bigint"), F.lit(w / scale)) for t, w in expected.items()]
+    first_type = F.row_number().over(Window.partitionBy("bucket").orderBy("event_type")) == 1
+    both = (
+        _counts_per_type(events, bucket)
+        .withColumn("first_type", first_type)
+        .select("bucket", F.inline(F.when(F.col("first_type"), F.array(observed, *wanted)).otherwise(F.array(observed))))
+    )
+    merged = both.groupBy("bucket", "event_type").agg(
+        F.sum("events").alias("events"), F.max("expected_share").alias("expected_share")
     )
-    both = counts.withColumn("wanted", F.lit(0.0)).unionByName(expected_rows)
-    merged = both.groupBy("bucket", "event_type").agg(F.sum("events").alias("events"), F.max("wanted").alias("expected_share"))
     return _share(merged).withColumn("drift", F.col("share") - F.col("expected_share"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 import uuid
 
@@ -46,6 +46,11 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     return sibling
 
 
+@functools.cache
+def _local_scratch() -> str:
+    return tempfile.mkdtemp(prefix="clicklake-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder path under the shared folder named by ``spark.checkpoint.dir``.
 
@@ -53,9 +58,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="clicklake-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+        root = _local_scratch()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clicklake.functions.time import iso_text
 from clicklake.operators.conversion import enrich_category
+from clicklake.plans.catalogue import used_catalogue as reduce_catalogue
 from clicklake.session import scratch_dir
 from clicklake.sources import sinks
 from clicklake.sources.files import lake_path, read_messages
@@ -43,13 +44,24 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def used_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of the catalogue that events refer to."""
+    whole = catalogue(spark, sf_dir)
+    path = _once(spark, sf_dir, "catalogue", lambda path: reduce_catalogue(click_events(spark, sf_dir), whole, path))
+    return spark.read.schema(whole.schema).parquet(path)
+
+
 def stocked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue without its oversized parts, so that some products are in no category."""
-    return catalogue(spark, sf_dir).where(F.col("p_size") <= 40)
+    return without_oversized(catalogue(spark, sf_dir))
+
+
+def without_oversized(parts: DataFrame) -> DataFrame:
+    return parts.where(F.col("p_size") <= 40)
 
 
 def categorised_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return enrich_category(click_events(spark, sf_dir), catalogue(spark, sf_dir), fallback=None)
+    return enrich_category(click_events(spark, sf_dir), used_catalogue(spark, sf_dir), fallback=None)
 
 
 def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:

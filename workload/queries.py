@@ -301,7 +301,8 @@ def daily_reports(spark, sf_dir):
 
 @_query
 def enrich_category(spark, sf_dir):
-    labelled = C.enrich_category(feeds.click_events(spark, sf_dir), feeds.stocked(spark, sf_dir))
+    stocked = feeds.without_oversized(feeds.used_catalogue(spark, sf_dir))
+    labelled = C.enrich_category(feeds.click_events(spark, sf_dir), stocked)
     return labelled.select("event_id", "product_id", "category")
 
 
