@@ -1,0 +1,104 @@
+"""The physical plans the operators are written for."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as contract
+from clicklake.operators.conversion import enrich_category
+from clicklake.session import scratch_dir
+from workload import feeds
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def plan_of(spark, plan):
+    return lambda name: plan(contract.queries()[name](spark, SF_DIR))
+
+
+def read_columns(plan):
+    return {c.split(":")[0] for c in re.search(r"ReadSchema: struct<(.*)>", plan)[1].split(",")}
+
+
+def test_no_query_leaves_the_jvm(plan_of):
+    for name in contract.queries():
+        plan = plan_of(name)
+        assert "Python" not in plan and "InPandas" not in plan, name
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
+
+
+@pytest.mark.parametrize(
+    ("name", "columns"),
+    [
+        ("user_activity", {"user_id", "event_type"}),
+        ("user_sessions", {"user_id", "ts"}),
+        ("session_outcomes", {"user_id", "ts", "event_type"}),
+        ("top_products", {"event_type", "props"}),
+        ("event_mix", {"ts", "event_type"}),
+    ],
+)
+def test_only_needed_columns_are_read(plan_of, name, columns):
+    assert read_columns(plan_of(name)) == columns
+
+
+def test_type_filter_reaches_the_scan(plan_of):
+    assert "EqualTo(event_type,view)" in plan_of("top_products")
+    assert "In(event_type, [purchase,view])" in plan_of("flash_sale_alerts") or "In(event_type, [view,purchase])" in plan_of("flash_sale_alerts")
+
+
+def test_top_k_never_sorts_globally(plan_of):
+    assert "TakeOrderedAndProject" in plan_of("top_products")
+    daily = plan_of("daily_top_products")
+    assert daily.count("WindowGroupLimit") == 2 and daily.index("Partial") > daily.index("Final")
+
+
+def test_messages_are_parsed_once(plan_of):
+    assert plan_of("decode_valid_for_alerts").count("from_json") == 1
+    assert plan_of("decode_valid_for_archive").count("from_json") == 1
+
+
+def test_sessions_order_cells_not_events(plan_of):
+    plan = plan_of("user_sessions")
+    assert plan.index("Sort [") < plan.rindex("partial_min") and "SortAggregate" not in plan
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_alert_copies_are_made_of_counts(plan_of):
+    plan = plan_of("flash_sale_alerts")
+    assert plan.index("Expand") < plan.index("partial_count")
+
+
+@pytest.fixture
+def nothing_broadcast(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100b")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_counts_come_before_joins_with_a_large_catalogue(plan_of, nothing_broadcast):
+    for name in ("catalogue_conversion", "daily_catalogue_conversion", "dq_unknown_products", "dq_category_mismatch"):
+        plan = plan_of(name)
+        assert plan.index("SortMergeJoin") < plan.rindex("partial_count"), name
+
+
+def test_mix_reads_events_once(plan_of):
+    assert plan_of("event_mix_drift").count("FileScan") == 1
+
+
+def labelled(spark):
+    return enrich_category(feeds.click_events(spark, SF_DIR), feeds.catalogue(spark, SF_DIR))
+
+
+def test_a_catalogue_under_the_threshold_is_broadcast(spark, plan):
+    assert "BroadcastHashJoin" in plan(labelled(spark))
+
+
+def test_a_catalogue_over_the_threshold_is_not(spark, plan, nothing_broadcast):
+    assert "SortMergeJoin" in plan(labelled(spark))
+
+
+def test_scratch_follows_the_shared_folder(spark):
+    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
