@@ -1,7 +1,9 @@
-"""The daily reports: all days of a range in one run, each input column read once, reports derived from written results."""
+"""The daily reports: all days of a range in one run, reports derived from two written results."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
 
@@ -35,39 +37,36 @@ def _days(table: DataFrame, first, last) -> DataFrame:
     return table.where(F.col("report_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
-def write_segments(events: DataFrame, paths: ReportPaths, first, last, min_views: int = S.WINDOW_SHOPPER_MIN_VIEWS) -> None:
-    """Segments of every user and day under both rules, then the distribution from the written table."""
-    spark = events.sparkSession
+def _at_once(*jobs: Callable[[], None]) -> None:
+    """Run independent Spark jobs side by side, so that small ones fill the gaps of large ones; the first failure is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for done in [pool.submit(job) for job in jobs]:
+            done.result()
+
+
+def write_user_segments(events: DataFrame, paths: ReportPaths, min_views: int = S.WINDOW_SHOPPER_MIN_VIEWS) -> None:
+    """Segments of every user and day, under both rules."""
     users = segments_three_way(daily_user_activity(events), min_views).withColumn("segment_two_way", two_way_segment())
-    sinks.write_table(users.withColumnRenamed("event_date", "report_date"), paths.of("user_segments"))
+    sinks.write_table(users.withColumnRenamed("event_date", sinks.DAY), paths.of("user_segments"))
 
-    written = _days(paths.read(spark, "user_segments"), first, last)
-    summary = segment_summary_lines(segment_distribution(written, "report_date"))
-    ordered = ranked_within(summary, "report_date", order=[F.asc("line")], name="line_no")
-    sinks.write_text_report(ordered, paths.of("segment_summary"))
 
+def write_product_counts(events: DataFrame, paths: ReportPaths) -> None:
+    """Views and purchases per day, product and category: all that the product and category reports need."""
+    counts = activity(events, "event_date", "product_id", "category")
+    sinks.write_table(counts.withColumnRenamed("event_date", sinks.DAY), paths.of("product_counts"))
 
-def write_product_reports(events: DataFrame, paths: ReportPaths, first, last, k: int = S.TOP_K) -> None:
-    """Top products, category conversion, their text and the message body, from one written count per product and day."""
-    spark = events.sparkSession
-    counts = activity(events, "event_date", "product_id", "category").withColumnRenamed("event_date", "report_date")
-    sinks.write_table(counts, paths.of("product_counts"))
 
-    written = _days(paths.read(spark, "product_counts"), first, last)
-    per_product = rolled_up(written, "report_date", "product_id")
-    viewed = per_product.where(F.col("views") > 0).select("report_date", "product_id", F.col("views").alias("view_count"))
-    top = ranked_within(viewed, "report_date", order=[F.desc("view_count"), F.asc("product_id")]).where(F.col("rank") <= k)
-    conversion = with_conversion_rate(rolled_up(written, "report_date", "category"))
+def segment_summary(segments: DataFrame) -> DataFrame:
+    """The distribution as numbered lines per day."""
+    lines = segment_summary_lines(segment_distribution(segments, sinks.DAY))
+    return ranked_within(lines, sinks.DAY, order=[F.asc("line")], name="line_no")
 
-    for write, suffix in ((sinks.write_json_report, "json"), (sinks.write_csv_report, "csv")):
-        write(top, paths.of(f"top_products_{suffix}"), "rank")
-        write(conversion, paths.of(f"category_conversion_{suffix}"), F.desc("conversion_rate"), "category")
 
-    top_lines = top_products_lines(per_product, k, "report_date")
-    rate_lines = conversion_lines(conversion, "report_date")
-    sinks.write_text_report(top_lines, paths.of("top_products_text"))
-    sinks.write_text_report(rate_lines, paths.of("category_conversion_text"))
-    sinks.write_report(daily_report_body(top_lines, rate_lines, paths.of("")), paths.of("body"), "json")
+def top_of_counts(per_product: DataFrame, k: int = S.TOP_K) -> DataFrame:
+    """The k most viewed products of each day from counts per day and product."""
+    viewed = per_product.where(F.col("views") > 0).select(sinks.DAY, "product_id", F.col("views").alias("view_count"))
+    ranked = ranked_within(viewed, sinks.DAY, order=[F.desc("view_count"), F.asc("product_id")])
+    return ranked.where(F.col("rank") <= k)
 
 
 def write_daily_reports(
@@ -79,9 +78,31 @@ def write_daily_reports(
     k: int = S.TOP_K,
     min_views: int = S.WINDOW_SHOPPER_MIN_VIEWS,
 ) -> ReportPaths:
-    """All reports for the days ``first`` to ``last``; days without events yield none, and a rerun replaces its days."""
+    """All reports for the days ``first`` to ``last``; days without events yield none, and a rerun replaces its days.
+
+    The lake is read twice, two columns per user and three per product; the reports come from those two written results.
+    """
     paths = ReportPaths(report_root or lake_root)
     events = read_lake(spark, lake_root, first, last)
-    write_segments(events, paths, first, last, min_views)
-    write_product_reports(events, paths, first, last, k)
+    _at_once(lambda: write_user_segments(events, paths, min_views), lambda: write_product_counts(events, paths))
+
+    segments = _days(paths.read(spark, "user_segments"), first, last)
+    counts = _days(paths.read(spark, "product_counts"), first, last)
+    per_product = rolled_up(counts, sinks.DAY, "product_id")
+    top = top_of_counts(per_product, k)
+    conversion = with_conversion_rate(rolled_up(counts, sinks.DAY, "category"))
+    best_first = (F.desc("conversion_rate"), F.asc("category"))
+    top_lines = top_products_lines(per_product, k, sinks.DAY)
+    rate_lines = conversion_lines(conversion, sinks.DAY)
+    body = daily_report_body(top_lines, rate_lines, paths.of(""))
+    _at_once(
+        lambda: sinks.write_text_report(segment_summary(segments), paths.of("segment_summary")),
+        lambda: sinks.write_json_report(top, paths.of("top_products_json"), "rank"),
+        lambda: sinks.write_csv_report(top, paths.of("top_products_csv"), "rank"),
+        lambda: sinks.write_json_report(conversion, paths.of("category_conversion_json"), *best_first),
+        lambda: sinks.write_csv_report(conversion, paths.of("category_conversion_csv"), *best_first),
+        lambda: sinks.write_text_report(top_lines, paths.of("top_products_text")),
+        lambda: sinks.write_text_report(rate_lines, paths.of("category_conversion_text")),
+        lambda: sinks.write_json_report(body, paths.of("body")),
+    )
     return paths

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 DAY = "report_date"
 
@@ -25,7 +25,7 @@ def write_table(rows: DataFrame, path: str, fmt: str = "parquet", day: str = DAY
     _replace_days(rows.hint("rebalance", day), path, fmt, day, **options)
 
 
-def write_report(rows: DataFrame, path: str, fmt: str, *order: str, day: str = DAY, keep_order: bool = True, **options: str) -> None:
+def write_report(rows: DataFrame, path: str, fmt: str, *order: str | Column, day: str = DAY, keep_order: bool = True, **options: str) -> None:
     """A report with few rows per day (k products, the categories, the segments): one ordered file per day.
 
     Columns named in ``order`` sort the file; with ``keep_order=False`` they are dropped after sorting.
@@ -36,11 +36,11 @@ def write_report(rows: DataFrame, path: str, fmt: str, *order: str, day: str = D
     _replace_days(placed, path, fmt, day, **options)
 
 
-def write_json_report(rows: DataFrame, path: str, *order: str, day: str = DAY) -> None:
+def write_json_report(rows: DataFrame, path: str, *order: str | Column, day: str = DAY) -> None:
     write_report(rows, path, "json", *order, day=day)
 
 
-def write_csv_report(rows: DataFrame, path: str, *order: str, day: str = DAY) -> None:
+def write_csv_report(rows: DataFrame, path: str, *order: str | Column, day: str = DAY) -> None:
     write_report(rows, path, "csv", *order, day=day, header="true")
 
 
