@@ -1,4 +1,5 @@
-"""Jobs for spark-submit: ``archive`` and ``alerts`` (streams from a topic) and ``daily`` (reports for a range of days).
+"""Jobs for spark-submit: ``archive`` and ``alerts`` (streams from a topic), ``daily`` (reports for a range of days),
+``batch`` (reports over a directory of JSON events) and ``inventory`` (what the lake holds).
 
 Storage credentials, cores and memory come from the submit-time configuration.
 """
@@ -6,11 +7,13 @@ Storage credentials, cores and memory come from the submit-time configuration.
 from __future__ import annotations
 
 import argparse
+from datetime import date
 
 from clicklake import schema as S
+from clicklake.plans.batch import write_batch_reports
 from clicklake.plans.daily import write_daily_reports
 from clicklake.session import build_session, stream_session
-from clicklake.sources import kafka
+from clicklake.sources import inventory, kafka
 from clicklake.streaming.alerts import alert_rows, alert_writer, start_alerts
 from clicklake.streaming.archive import start_archive
 from clicklake.streaming.run import wait
@@ -42,13 +45,24 @@ def _parser() -> argparse.ArgumentParser:
     alerts.add_argument("--min-views", type=int, default=S.ALERT_MIN_VIEWS)
     alerts.add_argument("--purchases-below", type=int, default=S.ALERT_PURCHASES_BELOW)
 
-    daily = jobs.add_parser("daily")
-    daily.add_argument("--lake", required=True)
+    days = argparse.ArgumentParser(add_help=False)
+    days.add_argument("--lake", required=True)
+    days.add_argument("--first", required=True)
+    days.add_argument("--last", help="default: the first day only")
+
+    rules = argparse.ArgumentParser(add_help=False)
+    rules.add_argument("--top", type=int, default=S.TOP_K)
+    rules.add_argument("--min-views", type=int, default=S.WINDOW_SHOPPER_MIN_VIEWS)
+
+    daily = jobs.add_parser("daily", parents=[days, rules])
     daily.add_argument("--reports", help="default: beside the lake")
-    daily.add_argument("--first", required=True)
-    daily.add_argument("--last", help="default: the first day only")
-    daily.add_argument("--top", type=int, default=S.TOP_K)
-    daily.add_argument("--min-views", type=int, default=S.WINDOW_SHOPPER_MIN_VIEWS)
+
+    batch = jobs.add_parser("batch", parents=[rules])
+    batch.add_argument("--input", required=True)
+    batch.add_argument("--reports", required=True)
+    batch.add_argument("--report-date", default=date.today().isoformat())
+
+    jobs.add_parser("inventory", parents=[days])
     return parser
 
 
@@ -73,8 +87,14 @@ def main(argv: list[str] | None = None) -> None:
         messages = kafka.read_topic(stream_session(spark, args.state_partitions), _topic_options(args))
         options = kafka.sink_options(args.servers, args.alerts_topic, args.checkpoint)
         wait(start_alerts(alert_writer(alert_rows(messages, rule), args.checkpoint, "kafka", **options), every))
-    else:
+    elif args.job == "daily":
         write_daily_reports(spark, args.lake, args.first, args.last or args.first, args.reports, args.top, args.min_views)
+    elif args.job == "batch":
+        write_batch_reports(spark, args.input, args.reports, args.report_date, args.top, args.min_views)
+    else:
+        known = inventory.partition_metadata(spark, args.lake)
+        presence = inventory.partition_presence(known, args.first, args.last or args.first)
+        presence.orderBy("event_date").show(10_000, truncate=False)
 
 
 if __name__ == "__main__":

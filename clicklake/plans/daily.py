@@ -37,7 +37,7 @@ def _days(table: DataFrame, first, last) -> DataFrame:
     return table.where(F.col("report_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
 
-def _at_once(*jobs: Callable[[], None]) -> None:
+def at_once(*jobs: Callable[[], None]) -> None:
     """Run independent Spark jobs side by side, so that small ones fill the gaps of large ones; the first failure is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:
         for done in [pool.submit(job) for job in jobs]:
@@ -84,7 +84,7 @@ def write_daily_reports(
     """
     paths = ReportPaths(report_root or lake_root)
     events = read_lake(spark, lake_root, first, last)
-    _at_once(lambda: write_user_segments(events, paths, min_views), lambda: write_product_counts(events, paths))
+    at_once(lambda: write_user_segments(events, paths, min_views), lambda: write_product_counts(events, paths))
 
     segments = _days(paths.read(spark, "user_segments"), first, last)
     counts = _days(paths.read(spark, "product_counts"), first, last)
@@ -95,7 +95,7 @@ def write_daily_reports(
     top_lines = top_products_lines(per_product, k, sinks.DAY)
     rate_lines = conversion_lines(conversion, sinks.DAY)
     body = daily_report_body(top_lines, rate_lines, paths.of(""))
-    _at_once(
+    at_once(
         lambda: sinks.write_text_report(segment_summary(segments), paths.of("segment_summary")),
         lambda: sinks.write_json_report(top, paths.of("top_products_json"), "rank"),
         lambda: sinks.write_csv_report(top, paths.of("top_products_csv"), "rank"),

@@ -14,6 +14,8 @@ BATCH_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Also the size of the files a rebalanced write aims at.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more shuffle: a task holding a third of the rows costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -38,7 +40,8 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful streams, so that their settings do not leak into the caller's batch work."""
-    sibling = spark.newSession()
+    # A Connect client has no newSession, but can clone.
+    sibling = spark.newSession() if hasattr(spark, "newSession") else spark.cloneSession()
     for key, value in STREAM_CONF.items():
         sibling.conf.set(key, value)
     if state_partitions is not None:

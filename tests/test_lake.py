@@ -5,6 +5,8 @@ from datetime import date
 
 import pytest
 
+from clicklake import cli
+from clicklake.plans.batch import write_batch_reports
 from clicklake.plans.catalogue import used_catalogue
 from clicklake.plans.daily import write_daily_reports
 from clicklake.sources import files, inventory, sinks
@@ -136,6 +138,32 @@ def test_daily_run_results(spark, reports):
     assert [(r.product_id, r.view_count) for r in top] == sorted(counts.items(), key=lambda c: (-c[1], c[0]))[:5]
 
 
+def test_batch_run(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(FEED))
+    for _ in range(2):  # a rerun replaces
+        paths = write_batch_reports(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2026-05-14", k=3)
+    top = paths.read(spark, "batch_top_products", "json").collect()
+    assert [r.product_id for r in top] == sorted([r.product_id for r in top], key=lambda p: [-x.view_count for x in top if x.product_id == p])
+    assert len(top) == 3 and {str(r.report_date) for r in top} == {"2026-05-14"}
+    assert paths.read(spark, "batch_user_segments", "json").count() == 4
+    statistics = paths.read(spark, "batch_statistics", "json").first()
+    assert (statistics.records_processed, statistics.unique_products, statistics.unique_users) == (120, 7, 4)
+
+
+def test_inventory_job(spark, root, monkeypatch, capsys):
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    cli.main(["inventory", "--lake", root, "--first", "2026-05-12", "--last", "2026-05-13"])
+    shown = capsys.readouterr().out
+    assert "event_date=2026-05-12" in shown and "true" in shown and "false" in shown
+
+
+def test_daily_job(spark, root, monkeypatch, tmp_path):
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    cli.main(["daily", "--lake", root, "--first", "2026-05-13", "--reports", str(tmp_path)])
+    assert spark.read.json(f"{tmp_path}/reports/top_products_json").count() == 5
+
+
 def test_daily_rerun_changes_nothing(spark, root, reports, rows):
     before = {n: rows(reports.read(spark, n, "text")) for n in ("segment_summary", "top_products_text", "category_conversion_text")}
     write_daily_reports(spark, root, DAYS[1], DAYS[1], report_root=reports.root)

@@ -223,6 +223,11 @@ FROM t JOIN c USING (report_date)""",
 UNION ALL SELECT 'top_products_text', report_date, line FROM top_lines
 UNION ALL SELECT 'category_conversion_text', report_date, line FROM rate_lines""",
         ),
+        "batch_reports": _with(
+            _WIRE,
+            f"u AS (SELECT user_id, {_VP} FROM wire GROUP BY 1)",
+            select=f"SELECT *, {_three_way(5)}, DATE '2024-02-01' AS report_date FROM u",
+        ),
         "enrich_category": _with(
             _CLICK,
             _STOCKED,

@@ -17,6 +17,7 @@ from clicklake.operators import segments as G
 from clicklake.operators import sessions as N
 from clicklake.operators import traffic as M
 from clicklake.operators.alerts import flash_sale_alerts as detect
+from clicklake.plans.batch import write_batch_reports
 from clicklake.plans.daily import write_daily_reports
 from clicklake.session import scratch_dir, stream_session
 from clicklake.sources import files, inventory, sinks
@@ -296,6 +297,15 @@ def daily_reports(spark, sf_dir):
     return M.merge_feeds(texts).select(F.col("feed").alias("report"), "report_date", F.col("value").alias("line"))
 
 
+@_query
+def batch_reports(spark, sf_dir):
+    """The plain batch run over a JSON directory; its user segments read back."""
+    root = scratch_dir(spark, "batch")
+    paths = write_batch_reports(spark, feeds.topic(spark, sf_dir), root, "2024-02-01")
+    columns = "user_id string, views bigint, purchases bigint, segment string, report_date date"
+    return spark.read.schema(columns).json(paths.of("batch_user_segments"))
+
+
 # --- traffic and sessions ---------------------------------------------------------------------------------------------
 
 
@@ -394,4 +404,4 @@ def dq_order_violations(spark, sf_dir):
     """Over a feed in which purchases arrive some fifty events late."""
     late = F.when(F.col("event_type") == "purchase", 505).otherwise(0)
     events = feeds.click_events(spark, sf_dir).withColumn("arrival", F.col("event_id") * 10 + late)
-    return Q.order_violations(events, "arrival", chunk=10_000)
+    return Q.order_violations(events, "arrival", chunk=50_000)
