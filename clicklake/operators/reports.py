@@ -33,7 +33,7 @@ def top_products_lines(product_counts: DataFrame, k: int = S.TOP_K, day: str = "
     """
     ranked = ranked_within(product_counts, day, order=[F.desc("views"), F.asc("product_id")]).where(F.col("rank") <= k)
     viewed = F.when(F.col("views") > 0, product_line())
-    return _with_heading(ranked.withColumn("view_count", F.col("views")), day, S.TOP_PRODUCTS_TITLE, viewed)
+    return _with_heading(ranked.withColumn("view_count", F.col("views")), day, S.TOP_PRODUCTS_TITLE.format(k=k), viewed)
 
 
 def conversion_lines(conversion: DataFrame, day: str = "event_date") -> DataFrame:
@@ -47,16 +47,7 @@ def _joined(lines: DataFrame, name: str) -> DataFrame:
     return lines.groupBy("report_date").agg(F.array_join(F.transform(ordered, lambda e: e["line"]), "\n").alias(name))
 
 
-_BODY = """<h3>Daily Analytics Report - %s</h3>
-<p>The daily processing has completed successfully.</p>
-<p><b>1. Top 5 Most Viewed Products:</b></p>
-<pre>%s</pre>
-<p><b>2. Category Conversion Rates:</b></p>
-<pre>%s</pre>
-<p><i>Full datasets available under: %s</i></p>"""
-
-
-def daily_report_body(top_lines: DataFrame, rate_lines: DataFrame, report_root: str) -> DataFrame:
+def daily_report_body(top_lines: DataFrame, rate_lines: DataFrame, report_root: str, k: int = S.TOP_K) -> DataFrame:
     """One message body per day from the two line reports.
 
     Only lines are collected: k + 2 products and the categories + 2 of one day. The line reports themselves stay the form
@@ -68,8 +59,9 @@ def daily_report_body(top_lines: DataFrame, rate_lines: DataFrame, report_root:
         .select(
             "report_date",
             F.format_string(
-                _BODY,
+                S.REPORT_BODY,
                 F.col("report_date").cast("string"),
+                F.lit(k),
                 "top",
                 "rates",
                 F.concat(F.lit(f"{report_root.rstrip('/')}/report_date="), F.col("report_date").cast("string")),

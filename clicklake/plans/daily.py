@@ -94,7 +94,7 @@ def write_daily_reports(
     best_first = (F.desc("conversion_rate"), F.asc("category"))
     top_lines = top_products_lines(per_product, k, sinks.DAY)
     rate_lines = conversion_lines(conversion, sinks.DAY)
-    body = daily_report_body(top_lines, rate_lines, paths.of(""))
+    body = daily_report_body(top_lines, rate_lines, paths.of(""), k)
     at_once(
         lambda: sinks.write_text_report(segment_summary(segments), paths.of("segment_summary")),
         lambda: sinks.write_json_report(top, paths.of("top_products_json"), "rank"),

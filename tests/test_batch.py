@@ -91,6 +91,8 @@ def test_top_products_text(clicks):
     events = clicks(("u", "E100", "view", DAY), ("u", "E100", "view", DAY), ("u", None, "view", DAY), ("u", "Z", "purchase", DAY))
     lines = R.top_products_lines(A.activity(events, "event_date", "product_id"))
     assert text(lines) == ["Top 5 Most Viewed Products:", "-" * 30, "Product: E100 | Views: 2", "Product: None | Views: 1"]
+    one = R.top_products_lines(A.activity(events, "event_date", "product_id"), k=1)
+    assert text(one) == ["Top 1 Most Viewed Products:", "-" * 30, "Product: E100 | Views: 2"]
 
 
 def test_a_day_without_views_keeps_its_heading(clicks):
@@ -133,6 +135,6 @@ def test_report_body(clicks):
     rates = R.conversion_lines(C.category_conversion(events, "event_date"))
     bodies = {str(r.report_date): r.body for r in R.daily_report_body(top, rates, "/r/").collect()}
     assert bodies.keys() == {"2026-05-11", "2026-05-12"}
-    assert "<pre>Top 5 Most Viewed Products:\n" + "-" * 30 + "\nProduct: p | Views: 1</pre>" in bodies["2026-05-11"]
+    assert 'padding: 10px; border: 1px solid #ddd;">' + "Top 5 Most Viewed Products:\n" + "-" * 30 + "\nProduct: p | Views: 1</pre>" in bodies["2026-05-11"]
     assert "Daily Analytics Report - 2026-05-12" in bodies["2026-05-12"]
     assert "/r/report_date=2026-05-12" in bodies["2026-05-12"]

@@ -163,11 +163,11 @@ def all_oracles() -> dict[str, str]:
             "c AS (SELECT report_date, string_agg(line, chr(10) ORDER BY line_no) AS txt FROM rate_lines GROUP BY 1)",
             select="""SELECT report_date, concat_ws(chr(10),
   '<h3>Daily Analytics Report - ' || report_date || '</h3>',
-  '<p>The daily processing has completed successfully.</p>',
+  '<p>The daily processing pipeline has completed successfully.</p>',
   '<p><b>1. Top 5 Most Viewed Products:</b></p>',
-  '<pre>' || t.txt || '</pre>',
+  '<pre style="background: #f4f4f4; padding: 10px; border: 1px solid #ddd;">' || t.txt || '</pre>',
   '<p><b>2. Category Conversion Rates:</b></p>',
-  '<pre>' || c.txt || '</pre>',
+  '<pre style="background: #f4f4f4; padding: 10px; border: 1px solid #ddd;">' || c.txt || '</pre>',
   '<p><i>Full datasets available under: /lake/reports/report_date=' || report_date || '</i></p>') AS body
 FROM t JOIN c USING (report_date)""",
         ),
