@@ -37,9 +37,13 @@ def rule_counts(events: DataFrame, rules: dict[str, Column]) -> DataFrame:
 
 
 def unknown_products(events: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Products (with their number of events) that the catalogue does not list; events are counted before the join."""
+    """Products (with their number of events) that the catalogue does not list.
+
+    An outer join, since Catalyst moves an anti join with a broadcast side below the count, where it meets every event.
+    """
     counts = events.groupBy("product_id").agg(F.count("*").alias("events"))
-    return counts.join(catalogue.select("product_id"), "product_id", "left_anti")
+    listed = catalogue.select("product_id", F.lit(True).alias("listed"))
+    return counts.join(listed, "product_id", "left").where(F.col("listed").isNull()).drop("listed")
 
 
 def duplicate_ids(events: DataFrame, key: str = "event_id") -> DataFrame:

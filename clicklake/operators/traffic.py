@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -48,19 +49,25 @@ def event_mix_drift(events: DataFrame, bucket: Column, expected: dict[str, float
     return _share(merged).withColumn("drift", F.col("share") - F.col("expected_share"))
 
 
-def band_activity(events: DataFrame, time: str = "event_time", band: tuple[float, float] = S.PEAK_BAND) -> DataFrame:
-    """Events per type inside and outside the peak band, the middle of the table's own time range.
+def band_activity(
+    events: DataFrame,
+    time: str = "event_time",
+    band: tuple[float, float] = S.PEAK_BAND,
+    time_range: tuple[datetime | str, datetime | str] | None = None,
+) -> DataFrame:
+    """Events per type inside and outside the peak band, the middle of a time range (both edges included).
 
-    The range is a scalar subquery of one row, so events are compared with two constants and never joined.
+    Without a given range it is the table's own: a scalar subquery of one row, so that events are compared with two constants
+    and never joined.
     """
-    low, high = band
-    span = F.max(micros(time)) - F.min(micros(time))
-    edges = events.agg(
-        F.struct(
-            (F.min(micros(time)) + F.bround(span * F.lit(low)).cast("bigint")).alias("start"),
-            (F.min(micros(time)) + F.bround(span * F.lit(high)).cast("bigint")).alias("end"),
-        ).alias("edges")
-    ).scalar()
+    if time_range is None:
+        first, last = F.min(micros(time)), F.max(micros(time))
+    else:
+        first, last = (micros(F.lit(edge).cast("timestamp")) for edge in time_range)
+    low, high = (first + F.bround((last - first) * F.lit(part)).cast("bigint") for part in band)
+    edges = F.struct(low.alias("start"), high.alias("end"))
+    if time_range is None:
+        edges = events.agg(edges.alias("edges")).scalar()
     labelled = events.select("event_type", micros(time).alias("at"), edges.alias("edges"))
     peak = F.col("at").between(F.col("edges.start"), F.col("edges.end"))
     return labelled.groupBy(F.when(peak, "peak").otherwise("off_peak").alias("band"), "event_type").agg(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from clicklake.session import scratch_dir
 
@@ -16,6 +16,8 @@ def used_catalogue(events: DataFrame, catalogue: DataFrame, path: str | None = N
     """
     spark = events.sparkSession
     path = path or scratch_dir(spark, "catalogue")
-    products = events.select("product_id").distinct()
-    catalogue.join(products, "product_id", "left_semi").write.mode("overwrite").parquet(path)
+    occurring = events.select(F.col("product_id").alias("occurring")).distinct()
+    # Null-safe, so that no not-NULL filter is derived for the events: a product id taken from JSON would be parsed twice.
+    used = catalogue.join(occurring, F.col("product_id").eqNullSafe(F.col("occurring")), "left_semi")
+    used.write.mode("overwrite").parquet(path)
     return spark.read.schema(catalogue.schema).parquet(path)

@@ -77,8 +77,17 @@ def nothing_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+COUNTED_FIRST = ("catalogue_conversion", "daily_catalogue_conversion", "dq_unknown_products", "dq_category_mismatch")
+
+
+def test_counts_come_before_joins(plan_of):
+    for name in COUNTED_FIRST:
+        plan = plan_of(name)
+        assert plan.index("BroadcastHashJoin") < plan.rindex("partial_count"), name
+
+
 def test_counts_come_before_joins_with_a_large_catalogue(plan_of, nothing_broadcast):
-    for name in ("catalogue_conversion", "daily_catalogue_conversion", "dq_unknown_products", "dq_category_mismatch"):
+    for name in COUNTED_FIRST:
         plan = plan_of(name)
         assert plan.index("SortMergeJoin") < plan.rindex("partial_count"), name
 

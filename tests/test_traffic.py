@@ -28,6 +28,12 @@ def test_peak_band_includes_its_edges(clicks):
     assert {r.band: r.events for r in M.band_activity(events).collect()} == {"peak": 3, "off_peak": 4}
 
 
+def test_peak_band_of_a_given_range(clicks):
+    events = clicks(*[("u", "p", "view", f"2026-05-11 10:00:{s:02d}") for s in (0, 8, 12, 13)])
+    given = ("2026-05-11 10:00:00", datetime(2026, 5, 11, 10, 0, 20))
+    assert {r.band: r.events for r in M.band_activity(events, time_range=given).collect()} == {"peak": 2, "off_peak": 2}
+
+
 def test_band_of_one_instant_is_peak(clicks):
     assert [r.band for r in M.band_activity(clicks(("u", "p", "view", "2026-05-11 10:00:00"))).collect()] == ["peak"]
 

@@ -22,8 +22,15 @@ from clicklake.streaming.archive import archive_rows
 _written: dict[tuple[str, str, str], str] = {}
 
 
+# Given schemas spare every query the job that would read a footer.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def click_events(spark: SparkSession, sf_dir: str) -> DataFrame:
