@@ -11,14 +11,17 @@ from clicklake.operators.products import ranked_within
 
 
 def enrich_category(rows: DataFrame, catalogue: DataFrame, fallback: str | None = S.FALLBACK_CATEGORY) -> DataFrame:
-    """Add each product's category; ``fallback`` where the catalogue has none.
+    """Each product's category; where the catalogue has none, the row's own if it carries one, else ``fallback``.
 
     ``rows`` may be events or counts per product. No side is marked for broadcast: Catalyst broadcasts the two catalogue
     columns while their size is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, where adaptive
     execution splits a hot product. ``catalogue`` holds each product once.
     """
-    labelled = rows.join(catalogue.select("product_id", "category"), "product_id", "left")
-    return labelled if fallback is None else labelled.withColumn("category", F.coalesce("category", F.lit(fallback)))
+    listed = catalogue.select("product_id", F.col("category").alias("listed"))
+    choices = [F.col(c) for c in ("listed", "category") if c == "listed" or c in rows.columns]
+    if fallback is not None:
+        choices.append(F.lit(fallback))
+    return rows.join(listed, "product_id", "left").withColumn("category", F.coalesce(*choices)).drop("listed")
 
 
 def with_conversion_rate(counts: DataFrame) -> DataFrame:

@@ -11,8 +11,10 @@ from clicklake.operators.activity import run_statistics, user_activity
 from clicklake.operators.products import top_products
 from clicklake.operators.segments import segments_three_way
 from clicklake.plans.daily import ReportPaths, at_once
+from clicklake.session import size_shuffles
 from clicklake.sources import sinks
 from clicklake.sources.files import read_json_events
+from clicklake.sources.inventory import input_bytes
 
 
 def _dated(rows: DataFrame, day: date | str) -> DataFrame:
@@ -27,8 +29,12 @@ def write_batch_reports(
     k: int = S.TOP_K,
     min_views: int = S.WINDOW_SHOPPER_MIN_VIEWS,
 ) -> ReportPaths:
-    """Reports over everything in the directory, stamped with ``report_date``; a rerun for the date replaces them."""
+    """Reports over everything in the directory, stamped with ``report_date``; a rerun for the date replaces them.
+
+    The session's shuffle partitions are raised to what the input needs.
+    """
     paths = ReportPaths(report_root)
+    size_shuffles(spark, input_bytes(spark, json_path))
     events = read_json_events(spark, json_path)
     top = _dated(top_products(events, k), report_date)
     segments = _dated(segments_three_way(user_activity(events), min_views), report_date)

@@ -16,8 +16,10 @@ from clicklake.operators.conversion import with_conversion_rate
 from clicklake.operators.products import ranked_within
 from clicklake.operators.reports import conversion_lines, daily_report_body, segment_summary_lines, top_products_lines
 from clicklake.operators.segments import segment_distribution, segments_three_way
+from clicklake.session import size_shuffles
 from clicklake.sources import sinks
 from clicklake.sources.files import read_lake
+from clicklake.sources.inventory import lake_bytes
 
 
 @dataclass(frozen=True)
@@ -80,9 +82,11 @@ def write_daily_reports(
 ) -> ReportPaths:
     """All reports for the days ``first`` to ``last``; days without events yield none, and a rerun replaces its days.
 
-    The lake is read twice, two columns per user and three per product; the reports come from those two written results.
+    The lake is read twice, two columns per user and three per product; the reports come from those two written results. The
+    session's shuffle partitions are raised to what the days need.
     """
     paths = ReportPaths(report_root or lake_root)
+    size_shuffles(spark, lake_bytes(spark, lake_root, first, last))
     events = read_lake(spark, lake_root, first, last)
     at_once(lambda: write_user_segments(events, paths, min_views), lambda: write_product_counts(events, paths))
 

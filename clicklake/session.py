@@ -8,14 +8,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Shuffle partitions are left to the cluster and to adaptive execution; stateful streams take theirs as an argument,
-# because the number is fixed for the life of a checkpoint.
+# Adaptive execution merges shuffle partitions but cannot add any: ``size_shuffles`` sets their number from the input. Stateful
+# streams take theirs as an argument, because the number is fixed for the life of a checkpoint.
 BATCH_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Also the size of the files a rebalanced write aims at.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Scans read two or three of the columns, so a split can be larger than the default; small inputs still use every core.
+    "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more shuffle: a task holding a third of the rows costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -38,6 +40,20 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
     return builder.getOrCreate()
 
 
+# What a shuffle carries (a few narrow columns, or counts) is about as large as the columnar input. One partition then fits an
+# executor's memory, and 100 TB make some 100,000 partitions, whose bookkeeping the driver can still hold.
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 1 << 30
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Raise the session's shuffle partitions to what an input of this size needs; never lower them."""
+    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = -(-input_bytes // INPUT_BYTES_PER_SHUFFLE_PARTITION)
+    if wanted > current:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return max(wanted, current)
+
+
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A sibling session for stateful streams, so that their settings do not leak into the caller's batch work."""
     # A Connect client has no newSession, but can clone.

@@ -72,6 +72,14 @@ def test_catalogue_gives_the_same_rates_as_labelled_events(spark, clicks, rows):
     assert {r.category for r in direct.collect()} == {"Electronics", "Clothing", "Sports", "Other"}
 
 
+def test_lookup_falls_back_to_the_own_category_and_then_to_other(spark, clicks, rows):
+    catalogue = spark.createDataFrame([("a", "A"), ("n", None)], "product_id string, category string")
+    events = clicks(*[("u", p, "view", DAY, c) for p, c in [("a", "X"), ("b", "X"), ("b", None), ("n", "Y"), (None, None)]])
+    got = rows(C.enrich_category(events, catalogue).select("event_id", "category"))
+    assert got == [(0, "A"), (1, "X"), (2, "Other"), (3, "Y"), (4, "Other")]
+    assert rows(C.enrich_category(events.drop("category"), catalogue, None).select("category").distinct()) == sorted([("A",), (None,)], key=repr)
+
+
 def test_default_catalogue():
     pairs = S.default_catalogue()
     assert len(pairs) == 25 and pairs[0] == ("E100", "Electronics") and pairs[-1] == ("S504", "Sports")

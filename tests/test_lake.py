@@ -9,6 +9,7 @@ from clicklake import cli
 from clicklake.plans.batch import write_batch_reports
 from clicklake.plans.catalogue import used_catalogue
 from clicklake.plans.daily import write_daily_reports
+from clicklake.session import size_shuffles
 from clicklake.sources import files, inventory, sinks
 from clicklake.streaming.archive import archive_rows
 
@@ -64,6 +65,18 @@ def test_inventory(spark, root, plan):
     assert presence[0].partition == "event_date=2026-05-09" and presence[0].file_count is None
 
 
+def test_shuffles_are_sized_by_the_input(spark, root):
+    assert inventory.lake_bytes(spark, root, "2026-05-12", "2026-05-12") == 0
+    one, all_days = (inventory.lake_bytes(spark, root, DAYS[0], last) for last in (DAYS[0], DAYS[-1]))
+    assert 0 < one < all_days == inventory.input_bytes(spark, root, "*.parquet")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, all_days) == int(before) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 100 * 2**40) == 102_400 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_json_directory_with_given_schema(spark, tmp_path):
     (tmp_path / "a.json").write_text("\n".join(FEED[:3]) + "\nnot json\n")
     rows = files.read_json_events(spark, str(tmp_path)).collect()

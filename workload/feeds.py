@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from clicklake.functions.time import iso_text
 from clicklake.operators.conversion import enrich_category
 from clicklake.plans.catalogue import used_catalogue as reduce_catalogue
-from clicklake.session import scratch_dir
+from clicklake.session import scratch_dir, size_shuffles
 from clicklake.sources import sinks
 from clicklake.sources.files import lake_path, read_messages
+from clicklake.sources.inventory import input_bytes
 from clicklake.streaming.archive import archive_rows
 
 _written: dict[tuple[str, str, str], str] = {}
+_sizes: dict[tuple[str, str], int] = {}
 
 
 # Given schemas spare every query the job that would read a footer.
@@ -71,6 +73,14 @@ def categorised_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich_category(click_events(spark, sf_dir), used_catalogue(spark, sf_dir), fallback=None)
 
 
+def size_shuffles_for(spark: SparkSession, sf_dir: str) -> None:
+    """Size shuffles by the events table, measured once per application."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _sizes:
+        _sizes[key] = input_bytes(spark, f"{sf_dir}/events.parquet")
+    size_shuffles(spark, _sizes[key])
+
+
 def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     """Write a derived feed once per application and give its folder."""
     key = (spark.sparkContext.applicationId, sf_dir, name)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -39,8 +40,13 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
-    _QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
+        feeds.size_shuffles_for(spark, sf_dir)
+        return function(spark, sf_dir)
+
+    _QUERIES[function.__name__] = sized
+    return sized
 
 
 def all_queries() -> dict[str, Query]:
