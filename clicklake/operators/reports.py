@@ -64,7 +64,7 @@ def daily_report_body(top_lines: DataFrame, rate_lines: DataFrame, report_root:
                 F.lit(k),
                 "top",
                 "rates",
-                F.concat(F.lit(f"{report_root.rstrip('/')}/report_date="), F.col("report_date").cast("string")),
+                F.concat(F.lit(f"{report_root.rstrip('/')}/*/report_date="), F.col("report_date").cast("string")),
             ).alias("body"),
         )
     )

@@ -1,4 +1,4 @@
-"""Batch sinks. Reruns replace exactly the days they hold (dynamic partition overwrite)."""
+"""Batch sinks. A rerun replaces exactly the days it has rows for (dynamic partition overwrite)."""
 
 from __future__ import annotations
 

@@ -145,4 +145,4 @@ def test_report_body(clicks):
     assert bodies.keys() == {"2026-05-11", "2026-05-12"}
     assert 'padding: 10px; border: 1px solid #ddd;">' + "Top 5 Most Viewed Products:\n" + "-" * 30 + "\nProduct: p | Views: 1</pre>" in bodies["2026-05-11"]
     assert "Daily Analytics Report - 2026-05-12" in bodies["2026-05-12"]
-    assert "/r/report_date=2026-05-12" in bodies["2026-05-12"]
+    assert "/r/*/report_date=2026-05-12" in bodies["2026-05-12"]

@@ -168,7 +168,7 @@ def all_oracles() -> dict[str, str]:
   '<pre style="background: #f4f4f4; padding: 10px; border: 1px solid #ddd;">' || t.txt || '</pre>',
   '<p><b>2. Category Conversion Rates:</b></p>',
   '<pre style="background: #f4f4f4; padding: 10px; border: 1px solid #ddd;">' || c.txt || '</pre>',
-  '<p><i>Full datasets available under: /lake/reports/report_date=' || report_date || '</i></p>') AS body
+  '<p><i>Full datasets available under: /lake/reports/*/report_date=' || report_date || '</i></p>') AS body
 FROM t JOIN c USING (report_date)""",
         ),
         "flash_sale_alerts": _with(_CLICK, _alerts("click"), select="SELECT * FROM alerts"),
