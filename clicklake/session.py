@@ -17,7 +17,7 @@ BATCH_CONF = {
     # Also the size of the files a rebalanced write aims at.
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     # Scans read two or three of the columns, so a split can be larger than the default; small inputs still use every core.
-    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.files.maxPartitionBytes": "512m",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when that costs one more shuffle: a task holding a third of the rows costs more.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
@@ -40,9 +40,10 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
     return builder.getOrCreate()
 
 
-# What a shuffle carries (a few narrow columns, or counts) is about as large as the columnar input. One partition then fits an
-# executor's memory, and 100 TB make some 100,000 partitions, whose bookkeeping the driver can still hold.
-INPUT_BYTES_PER_SHUFFLE_PARTITION = 1 << 30
+# What a shuffle carries (a few narrow columns, or counts) is about as large as the columnar input: a partition of 2 GiB sorts on
+# an executor with 4 GB per core, spilling little. 100 TB make some 50,000 partitions; many more would cost the driver more in
+# bookkeeping (partitions x scan tasks) than they save, above all for counts with few keys.
+INPUT_BYTES_PER_SHUFFLE_PARTITION = 2 << 30
 
 
 def size_shuffles(spark: SparkSession, input_bytes: int) -> int:

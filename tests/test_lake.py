@@ -72,7 +72,7 @@ def test_shuffles_are_sized_by_the_input(spark, root):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert size_shuffles(spark, all_days) == int(before) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert size_shuffles(spark, 100 * 2**40) == 102_400 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        assert size_shuffles(spark, 100 * 2**40) == 51_200 == int(spark.conf.get("spark.sql.shuffle.partitions"))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
