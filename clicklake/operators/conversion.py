@@ -18,9 +18,9 @@ def enrich_category(rows: DataFrame, catalogue: DataFrame, fallback: str | None
     execution splits a hot product. ``catalogue`` holds each product once.
     """
     listed = catalogue.select("product_id", F.col("category").alias("listed"))
-    choices = [F.col(c) for c in ("listed", "category") if c == "listed" or c in rows.columns]
-    if fallback is not None:
-        choices.append(F.lit(fallback))
+    own = [F.col("category")] if "category" in rows.columns else []
+    last = [] if fallback is None else [F.lit(fallback)]
+    choices = [F.col("listed"), *own, *last]
     return rows.join(listed, "product_id", "left").withColumn("category", F.coalesce(*choices)).drop("listed")
 
 

@@ -28,7 +28,10 @@ lake AS (SELECT *, CAST(event_time AS DATE) AS event_date FROM wire WHERE dated)
 _FIELDS = 'event_id, user_id, product_id, event_type, category, "timestamp", event_time'
 _VP = "count(*) FILTER (event_type = 'view') AS views, count(*) FILTER (event_type = 'purchase') AS purchases"
 _RATE = "CASE WHEN views > 0 THEN CAST(CAST(purchases / views AS FLOAT) AS DOUBLE) ELSE 0.0::DOUBLE END AS conversion_rate"
-_LINE = "printf('Category: %-12s | CR: %5.2f%% (Views: %d, Purchases: %d)', coalesce(nullif(category, ''), 'Other'), conversion_rate * 100, views, purchases)"
+_LINE = (
+    "printf('Category: %-12s | CR: %5.2f%% (Views: %d, Purchases: %d)', "
+    "coalesce(nullif(category, ''), 'Other'), conversion_rate * 100, views, purchases)"
+)
 _DAILY_USERS = f"users AS (SELECT event_date, user_id, {_VP} FROM click GROUP BY ALL)"
 
 
