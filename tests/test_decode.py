@@ -26,6 +26,14 @@ def test_good_event_keeps_numbers_as_text_and_parses_the_time(spark):
     assert row.event_time == datetime(2026, 5, 11, 10, 0, 0, 123456)
 
 
+def test_named_fields_only(spark):
+    feed = messages(spark, GOOD, "not json")
+    assert [r.asDict() for r in decode_events(feed, "category", "event_id").collect()] == [
+        {"category": "Electronics", "event_id": "a"}, {"category": None, "event_id": None},
+    ]
+    assert decode_events(feed, "timestamp").columns == ["timestamp", "event_time"]
+
+
 def test_unreadable_documents_are_rows_of_nulls(spark):
     rows = decode_events(messages(spark, "not json", '{"event_id": "b", "user', None, "")).collect()
     assert [tuple(r) for r in rows] == [(None,) * 7] * 4

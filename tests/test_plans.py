@@ -108,6 +108,18 @@ def test_a_catalogue_over_the_threshold_is_not(spark, plan, nothing_broadcast):
     assert "SortMergeJoin" in plan(labelled(spark))
 
 
+def test_a_cluster_without_a_shared_folder_is_refused():
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session(), "x")
+
+
 def test_scratch_follows_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")

@@ -53,8 +53,8 @@ def all_queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
-def _decoded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.decode_events(files.read_messages(spark, feeds.topic(spark, sf_dir)))
+def _decoded(spark: SparkSession, sf_dir: str, *fields: str) -> DataFrame:
+    return D.decode_events(files.read_messages(spark, feeds.topic(spark, sf_dir)), *fields)
 
 
 # --- decode -----------------------------------------------------------------------------------------------------------
@@ -120,7 +120,7 @@ def segment_distribution(spark, sf_dir):
 
 @_query
 def category_conversion(spark, sf_dir):
-    return C.category_conversion(_decoded(spark, sf_dir))
+    return C.category_conversion(_decoded(spark, sf_dir, "event_type", "category"))
 
 
 @_query
@@ -140,7 +140,7 @@ def daily_catalogue_conversion(spark, sf_dir):
 
 @_query
 def run_statistics(spark, sf_dir):
-    return A.run_statistics(_decoded(spark, sf_dir))
+    return A.run_statistics(_decoded(spark, sf_dir, "user_id", "product_id"))
 
 
 @_query
@@ -384,7 +384,7 @@ def dq_rule_counts(spark, sf_dir):
         "event_type_known": Q.outside_set("event_type", ["view", "click", "purchase"]),
         "timestamp_in_range": Q.bad_time("timestamp", "2024-01-05 00:00:00", "2024-01-25 12:00:00"),
     }
-    return Q.rule_counts(_decoded(spark, sf_dir), rules)
+    return Q.rule_counts(_decoded(spark, sf_dir, "user_id", "event_type", "timestamp"), rules)
 
 
 @_query
@@ -402,7 +402,8 @@ def dq_duplicate_ids(spark, sf_dir):
 
 @_query
 def dq_category_mismatch(spark, sf_dir):
-    return Q.category_mismatches(_decoded(spark, sf_dir), feeds.catalogue(spark, sf_dir))
+    seen = _decoded(spark, sf_dir, "product_id", "category")
+    return Q.category_mismatches(seen, feeds.catalogue(spark, sf_dir))
 
 
 @_query
