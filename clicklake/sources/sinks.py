@@ -49,9 +49,13 @@ def write_text_report(lines: DataFrame, path: str, day: str = DAY) -> None:
     write_report(lines.select(day, "line_no", "line"), path, "text", "line_no", day=day, keep_order=False)
 
 
-def write_time_ordered(events: DataFrame, path: str, time: str = "event_time", tie_break: str = "event_id", fmt: str = "parquet") -> None:
+def write_time_ordered(
+    events: DataFrame, path: str, time: str = "event_time", tie_break: str = "event_id", fmt: str = "parquet"
+) -> None:
     """Events in global time order over the files: range partitions, each sorted.
 
-    The tie-break is part of the range key, so even one instant with very many events is spread.
+    The tie-break and the number of the input partition belong to the range key, so neither one instant with very many events
+    nor very many copies of one event meet in one task.
     """
-    events.repartitionByRange(time, tie_break).sortWithinPartitions(time, tie_break).write.mode("overwrite").format(fmt).save(path)
+    placed = events.withColumn("_input", F.spark_partition_id()).repartitionByRange(time, tie_break, "_input")
+    placed.sortWithinPartitions(time, tie_break).drop("_input").write.mode("overwrite").format(fmt).save(path)

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from clicklake import schema as S
@@ -46,13 +47,32 @@ def test_merge_keeps_all_rows_and_fills_missing_columns(spark, clicks):
     assert [(r.product_id, r.device) for r in merged.where("feed = 'app'").collect()] == [(None, "phone")]
 
 
-def test_time_ordered_files(spark, clicks, tmp_path):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # several files from few rows
+@pytest.fixture
+def many_files(spark):
+    """Several files from few rows."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def written(spark, folder):
+    """Rows per file, in the order of the files."""
+    return [spark.read.parquet(str(f)).collect() for f in sorted(folder.glob("*.parquet"))]
+
+
+def test_time_ordered_files(spark, clicks, tmp_path, many_files):
     events = clicks(*[("u", "p", "view", f"2026-05-11 10:{i * 7 % 60:02d}:00") for i in range(120)])
-    try:
-        sinks.write_time_ordered(events, str(tmp_path / "out"))
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
-    files = sorted((tmp_path / "out").glob("*.parquet"))
-    times = [r.event_time for f in files for r in spark.read.parquet(str(f)).collect()]
+    sinks.write_time_ordered(events, str(tmp_path / "out"))
+    files = written(spark, tmp_path / "out")
+    times = [r.event_time for rows in files for r in rows]
     assert len(files) > 1 and times == sorted(times) and times[0] == datetime(2026, 5, 11, 10) and len(times) == 120
+
+
+def test_copies_of_one_event_are_spread(spark, clicks, tmp_path, many_files):
+    copies = clicks(("u", "p", "view", "2026-05-11 10:30:00")).crossJoin(spark.range(0, 400, 1, 8).select()).repartition(8)
+    others = clicks(*[("u", "p", "view", f"2026-05-11 10:{i:02d}:00") for i in range(60)])
+    sinks.write_time_ordered(copies.unionByName(others), str(tmp_path / "out"))
+    files = written(spark, tmp_path / "out")
+    times = [r.event_time for rows in files for r in rows]
+    assert times == sorted(times) and len(times) == 460
+    assert max(len(rows) for rows in files) < 300
