@@ -10,15 +10,16 @@ that a task run again packs alike. A task holds the open bins only.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
 from clicklake.llm.common import byte_words, written
 
@@ -26,41 +27,101 @@ SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 4096
 LOT = 1 << 24
-CACHED_WORDS = 400_000
-LONG_WORD = 64
+HUGE = 4 << 20
+CACHED_WORDS = 1_000_000
+MARKS = b",.!?;:|"
 VOCABULARY = "word_bpe_49k.json"
 
 
 class WordEncoder:
     """Ids of a text as little-endian bytes. The vocabulary's pre-tokenizer drops white space, so a text's ids are those of its words,
-    and the words met before need no second encoding."""
+    and the words met before need no second encoding.
+
+    A new word that only ends in one mark after a letter or digit is its core and the mark, as letters, digits and other marks never share
+    a token. New cores of letters alone are encoded together: each is one piece there, whose last token closes a word.
+    """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-
-    def _encode(self, words: list[bytes]) -> list[bytes]:
+        # The same model for words that are normalised already: composed, lower case and one piece each.
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def _each(self, words: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
-
-    def learn(self, texts: list[list[bytes]]) -> None:
+        self.known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(words, found, strict=True))
+
+    def _together(self, words: list[bytes], texts: list[str]) -> None:
+        ids = np.array(self.plain.encode(" ".join(texts), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) != len(words):
+            self._each(words)
+            return
+        data, ends = ids.tobytes(), (4 * ends).tolist()
+        self.known.update((w, data[i:j]) for w, i, j in zip(words, [0, *ends], ends, strict=False))
+
+    def learn(self, words: list[bytes]) -> None:
         known = self.known
-        new = {w for words in texts for w in words if w not in known}
-        if len(known) + len(new) > CACHED_WORDS:
+        new = set(words)
+        if len(known) + 2 * len(new) > CACHED_WORDS:
             known.clear()
-            new = {w for words in texts for w in words}
-        new = list(new)
-        for i in range(0, len(new), 4096):
-            part = new[i : i + 4096]
-            known.update(zip(part, self._encode(part), strict=True))
-
-    def ids(self, text: str | None) -> bytes:
-        out = []
-        for words in byte_words((text or "").encode("utf-8", "replace")):
-            if any(w not in self.known for w in words):
-                self.learn([words])
-            out.append(b"".join([self.known[w] for w in words]))
-        return b"".join(out)
+        split, cores = [], set()
+        for word in new:
+            if word[-1] in MARKS and word[-2:-1].isalnum():
+                split.append(word)
+                word = word[:-1]
+            if word not in known:
+                cores.add(word)
+        alone, together, texts = [bytes([m]) for m in MARKS if bytes([m]) not in known], [], []
+        for word in cores:
+            text = word.decode("utf-8", "replace")
+            plain = text.lower() if word.isascii() else unicodedata.normalize("NFC", text).lower()
+            if plain.isalpha() and "ς" not in plain:  # a final sigma is the one letter whose lower case depends on its place
+                together.append(word)
+                texts.append(plain)
+            else:
+                alone.append(word)
+        for i in range(0, len(together), 1024):
+            self._together(together[i : i + 1024], texts[i : i + 1024])
+        self._each(alone)
+        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in split)
+
+    def many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text; new words are learnt for about a MiB of texts at once."""
+        held, size = [], 0
+        for text in texts:
+            data = (text or "").encode("utf-8", "replace")
+            if len(data) > HUGE:  # alone, and its words a MiB at a time
+                yield from self._drain(held)
+                held, size = [], 0
+                yield b"".join(next(self._drain([words])) for words in byte_words(data))
+                continue
+            held.append([w for words in byte_words(data) for w in words])
+            size += len(held[-1])
+            if size > 150_000:
+                yield from self._drain(held)
+                held, size = [], 0
+        yield from self._drain(held)
+
+    def _drain(self, held: list[list[bytes]]) -> Iterator[bytes]:
+        every = [w for words in held for w in words]
+        found = list(map(self.known.get, every))
+        if None in found:
+            self.learn([w for w, ids in zip(every, found, strict=True) if ids is None])
+            for i, ids in enumerate(found):
+                if ids is None:
+                    found[i] = self.known[every[i]]
+        at = 0
+        for words in held:
+            yield b"".join(found[at : at + len(words)])
+            at += len(words)
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -85,8 +146,8 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end
         encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
-                ids = encode.ids(text) + end
+            for doc_id, ids in zip(batch["doc_id"], encode.many(batch["text"]), strict=True):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * size)):
                     part = ids[at : at + 4 * size]
                     rows.append((doc_id, k, k * size, len(part) // 4, zlib.crc32(part), *([part] if keep_ids else [])))
