@@ -25,7 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 64
 SHARE = 1.5
 CAP = 2.0
-RANGE_ROWS = 20_000
+RANGE_ROWS = 2_000
 SHARD_BLOCKS = 1 << 16
 TRIES = 48
 
