@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 # Upper-case letters are lowered before words are taken, so they are no part of the class.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-KELVIN, OTHER = "K", "ĸ"  # the one other letter whose lower case is an ASCII letter; a letter without that
+KELVIN, OTHER = "\u212a", "\u0138"  # the one other letter whose lower case is an ASCII letter; a letter without that
 ANCHORS = 3
 AGREEING = 2
 
@@ -97,7 +97,11 @@ def anchors(template: Template, weight: dict[str, float]) -> list[tuple[str, int
 
 def _share(words: Column, hits: Column, template: Template, weight: dict[str, float]) -> Column:
     """The largest share of the template's weight at a verified start; null if there is none."""
-    starts = [F.transform(_places(words, hits, word), lambda i, at=at: i - at) for word, at in anchors(template, weight)]
+
+    def begins(word: str, at: int) -> Column:
+        return F.transform(_places(words, hits, word), lambda i: i - at)
+
+    starts = [begins(word, at) for word, at in anchors(template, weight)]
     agreed = [F.array_intersect(a, b) for k, a in enumerate(starts) for b in starts[k + 1 :]]
     verified = F.filter(
         F.array_distinct(F.concat(*agreed)), lambda s: (s >= 0) & _stands(words, s + template.key_at, template.key.split())
@@ -126,13 +130,12 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: tup
     every = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
     rows = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     rows = rows.select("doc_id", "words", F.filter(every, lambda i: F.get(words, i).isin(sorted(looked_up))).alias("hits"))
-    places = [
-        F.transform(
-            F.filter(hits, lambda i, p=phrase.split(): _stands(words, i, p)),
-            lambda i, label=label: F.struct(F.lit(label).alias("label"), i.cast("long").alias("first_word")),
-        )
-        for phrase, label in base
-    ]
+
+    def stands_at(phrase: str, label: str) -> Column:
+        found = F.filter(hits, lambda i: _stands(words, i, phrase.split()))
+        return F.transform(found, lambda i: F.struct(F.lit(label).alias("label"), i.cast("long").alias("first_word")))
+
+    places = [stands_at(phrase, label) for phrase, label in base]
     shares = [F.struct(F.lit(t.label).alias("label"), _share(words, hits, t, weight).alias("score")) for t in templates]
     rows = rows.select(
         "doc_id",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from clicklake.llm import licenses
+from clicklake.llm.chat import BEGIN, CONTROL, NAMED, OTHER, OTHER_END, TURNS
 from clicklake.llm.mixing import BLOCK, CAP, SHARE
 
 _MIX = rf"""
@@ -48,5 +50,93 @@ LEFT JOIN got g ON g.doc_id IS NOT DISTINCT FROM s.doc_id AND g.place = s.place
 """
 
 
+
+def _chat_sql() -> str:
+    escaped = r"replace(text, '\', '\\')"
+    for mark in CONTROL:
+        escaped = rf"replace({escaped}, '{mark}', '{mark[0]}\{mark[1:]}')"
+    around = "".join(f"WHEN '{role}' THEN {len(a) + len(b) + 2} " for role, (a, b) in TURNS.items())
+    other = f"{len(OTHER) + len(NAMED) + len(OTHER_END) + 4} + length({escaped.replace('replace(text', 'replace(role')})"
+    return rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       ({len(BEGIN)} + sum(length({escaped}) + CASE role {around}ELSE {other} END))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+def _license_sql() -> str:
+    base = " UNION ALL ".join(f"SELECT '{label}' AS label, {[w for w in phrase.split()]} AS phrase" for phrase, label in licenses.BASE)
+    templates = " UNION ALL ".join(
+        f"SELECT {n} AS t, '{t.label}' AS label, {t.words} AS words, {t.key_at} AS key_at, {t.key.split()} AS key" for n, t in enumerate(licenses.TEMPLATES)
+    )
+    return rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+base AS ({base}),
+templates AS ({templates}),
+slots AS (SELECT t, unnest(range(0, len(words))) AS k, unnest(words) AS word FROM templates),
+vocabulary AS (SELECT DISTINCT word FROM slots),
+seen AS (SELECT r, i, words[i + 1] AS word FROM (SELECT r, words, unnest(range(0, len(words))) AS i FROM docs)),
+found AS (SELECT r, i, word FROM seen WHERE word IN (SELECT word FROM vocabulary)),
+weight AS (
+  SELECT v.word, ln(((SELECT count(*) FROM docs) + 1) / (count(DISTINCT f.r) + 1)) + 1 AS w FROM vocabulary v LEFT JOIN found f ON f.word = v.word GROUP BY v.word),
+anchors AS (
+  SELECT t, word, k FROM (SELECT t, word, min(k) AS k, row_number() OVER (PARTITION BY t ORDER BY any_value(w) DESC, word) AS n FROM slots JOIN weight USING (word) GROUP BY t, word) WHERE n <= {licenses.ANCHORS}),
+starts AS (
+  SELECT f.r, a.t, f.i - a.k AS s FROM found f JOIN anchors a ON f.word = a.word WHERE f.i >= a.k
+  GROUP BY ALL HAVING count(DISTINCT a.word) >= {licenses.AGREEING}),
+verified AS (
+  SELECT s.*, p.label, d.words FROM starts s JOIN templates p USING (t) JOIN docs d USING (r)
+  WHERE d.words[s.s + p.key_at + 1 : s.s + p.key_at + len(p.key)] = p.key),
+shares AS (
+  SELECT v.r, v.label, v.t, v.s, sum(w.w) FILTER (v.words[v.s + l.k + 1] = l.word) / sum(w.w) AS share
+  FROM verified v JOIN slots l USING (t) JOIN weight w USING (word) GROUP BY ALL),
+places AS (
+  SELECT e.r, e.i, b.label FROM base b JOIN seen e ON e.word = b.phrase[1] JOIN docs d ON d.r = e.r WHERE d.words[e.i + 1 : e.i + len(b.phrase)] = b.phrase),
+held AS (SELECT r, count(*) AS n, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY r),
+every AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM places UNION ALL SELECT r, label FROM shares) GROUP BY r),
+best AS (SELECT r, max(share) AS share FROM shares GROUP BY r)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(h.n, 0)::BIGINT AS n_base, h.first_word::BIGINT AS first_word, h.last_word::BIGINT AS last_word,
+       coalesce(h.labels, '') AS base_labels, coalesce(e.labels, '') AS labels,
+       round(CASE WHEN h.n > 0 THEN 1.0::DOUBLE ELSE least(coalesce(b.share, 0), 1)::DOUBLE END, 6) AS score
+FROM docs d LEFT JOIN held h USING (r) LEFT JOIN every e USING (r) LEFT JOIN best b USING (r)
+"""
+
+
+_TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 5
+"""
+
+_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+parts AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, coalesce(p.component_id, e.vec_id) AS component_id, coalesce(p.component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN degrees d ON d.a = e.vec_id LEFT JOIN parts p ON p.a = e.vec_id
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op6_source_mix": _MIX}
+    return {"op3_licenses": _license_sql(), "op4_vector_near_duplicates": _VECTORS, "op5_top_k": _TOP_K, "op6_source_mix": _MIX, "op10_chat_format": _chat_sql()}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import language, mixing, packing, simhash, toxicity
+from clicklake.llm import chat, html, language, licenses, mixing, neighbours, packing, simhash, topk, toxicity
 from clicklake.llm.common import remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +39,23 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(table(spark, sf_dir, "documents")))
+
+
+@_query
+def op4_vector_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return neighbours.near_duplicate_vectors(table(spark, sf_dir, "embeddings"))[0]
+
+
+@_query
+def op5_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @_query
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     draws, documents = mixing.mix(table(spark, sf_dir, "documents"))
@@ -52,6 +69,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+@_query
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @_query
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
@@ -59,3 +83,16 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     network = language.fit(docs.where(~held_out))
     return language.identify(docs, network).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def _chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The conversations, and one more whose texts look like control strings."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    own = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    return turns.unionByName(own).select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))
+
+
+@_query
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.digest(chat.read_back(chat.format_chats(_chats(spark, sf_dir))))
