@@ -1,0 +1,108 @@
+import math
+import random
+
+from pyspark.sql import functions as F
+
+from clicklake.llm import mixing
+
+
+def brute_targets(sizes, weights=(3, 1, 2)):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % 3] for i, s in enumerate(order)}
+    target, open_, rest = {}, set(order), 1.5 * sum(sizes.values())
+    while open_:
+        share = rest / sum(weight[s] for s in open_)
+        over = {s for s in open_ if share * weight[s] > 2 * sizes[s]}
+        if not over:
+            return target | {s: share * weight[s] for s in open_}
+        target |= {s: 2.0 * sizes[s] for s in over}
+        rest -= sum(target[s] for s in over)
+        open_ -= over
+    return target
+
+
+def corpus(documents, seed=1, n=120):
+    rng = random.Random(seed)
+    sources = [None, "", "a", "b", "é", "z", "hot"]
+    rows = [(i, " ".join(["w"] * rng.choice([0, 1, 3, 50, 700])), "en", "hot" if i % 3 == 0 else rng.choice(sources)) for i in range(n)]
+    return documents(*rows)
+
+
+def test_targets_sizes_and_caps(documents):
+    docs = corpus(documents)
+    draws, held = mixing.mix(docs, block=8)
+    found = {r["doc_id"]: r for r in mixing.taken(draws, held).collect()}
+    rows, sizes = docs.collect(), {}
+    for r in rows:
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(r["text"].split())
+    expected, taken = brute_targets(sizes), {}
+    for r in rows:
+        f = found[r["doc_id"]]
+        assert f["size"] == len(r["text"].split()) and f["source_size"] == sizes[r["source"]] and f["taken"] <= 2 * f["size"]
+        assert math.isclose(f["target"], expected[r["source"]], rel_tol=1e-12)
+        taken[r["source"]] = taken.get(r["source"], 0) + f["taken"]
+    assert all(abs(taken[s] - expected[s]) <= 12 for s in sizes)
+
+
+def test_shards_are_even_and_own_each_draw_once(documents):
+    draws, _ = mixing.mix(corpus(documents), block=8, shard_blocks=300)
+    rows = draws.collect()
+    blocks = {(r["source"], r["pass"], r["block"]): set() for r in rows}
+    for r in rows:
+        blocks[r["source"], r["pass"], r["block"]].add(r["shard"])
+    assert all(len(s) == 1 for s in blocks.values())
+    sizes = {}
+    for (shard,) in blocks.values():
+        sizes[shard] = sizes.get(shard, 0) + 1
+    assert len(sizes) > 4 and max(sizes.values()) - min(sizes.values()) <= 3
+    for shard in sizes:
+        places = sorted(r["position"] for r in rows if r["shard"] == shard)
+        assert places == list(range(1, len(places) + 1))
+    again = mixing.mix(corpus(documents).repartition(5), block=8, shard_blocks=300)[0].collect()
+    assert sorted(map(repr, rows)) == sorted(map(repr, again))
+
+
+def test_hypergeometric_draws_have_the_right_moments(spark):
+    frame = spark.range(4000).select(mixing._hypergeometric(F.lit(30.0), F.lit(70.0), F.lit(50.0), [F.lit(9), F.col("id")]).alias("x"))
+    stats = frame.agg(F.avg("x"), F.var_samp("x"), F.min("x"), F.max("x")).first()
+    assert abs(stats[0] - 15) < 0.2 and abs(stats[1] - 30 * 0.7 * 50 / 99) < 0.4 and 0 <= stats[2] and stats[3] <= 30
+
+
+def test_quotas_are_kept_by_the_tree(spark):
+    quotas = spark.createDataFrame([("a", 1000), ("b", 7), (None, 400), ("c", 1)], "source string, quota long")
+    found = mixing.shard_quotas(quotas, 3).collect()
+    total = {}
+    for r in found:
+        assert r["quota"] >= 0
+        total[r["source"]] = total.get(r["source"], 0) + r["quota"]
+    assert total == {"a": 1000, "b": 7, None: 400, "c": 1}
+    shards = {}
+    for r in found:
+        shards[r["shard"]] = shards.get(r["shard"], 0) + r["quota"]
+    assert len(shards) == 8 and max(shards.values()) - min(shards.values()) <= 1
+
+
+def test_mixed_texts_are_parts_of_their_documents(documents):
+    docs = corpus(documents).withColumn("text", F.concat(F.lit("\n "), "text", F.lit("\tend ")))
+    text = {r["doc_id"]: r["text"] for r in docs.collect()}
+    rows = mixing.mixed_documents(docs, block=8).collect()
+    draws, held = mixing.mix(docs, block=8)
+    taken = {r["doc_id"]: r["taken"] for r in mixing.taken(draws, held).collect()}
+    got = {}
+    for r in rows:
+        assert r["text"] in text[r["doc_id"]] and r["n_chars"] == len(r["text"])
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(r["text"].split())
+    assert got == {i: n for i, n in taken.items() if n}
+
+
+def test_odd_rows(odd):
+    found = mixing.taken(*mixing.mix(odd)).collect()
+    assert len(found) == odd.count()
+    assert all(r["taken"] <= 2 * r["size"] for r in found)
+    assert {r["doc_id"]: r["size"] for r in found if r["doc_id"] in (1, 2, 3, 4, 8)} == {1: 0, 2: 0, 3: 0, 4: 3, 8: 3}
+    assert mixing.mixed_documents(odd).columns == odd.columns
+
+
+def test_no_rows(documents):
+    assert mixing.taken(*mixing.mix(documents())).count() == 0
+    assert mixing.mixed_documents(documents()).count() == 0
