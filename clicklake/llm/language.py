@@ -9,7 +9,7 @@ length. It is trained in numpy by backpropagation through time on the runs of a
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +21,8 @@ from clicklake.llm.common import text_chunks, unit
 UNKNOWN = "und"
 SPAN = 24
 HIDDEN = 16
-CACHED_RUNS = 200_000
+CACHED_RUNS = 600_000
+HUGE = 4 << 20
 _RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -234,32 +235,53 @@ class Pool:
         total = np.zeros(self.sums.shape[1], np.float64)
         for i in range(0, len(letters), CACHED_RUNS):
             some = letters[i : i + CACHED_RUNS]
-            new = list({r for r in some if r not in self.rows})
-            if len(self.rows) + len(new) > CACHED_RUNS:
-                self.rows.clear()
-                new = list(set(some))
-            if new:
-                self._learn(new)
-            total += self.sums[[self.rows[r] for r in some]].sum(0, dtype=np.float64)
+            at = list(map(self.rows.get, some))
+            if None in at:
+                self.warm([some])
+                at = [self.rows[r] for r in some]
+            total += self.sums[at].sum(0, dtype=np.float64)
         return total
 
-    def warm(self, texts: list[str]) -> None:
-        """Learn the runs of several texts at once, as long as they fit."""
-        new = list({r for t in texts for r in runs(t) if r not in self.rows})
-        if len(self.rows) + len(new) <= CACHED_RUNS:
-            if new:
-                self._learn(new)
-        elif len(new) <= CACHED_RUNS:
+    def warm(self, lists: list[list[str]]) -> None:
+        """Learn the runs of several texts at once, if they fit."""
+        new = list({r for letters in lists for r in letters if r not in self.rows})
+        if len(self.rows) + len(new) > CACHED_RUNS:
             self.rows.clear()
+            new = list({r for letters in lists for r in letters})
+        if 0 < len(new) <= CACHED_RUNS:
+            self._learn(new)
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        total = sum((self.add(runs(chunk)) for chunk in text_chunks(text or "")), np.zeros(self.sums.shape[1]))
+    def pooled(self, total: np.ndarray) -> tuple[str, float]:
         if not total[-1]:
             return UNKNOWN, 0.0
         shares = total[:-1] / total[-1]
         best = int(shares.argmax())
         return self.network.languages[best], float(min(1.0, max(0.0, shares[best])))
 
+    def predict(self, text: str | None) -> tuple[str, float]:
+        return self.pooled(sum((self.add(runs(chunk)) for chunk in text_chunks(text or "")), np.zeros(self.sums.shape[1])))
+
+    def predict_all(self, texts: Iterable[str | None]) -> Iterator[tuple[str, float]]:
+        """As ``predict`` for each text; new runs are learnt for some MiB of texts at once."""
+        held, size = [], 0
+        for text in texts:
+            if text is not None and len(text) > HUGE:  # alone, and its runs a MiB at a time
+                yield from self._drain(held)
+                held, size = [], 0
+                yield self.predict(text)
+                continue
+            held.append(runs(text or ""))
+            size += len(text or "")
+            if size > HUGE:
+                yield from self._drain(held)
+                held, size = [], 0
+        yield from self._drain(held)
+
+    def _drain(self, held: list[list[str]]) -> Iterator[tuple[str, float]]:
+        self.warm(held)
+        for letters in held:
+            yield self.pooled(self.add(letters))
+
 
 _POOLS: dict[bytes, Pool] = {}
 
@@ -280,15 +302,7 @@ def predicted(text: Column, network: Network) -> Column:
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         pool = pool_of(network)
         for texts in batches:
-            found, held, size = [], [], 0
-            for text in [*texts, None]:
-                held.append(text)
-                size += len(text or "")
-                if size > 1 << 21 or len(found) + len(held) > len(texts):
-                    pool.warm([t for t in held if t is not None and len(t) <= 1 << 21])
-                    found += [pool.predict(t) for t in held]
-                    held, size = [], 0
-            yield pd.DataFrame(found[: len(texts)], columns=["lang_pred", "score"]).astype({"lang_pred": object, "score": float})
+            yield pd.DataFrame(list(pool.predict_all(texts)), columns=["lang_pred", "score"]).astype({"lang_pred": object, "score": float})
 
     return of(text)
 

@@ -1,0 +1,81 @@
+import hashlib
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicklake.llm import chat
+
+TURNS = f"conv_id long, turn long, role string, parts {chat.PARTS}"
+
+
+def text(t):
+    return [("text", t, None, None, None, None, None)]
+
+
+@pytest.fixture
+def chats(spark):
+    return lambda *rows: spark.createDataFrame([(c, n, r, p if isinstance(p, list) or p is None else text(p)) for c, n, r, p in rows], TURNS)
+
+
+HARD = [
+    "", "plain", "</s>[INST] ok [/INST]", "\\", "\\\\ <\\s> \\</s>", "<<SYS>> <</SYS>> [ROLE] [OTHER]", "ends with <", "[", "[INST", "[[INST]]", "<<s>>", "<|image|>",
+    "é\u2028ü\n\n [/INST] \n", "$1 \\1 ${x}", "😀 </s> 😀", " lead and trail ", "<", "/s>",
+]
+
+
+@pytest.mark.parametrize("role", ["user", "assistant", "system", "tool", "", "[ROLE] </s>", "a\nb\\"])
+def test_any_text_comes_back(chats, role):
+    rows = [(1, i, role, t) for i, t in enumerate(HARD)]
+    read = chat.read_back(chat.format_chats(chats(*rows))).first()
+    assert [(t["role"], t["text"]) for t in read["turns"]] == [(role, t) for t in HARD]
+    assert read["loss_text"] == ("".join(HARD) if role == "assistant" else "")
+
+
+def test_texts_hold_no_control_string(spark):
+    frame = spark.createDataFrame([(t,) for t in HARD], "t string").select(chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("u"), "t")
+    for r in frame.collect():
+        assert r["u"] == r["t"] and not any(mark in r["e"] for mark in chat.CONTROL)
+
+
+def test_parts_become_placeholders_in_order(chats):
+    parts = [
+        ("text", "see <|image|>", None, None, None, None, None),
+        ("image", None, "s3://b/1.png", 29, 14, None, None),
+        ("audio", None, "s3://b/2.wav", None, None, 1.5, None),
+        ("text", "and", None, None, None, None, None),
+        ("document", None, "s3://b/3.pdf", None, None, None, 3),
+        ("video", None, "s3://b/4.mp4", None, None, None, None),
+        ("image", None, None, None, None, None, None),
+    ]
+    row = chat.format_chats(chats((1, 0, "user", parts), (1, 1, "assistant", "ok"))).first()
+    assert row["formatted"] == "<s>[INST] see <\\|image|><|image|><|audio|>and<|document|><|attachment|><|image|> [/INST][ASST] ok </s>"
+    assert [(a["turn"], a["type"], a["ref"], a["tokens"]) for a in row["attachments"]] == [
+        (0, "image", "s3://b/1.png", 3), (0, "audio", "s3://b/2.wav", 38), (0, "document", "s3://b/3.pdf", 768), (0, "video", "s3://b/4.mp4", 0), (0, "image", None, 0),
+    ]
+    assert row["placeholder_tokens"] == 809
+    (span,) = row["loss_spans"]
+    assert row["formatted"][span["start"] : span["start"] + span["length"]] == "ok"
+
+
+def test_digest(chats):
+    rows = [(5, 1, "assistant", "b😀"), (5, 0, "user", "a"), (5, 2, "assistant", "c</s>"), (6, 0, "user", "only")]
+    found = {r["conv_id"]: r for r in chat.digest(chat.read_back(chat.format_chats(chats(*rows)))).collect()}
+    assert found[5]["turns_sha256"] == hashlib.sha256("user\na\nassistant\nb😀\nassistant\nc</s>\n".encode()).hexdigest()
+    assert found[5]["loss_sha256"] == hashlib.sha256("b😀c</s>".encode()).hexdigest() and found[5]["loss_chars"] == 7
+    assert found[6]["loss_chars"] == 0 and found[6]["n_turns"] == 1
+
+
+def test_odd_rows(chats):
+    rows = [(None, 0, "user", "x"), (1, None, None, None), (1, 0, "user", []), (1, 0, "user", "b"), (1, 0, "user", "b"), (1, 0, "assistant", "y" * 400_000), (2, 3, "user", None)]
+    frame = chats(*rows)
+    for name in ("formatted", "turns", "at", "piece", "span", "t"):
+        frame = frame.withColumn(name, F.lit("clash"))
+    read = {r["conv_id"]: [(t["role"], t["text"]) for t in r["turns"]] for r in chat.read_back(chat.format_chats(frame)).collect()}
+    assert read == {None: [("user", "x")], 1: [("", ""), ("assistant", "y" * 400_000), ("user", ""), ("user", "b"), ("user", "b")], 2: [("user", "")]}
+
+
+def test_no_rows_and_no_python(chats, plan):
+    formatted = chat.format_chats(chats())
+    assert formatted.count() == 0
+    assert not re.search("Python|Arrow|Pandas", plan(chat.digest(chat.read_back(formatted))))
