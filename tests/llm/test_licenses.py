@@ -27,7 +27,7 @@ def test_templates_need_their_key_phrase_and_two_anchors(documents):
         1: "x y Released under the MIT License. and Licensed under the Apache License, Version 2.0!",
         2: "released under the mitt license",
         3: "the license of mit",
-        4: "distributed under MIT license",
+        4: "Released under an MIT license",
         5: "This work is licensed under the GNU General Public License, version 3.",
         6: "Licensed under CC BY-NC 4.0.",
         7: "\u212a" + "released under the mit license",

@@ -65,7 +65,7 @@ def test_shards_are_even_and_own_each_draw_once(documents):
 def test_hypergeometric_draws_have_the_right_moments(spark):
     frame = spark.range(4000).select(mixing._hypergeometric(F.lit(30.0), F.lit(70.0), F.lit(50.0), [F.lit(9), F.col("id")]).alias("x"))
     stats = frame.agg(F.avg("x"), F.var_samp("x"), F.min("x"), F.max("x")).first()
-    assert abs(stats[0] - 15) < 0.2 and abs(stats[1] - 30 * 0.7 * 50 / 99) < 0.4 and 0 <= stats[2] and stats[3] <= 30
+    assert abs(stats[0] - 15) < 0.2 and abs(stats[1] - 50 * 0.3 * 0.7 * 50 / 99) < 0.4 and 0 <= stats[2] and stats[3] <= 30
 
 
 def test_quotas_are_kept_by_the_tree(spark):
