@@ -19,6 +19,9 @@ from clicklake.streaming.archive import start_archive
 from clicklake.streaming.run import wait
 
 
+BACKFILL_OFFSETS = 20_000_000
+
+
 def _parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="clicklake")
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -26,7 +29,8 @@ def _parser() -> argparse.ArgumentParser:
     topic = argparse.ArgumentParser(add_help=False)
     topic.add_argument("--servers", required=True, help="Kafka bootstrap servers")
     topic.add_argument("--topic", default="clickstream-events")
-    topic.add_argument("--starting-offsets", default="latest")
+    topic.add_argument("--starting-offsets", help="default: latest, or earliest with --backfill")
+    topic.add_argument("--allow-data-loss", action="store_true", help="go on when offsets have aged out of the topic")
     topic.add_argument("--max-offsets-per-trigger", type=int)
     topic.add_argument("--min-partitions", type=int)
     topic.add_argument("--backfill", action="store_true", help="process what is available, then end")
@@ -62,16 +66,21 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--reports", required=True)
     batch.add_argument("--report-date", default=date.today().isoformat())
 
-    jobs.add_parser("inventory", parents=[days])
+    inventory_of = jobs.add_parser("inventory", parents=[days])
+    inventory_of.add_argument("--output", required=True, help="folder for one JSON row per day; replaced")
     return parser
 
 
 def _topic_options(args: argparse.Namespace) -> dict[str, str]:
+    """A backfill starts at the beginning unless told otherwise; that of the alerts goes in bounded batches, since the watermark, and
+    with it the state, moves on between batches only."""
+    bound = BACKFILL_OFFSETS if args.backfill and args.job == "alerts" else None
     return kafka.source_options(
         args.servers,
         args.topic,
-        args.starting_offsets,
-        max_offsets_per_trigger=args.max_offsets_per_trigger,
+        args.starting_offsets or ("earliest" if args.backfill else "latest"),
+        fail_on_data_loss=not args.allow_data_loss,
+        max_offsets_per_trigger=args.max_offsets_per_trigger or bound,
         min_partitions=args.min_partitions,
     )
 
@@ -94,7 +103,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         known = inventory.partition_metadata(spark, args.lake)
         presence = inventory.partition_presence(known, args.first, args.last or args.first)
-        presence.orderBy("event_date").show(10_000, truncate=False)
+        presence.orderBy("event_date").write.mode("overwrite").json(args.output)
+        print(args.output)
 
 
 if __name__ == "__main__":

@@ -34,10 +34,10 @@ def product_view_counts(events: DataFrame, *keys: str) -> DataFrame:
     return events.where(F.col("event_type") == S.VIEW).groupBy(*keys, "product_id").agg(F.count("*").alias("view_count"))
 
 
-def run_statistics(events: DataFrame, approximate: bool = False) -> DataFrame:
-    """Records, distinct products and distinct users of a run; NULL is not counted as a product or a user."""
+def run_statistics(events: DataFrame, *keys: str, approximate: bool = False) -> DataFrame:
+    """Records, distinct products and distinct users of a run, or of each day or other key; NULL is not counted as a product or a user."""
     distinct = F.approx_count_distinct if approximate else F.count_distinct
-    return events.agg(
+    return events.groupBy(*keys).agg(
         F.count("*").alias("records_processed"),
         distinct("product_id").alias("unique_products"),
         distinct("user_id").alias("unique_users"),

@@ -10,15 +10,21 @@ from clicklake.operators.activity import activity, rolled_up
 from clicklake.operators.products import ranked_within
 
 
+def unique_products(catalogue: DataFrame) -> DataFrame:
+    """(product_id, category), each product once: of several categories the alphabetically first one that is not empty."""
+    named = F.nullif(F.col("category"), F.lit(""))
+    return catalogue.groupBy("product_id").agg(F.min(named).alias("category"))
+
+
 def enrich_category(rows: DataFrame, catalogue: DataFrame, fallback: str | None = S.FALLBACK_CATEGORY) -> DataFrame:
     """Each product's category; where the catalogue has none, the row's own if it carries one, else ``fallback``.
 
     ``rows`` may be events or counts per product. No side is marked for broadcast: Catalyst broadcasts the two catalogue
     columns while their size is below ``spark.sql.autoBroadcastJoinThreshold`` and otherwise sort-merges, where adaptive
-    execution splits a hot product. ``catalogue`` holds each product once.
+    execution splits a hot product. An empty category is none.
     """
-    listed = catalogue.select("product_id", F.col("category").alias("listed"))
-    own = [F.col("category")] if "category" in rows.columns else []
+    listed = unique_products(catalogue).withColumnRenamed("category", "listed")
+    own = [F.nullif(F.col("category"), F.lit(""))] if "category" in rows.columns else []
     last = [] if fallback is None else [F.lit(fallback)]
     choices = [F.col("listed"), *own, *last]
     return rows.join(listed, "product_id", "left").withColumn("category", F.coalesce(*choices)).drop("listed")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake.functions.time import parsed_time
+from clicklake.operators.conversion import unique_products
 
 
 def missing_fields(events: DataFrame, fields: list[str]) -> DataFrame:
@@ -42,30 +43,32 @@ def unknown_products(events: DataFrame, catalogue: DataFrame) -> DataFrame:
     An outer join, since Catalyst moves an anti join with a broadcast side below the count, where it meets every event.
     """
     counts = events.groupBy("product_id").agg(F.count("*").alias("events"))
-    listed = catalogue.select("product_id", F.lit(True).alias("listed"))
+    listed = catalogue.select("product_id").distinct().withColumn("listed", F.lit(True))
     return counts.join(listed, "product_id", "left").where(F.col("listed").isNull()).drop("listed")
 
 
 def duplicate_ids(events: DataFrame, key: str = "event_id") -> DataFrame:
+    """Keys seen more than once; NULL is a key like any other here, and ``missing_fields`` counts it by itself."""
     return events.groupBy(key).agg(F.count("*").alias("copies")).where(F.col("copies") > 1)
 
 
 def category_mismatches(events: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Categories seen on events that differ from the catalogue's for the same product; events are counted before the join."""
     seen = events.groupBy("product_id", "category").agg(F.count("*").alias("events"))
-    expected = catalogue.select("product_id", F.col("category").alias("expected_category"))
+    expected = unique_products(catalogue).withColumnRenamed("category", "expected_category")
     return seen.join(expected, "product_id").where(~F.col("category").eqNullSafe(F.col("expected_category")))
 
 
 def order_violations(events: DataFrame, arrival: str = "event_id", time: str = "event_time", chunk: int = 1_000_000) -> DataFrame:
     """Per user: events, and how many lie before the event that arrived just ahead of them.
 
-    ``arrival`` is an integer that grows with arrival. Copies of one arrival are merged map-side first; then arrivals are
-    compared within (user, chunk of arrival numbers), so no task orders more than ``chunk`` rows of a user; last, the
+    ``arrival`` is an integer that grows with arrival. Events are shuffled once, by (user, chunk of arrival numbers): there copies of
+    one arrival are merged, and arrivals compared, so no task orders more than ``chunk`` arrivals of a user; last, the
     chunks' edges are compared. The result is that of one ordering per user.
     """
-    arrivals = events.groupBy("user_id", F.floor(F.col(arrival) / F.lit(chunk)).alias("chunk"), F.col(arrival).alias("arrival")).agg(
-        F.min(time).alias("first"), F.max(time).alias("last"), F.count("*").alias("copies")
+    narrow = events.select("user_id", F.floor(F.col(arrival) / F.lit(chunk)).alias("chunk"), F.col(arrival).alias("arrival"), F.col(time).alias("at"))
+    arrivals = narrow.repartition("user_id", "chunk").groupBy("user_id", "chunk", "arrival").agg(
+        F.min("at").alias("first"), F.max("at").alias("last"), F.count("*").alias("copies")
     )
     in_chunk = Window.partitionBy("user_id", "chunk").orderBy("arrival")
     compared = arrivals.withColumn("before", F.lag("last").over(in_chunk)).withColumn(

@@ -6,18 +6,18 @@ map-side, and only the cells are put in order per user: at most time range / gap
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clicklake import schema as S
 from clicklake.functions.time import MICROS, micros, time_cell
 
 
-def _session_cells(events: DataFrame, gap_seconds: int, time: str, *more_keys: str) -> DataFrame:
-    """Per (user, cell, more keys): first and last time, events, and the number of the user's session."""
+def _session_cells(events: DataFrame, gap_seconds: int, time: str, *more: Column) -> DataFrame:
+    """Per (user, cell): first and last time, events, more aggregates, and the number of the user's session."""
     cells = (
         events.where(F.col(time).isNotNull())
-        .groupBy("user_id", time_cell(time, gap_seconds).alias("cell"), *more_keys)
-        .agg(F.min(time).alias("first"), F.max(time).alias("last"), F.count("*").alias("n"))
+        .groupBy("user_id", time_cell(time, gap_seconds).alias("cell"))
+        .agg(F.min(time).alias("first"), F.max(time).alias("last"), F.count("*").alias("n"), *more)
     )
     by_time = Window.partitionBy("user_id").orderBy("first")
     earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
@@ -45,19 +45,22 @@ def session_outcomes(
     time: str = "event_time",
     cart_type: str = S.CART,
     purchase_type: str = S.PURCHASE,
+    order: str = "event_id",
 ) -> DataFrame:
     """How each session ended: last event type, was anything put in the cart, was the last event a purchase.
 
-    Of event types at the very same instant the alphabetically last one counts as the last.
+    Of events at the very same instant the one with the largest ``order`` is the last.
     """
-    cells = _session_cells(events, gap_seconds, time, "event_type")
+    latest = F.struct(F.col(time).alias("time"), F.col(order).alias("order"), F.col("event_type").alias("event_type"))
+    cart = F.coalesce(F.bool_or(F.col("event_type") == cart_type), F.lit(False))
+    cells = _session_cells(events, gap_seconds, time, F.max(latest).alias("latest"), cart.alias("cart"))
     return (
         cells.groupBy("user_id", "session_no")
         .agg(
             F.min("first").alias("session_start"),
             F.sum("n").alias("events"),
-            F.max_by("event_type", F.struct("last", "event_type")).alias("last_event_type"),
-            F.coalesce(F.bool_or(F.col("event_type") == cart_type), F.lit(False)).alias("has_cart"),
+            F.max("latest").getField("event_type").alias("last_event_type"),
+            F.bool_or("cart").alias("has_cart"),
         )
         .withColumn("ends_in_purchase", F.col("last_event_type").eqNullSafe(purchase_type))
         .drop("session_no")

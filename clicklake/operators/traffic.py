@@ -55,7 +55,7 @@ def band_activity(
     band: tuple[float, float] = S.PEAK_BAND,
     time_range: tuple[datetime | str, datetime | str] | None = None,
 ) -> DataFrame:
-    """Events per type inside and outside the peak band, the middle of a time range (both edges included).
+    """Events per type inside and outside the peak band, the middle of a time range (both edges included); events without a time are in neither.
 
     Without a given range it is the table's own: a scalar subquery of one row, so that events are compared with two constants
     and never joined.
@@ -68,7 +68,7 @@ def band_activity(
     edges = F.struct(low.alias("start"), high.alias("end"))
     if time_range is None:
         edges = events.agg(edges.alias("edges")).scalar()
-    labelled = events.select("event_type", micros(time).alias("at"), edges.alias("edges"))
+    labelled = events.where(F.col(time).isNotNull()).select("event_type", micros(time).alias("at"), edges.alias("edges"))
     peak = F.col("at").between(F.col("edges.start"), F.col("edges.end"))
     return labelled.groupBy(F.when(peak, "peak").otherwise("off_peak").alias("band"), "event_type").agg(
         F.count("*").alias("events")

@@ -5,13 +5,14 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from clicklake import schema as S
 from clicklake.operators.activity import run_statistics, user_activity
 from clicklake.operators.products import top_products
 from clicklake.operators.segments import segments_three_way
 from clicklake.plans.daily import ReportPaths, at_once
-from clicklake.session import size_shuffles
+from clicklake.session import sized_shuffles
 from clicklake.sources import sinks
 from clicklake.sources.files import read_json_events
 from clicklake.sources.inventory import input_bytes
@@ -28,19 +29,21 @@ def write_batch_reports(
     report_date: date | str,
     k: int = S.TOP_K,
     min_views: int = S.WINDOW_SHOPPER_MIN_VIEWS,
+    schema: StructType | str = S.EVENT_SCHEMA,
 ) -> ReportPaths:
-    """Reports over everything in the directory, stamped with ``report_date``; a rerun for the date replaces them.
+    """Reports over everything in the directory, stamped with ``report_date``; a rerun for the date replaces them, also by nothing.
 
-    The session's shuffle partitions are raised to what the input needs.
+    ``schema`` gives the events' types: with ``user_id bigint`` the users of the reports are numbers.
     """
-    paths = ReportPaths(report_root)
-    size_shuffles(spark, input_bytes(spark, json_path))
-    events = read_json_events(spark, json_path)
+    paths, day = ReportPaths(report_root), (report_date, report_date)
+    events = read_json_events(spark, json_path, schema)
     top = _dated(top_products(events, k), report_date)
     segments = _dated(segments_three_way(user_activity(events), min_views), report_date)
-    at_once(
-        lambda: sinks.write_json_report(top, paths.of("batch_top_products"), F.desc("view_count"), "product_id"),
-        lambda: sinks.write_table(segments, paths.of("batch_user_segments"), "json"),
-        lambda: sinks.write_json_report(_dated(run_statistics(events), report_date), paths.of("batch_statistics")),
-    )
+    statistics = _dated(run_statistics(events), report_date)
+    with sized_shuffles(spark, input_bytes(spark, json_path)):
+        at_once(
+            lambda: sinks.write_json_report(top, paths.of("batch_top_products"), F.desc("view_count"), "product_id", days=day),
+            lambda: sinks.write_table(segments, paths.of("batch_user_segments"), "json", days=day),
+            lambda: sinks.write_json_report(statistics, paths.of("batch_statistics"), days=day),
+        )
     return paths

@@ -1,4 +1,4 @@
-"""The daily reports: all days of a range in one run, reports derived from two written results."""
+"""The daily reports: all days of a range in one run, reports derived from results written for the run."""
 
 from __future__ import annotations
 
@@ -6,21 +6,25 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from clicklake import schema as S
 from clicklake.functions.metrics import two_way_segment
-from clicklake.operators.activity import activity, daily_user_activity, rolled_up
+from clicklake.operators.activity import activity, daily_user_activity, rolled_up, run_statistics
 from clicklake.operators.conversion import with_conversion_rate
 from clicklake.operators.products import ranked_within
 from clicklake.operators.reports import conversion_lines, daily_report_body, segment_summary_lines, top_products_lines
 from clicklake.operators.segments import segment_distribution, segments_three_way
-from clicklake.session import size_shuffles
+from clicklake.session import scratch_dir, sized_shuffles
 from clicklake.sources import sinks
 from clicklake.sources.files import read_lake
 from clicklake.sources.inventory import lake_bytes
 
+T = TypeVar("T")
+
 
 @dataclass(frozen=True)
 class ReportPaths:
@@ -31,31 +35,33 @@ class ReportPaths:
     def of(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{S.REPORTS}/{name}"
 
-    def read(self, spark: SparkSession, name: str, fmt: str = "parquet", **options: str) -> DataFrame:
-        return spark.read.format(fmt).options(**options).load(self.of(name))
-
+    def read(self, spark: SparkSession, name: str, fmt: str = "parquet", schema: StructType | str | None = None, **options: str) -> DataFrame:
+        """A report; with its schema given, one without any day is just empty."""
+        reader = spark.read.format(fmt).options(**options)
+        return (reader if schema is None else reader.schema(schema)).load(self.of(name))
 
-def _days(table: DataFrame, first, last) -> DataFrame:
-    return table.where(F.col("report_date").between(F.lit(first).cast("date"), F.lit(last).cast("date")))
 
-
-def at_once(*jobs: Callable[[], None]) -> None:
+def at_once(*jobs: Callable[[], T]) -> list[T]:
     """Run independent Spark jobs side by side, so that small ones fill the gaps of large ones; the first failure is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:
-        for done in [pool.submit(job) for job in jobs]:
-            done.result()
+        return [done.result() for done in [pool.submit(job) for job in jobs]]
 
 
-def write_user_segments(events: DataFrame, paths: ReportPaths, min_views: int = S.WINDOW_SHOPPER_MIN_VIEWS) -> None:
+def daily_segments(events: DataFrame, min_views: int = S.WINDOW_SHOPPER_MIN_VIEWS) -> DataFrame:
     """Segments of every user and day, under both rules."""
     users = segments_three_way(daily_user_activity(events), min_views).withColumn("segment_two_way", two_way_segment())
-    sinks.write_table(users.withColumnRenamed("event_date", sinks.DAY), paths.of("user_segments"))
+    return users.withColumnRenamed("event_date", sinks.DAY)
 
 
-def write_product_counts(events: DataFrame, paths: ReportPaths) -> None:
+def daily_product_counts(events: DataFrame) -> DataFrame:
     """Views and purchases per day, product and category: all that the product and category reports need."""
-    counts = activity(events, "event_date", "product_id", "category")
-    sinks.write_table(counts.withColumnRenamed("event_date", sinks.DAY), paths.of("product_counts"))
+    return activity(events, "event_date", "product_id", "category").withColumnRenamed("event_date", sinks.DAY)
+
+
+def _staged(rows: DataFrame, path: str) -> DataFrame:
+    """The rows written to a folder of this run and read back with their schema."""
+    rows.hint("rebalance").write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def segment_summary(segments: DataFrame) -> DataFrame:
@@ -80,33 +86,45 @@ def write_daily_reports(
     k: int = S.TOP_K,
     min_views: int = S.WINDOW_SHOPPER_MIN_VIEWS,
 ) -> ReportPaths:
-    """All reports for the days ``first`` to ``last``; days without events yield none, and a rerun replaces its days.
+    """All reports for the days ``first`` to ``last``. A rerun replaces all of them: a day, or a report of it, that has
+    become empty is removed; a range without events yields empty reports.
 
-    The lake is read twice, two columns per user and three per product; the reports come from those two written results. The
-    session's shuffle partitions are raised to what the days need.
+    The lake is read three times, two columns per user, three per product and two for the day's statistics. Segments, counts and the two
+    ranked tables are written to a folder of this run, and all reports come from those.
     """
-    paths = ReportPaths(report_root or lake_root)
-    size_shuffles(spark, lake_bytes(spark, lake_root, first, last))
+    paths, days = ReportPaths(report_root or lake_root), (first, last)
+    run = scratch_dir(spark, "daily-run")
     events = read_lake(spark, lake_root, first, last)
-    at_once(lambda: write_user_segments(events, paths, min_views), lambda: write_product_counts(events, paths))
-
-    segments = _days(paths.read(spark, "user_segments"), first, last)
-    counts = _days(paths.read(spark, "product_counts"), first, last)
-    per_product = rolled_up(counts, sinks.DAY, "product_id")
-    top = top_of_counts(per_product, k)
-    conversion = with_conversion_rate(rolled_up(counts, sinks.DAY, "category"))
+    with sized_shuffles(spark, lake_bytes(spark, lake_root, first, last)):
+        segments, counts, statistics = at_once(
+            lambda: _staged(daily_segments(events, min_views), f"{run}/segments"),
+            lambda: _staged(daily_product_counts(events), f"{run}/counts"),
+            lambda: _staged(run_statistics(events, "event_date").withColumnRenamed("event_date", sinks.DAY), f"{run}/statistics"),
+        )
+    per_product, top, conversion, summary, two_way = at_once(
+        lambda: _staged(rolled_up(counts, sinks.DAY, "product_id"), f"{run}/products"),
+        lambda: _staged(top_of_counts(rolled_up(counts, sinks.DAY, "product_id"), k), f"{run}/top"),
+        lambda: _staged(with_conversion_rate(rolled_up(counts, sinks.DAY, "category")), f"{run}/conversion"),
+        lambda: _staged(segment_summary(segments), f"{run}/summary"),
+        lambda: _staged(segment_summary(segments.withColumn("segment", F.col("segment_two_way"))), f"{run}/two_way"),
+    )
     best_first = (F.desc("conversion_rate"), F.asc("category"))
     top_lines = top_products_lines(per_product, k, sinks.DAY)
     rate_lines = conversion_lines(conversion, sinks.DAY)
     body = daily_report_body(top_lines, rate_lines, paths.of(""), k)
     at_once(
-        lambda: sinks.write_text_report(segment_summary(segments), paths.of("segment_summary")),
-        lambda: sinks.write_json_report(top, paths.of("top_products_json"), "rank"),
-        lambda: sinks.write_csv_report(top, paths.of("top_products_csv"), "rank"),
-        lambda: sinks.write_json_report(conversion, paths.of("category_conversion_json"), *best_first),
-        lambda: sinks.write_csv_report(conversion, paths.of("category_conversion_csv"), *best_first),
-        lambda: sinks.write_text_report(top_lines, paths.of("top_products_text")),
-        lambda: sinks.write_text_report(rate_lines, paths.of("category_conversion_text")),
-        lambda: sinks.write_json_report(body, paths.of("body")),
+        lambda: sinks.write_table(segments, paths.of("user_segments"), days=days),
+        lambda: sinks.write_table(segments, paths.of("user_segments_json"), "json", days=days),
+        lambda: sinks.write_table(counts, paths.of("product_counts"), days=days),
+        lambda: sinks.write_json_report(statistics, paths.of("run_statistics"), days=days),
+        lambda: sinks.write_text_report(summary, paths.of("segment_summary"), days=days),
+        lambda: sinks.write_text_report(two_way, paths.of("segment_summary_two_way"), days=days),
+        lambda: sinks.write_json_report(top, paths.of("top_products_json"), "rank", days=days),
+        lambda: sinks.write_csv_report(top, paths.of("top_products_csv"), "rank", days=days),
+        lambda: sinks.write_json_report(conversion, paths.of("category_conversion_json"), *best_first, days=days),
+        lambda: sinks.write_csv_report(conversion, paths.of("category_conversion_csv"), *best_first, days=days),
+        lambda: sinks.write_text_report(top_lines, paths.of("top_products_text"), days=days),
+        lambda: sinks.write_text_report(rate_lines, paths.of("category_conversion_text"), days=days),
+        lambda: sinks.write_json_report(body, paths.of("body"), days=days),
     )
     return paths

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
-# Adaptive execution merges shuffle partitions but cannot add any: ``size_shuffles`` sets their number from the input. Stateful
+# Adaptive execution merges shuffle partitions but cannot add any: ``sized_shuffles`` sets their number from the input. Stateful
 # streams take theirs as an argument, because the number is fixed for the life of a checkpoint.
 BATCH_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -46,13 +48,20 @@ def build_session(app_name: str, conf: dict[str, str] | None = None) -> SparkSes
 INPUT_BYTES_PER_SHUFFLE_PARTITION = 2 << 30
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
-    """Raise the session's shuffle partitions to what an input of this size needs; never lower them."""
-    current = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = -(-input_bytes // INPUT_BYTES_PER_SHUFFLE_PARTITION)
-    if wanted > current:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(wanted, current)
+@contextlib.contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """For the jobs run inside: shuffle partitions raised, never lowered, to what an input of this size needs.
+
+    The caller's number is back afterwards.
+    """
+    key = "spark.sql.shuffle.partitions"
+    current = spark.conf.get(key)
+    wanted = max(int(current), -(-input_bytes // INPUT_BYTES_PER_SHUFFLE_PARTITION))
+    spark.conf.set(key, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(key, current)
 
 
 def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
+from py4j.java_gateway import JavaObject
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -31,6 +32,27 @@ def lake_path(root: str) -> str:
     return f"{root.rstrip('/')}/{S.RAW_EVENTS}"
 
 
+def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]:
+    """The Hadoop file system that holds a path, and the path."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def days_below(spark: SparkSession, path: str, day: str) -> dict[str, str]:
+    """The day directories right below a path, by day, from one listing that does not descend."""
+    system, at = file_system(spark, path)
+    if not system.exists(at):
+        return {}
+    names = [s.getPath().getName() for s in system.listStatus(at)]
+    return {n.removeprefix(f"{day}="): f"{path.rstrip('/')}/{n}" for n in names if n.startswith(f"{day}=")}
+
+
+def is_stream_written(spark: SparkSession, path: str) -> bool:
+    """Whether a stream wrote the folder, which Spark then reads through the stream's log."""
+    system, at = file_system(spark, f"{path.rstrip('/')}/_spark_metadata")
+    return system.exists(at)
+
+
 def read_lake(
     spark: SparkSession,
     root: str,
@@ -40,10 +62,18 @@ def read_lake(
 ) -> DataFrame:
     """The lake between two days (both included); a day that was never written just has no rows.
 
-    The range filters the partition column, so only the directories of those days are read. Only ``*.parquet`` files are
-    read, and the given schema spares the driver from opening footers.
+    With a range, the directories of its days alone are listed; a root written by a stream is read through the stream's log, which
+    lists the files itself. Only ``*.parquet`` files are read, and the given schema spares the driver from opening footers.
     """
-    events = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(lake_path(root))
+    path = lake_path(root)
+    reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("basePath", path)
+    if first is None and last is None or is_stream_written(spark, path):
+        events = reader.parquet(path)
+    else:
+        low, high = (None if d is None else str(d)[:10] for d in (first, last))
+        known = days_below(spark, path, "event_date")
+        wanted = [at for d, at in sorted(known.items()) if (low is None or d >= low) and (high is None or d <= high)]
+        events = reader.parquet(*wanted) if wanted else spark.createDataFrame([], schema)
     if first is not None:
         events = events.where(F.col("event_date") >= F.lit(first).cast("date"))
     if last is not None:

@@ -3,18 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import DataStreamWriter
 
 
 def source_options(
     servers: str,
     topic: str,
     starting_offsets: str = "latest",
-    fail_on_data_loss: bool = False,
+    fail_on_data_loss: bool = True,
     max_offsets_per_trigger: int | None = None,
     min_partitions: int | None = None,
 ) -> dict[str, str]:
-    """Reader options. ``min_partitions`` splits a topic with few or hot partitions over more tasks."""
+    """Reader options. Offsets that aged out of the topic fail the stream unless ``fail_on_data_loss`` is off. ``min_partitions`` splits a topic with few or hot partitions over more tasks."""
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
@@ -33,7 +32,6 @@ def sink_options(servers: str, topic: str, checkpoint: str) -> dict[str, str]:
         "kafka.bootstrap.servers": servers,
         "topic": topic,
         "checkpointLocation": checkpoint,
-        "failOnDataLoss": "false",
     }
 
 
@@ -44,7 +42,3 @@ def read_topic(spark: SparkSession, options: dict[str, str]) -> DataFrame:
 def as_messages(rows: DataFrame) -> DataFrame:
     """One JSON document per row, in the ``value`` column a message sink expects."""
     return rows.select(F.to_json(F.struct("*")).alias("value"))
-
-
-def write_topic(messages: DataFrame, options: dict[str, str]) -> DataStreamWriter:
-    return messages.writeStream.format("kafka").options(**options).outputMode("append")

@@ -1,52 +1,76 @@
-"""Batch sinks. A rerun replaces exactly the days it has rows for (dynamic partition overwrite)."""
+"""Batch sinks. A rerun replaces the days it has rows for (dynamic partition overwrite), and, given a range, all days of the range."""
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clicklake.sources.files import days_below, file_system, is_stream_written
+
 DAY = "report_date"
+Range = tuple[date | str, date | str]
+
 
+def _remove_empty_days(rows: DataFrame, path: str, day: str, days: Range) -> None:
+    """Remove the days of the range that a former run wrote and this one has no rows for; a value per day comes to the driver."""
+    spark, (first, last) = rows.sparkSession, (str(d)[:10] for d in days)
+    old = {d: at for d, at in days_below(spark, path, day).items() if first <= d <= last}
+    if old:
+        held = {str(r[0]) for r in rows.select(day).distinct().collect()}
+        for at in (at for d, at in old.items() if d not in held):
+            system, where = file_system(spark, at)
+            system.delete(where, True)
 
-def _replace_days(rows: DataFrame, path: str, fmt: str, day: str, **options: str) -> None:
+
+def _replace_days(written: DataFrame, rows: DataFrame, path: str, fmt: str, day: str, days: Range | None, **options: str) -> None:
+    if is_stream_written(rows.sparkSession, path):
+        raise ValueError(f"{path} is written by a stream: rows added by a batch would not be read; write them to a root of their own")
     (
-        rows.write.mode("overwrite")
+        written.write.mode("overwrite")
         .format(fmt)
         .options(partitionOverwriteMode="dynamic", **options)
         .partitionBy(day)
         .save(path)
     )
+    if days is not None:
+        _remove_empty_days(rows, path, day, days)
 
 
-def write_table(rows: DataFrame, path: str, fmt: str = "parquet", day: str = DAY, **options: str) -> None:
-    """A result of any size, one directory per day.
+def write_table(rows: DataFrame, path: str, fmt: str = "parquet", day: str = DAY, days: Range | None = None, **options: str) -> None:
+    """A result of any size, one directory per day; ``days`` is the range that the run stands for.
 
     The rebalance hint gathers a day's rows into few files and, at run time, splits a day that is too large for one task.
     """
-    _replace_days(rows.hint("rebalance", day), path, fmt, day, **options)
+    _replace_days(rows.hint("rebalance", day), rows, path, fmt, day, days, **options)
 
 
-def write_report(rows: DataFrame, path: str, fmt: str, *order: str | Column, day: str = DAY, keep_order: bool = True, **options: str) -> None:
+def write_report(
+    rows: DataFrame, path: str, fmt: str, *order: str | Column, day: str = DAY, days: Range | None = None, keep_order: bool = True, **options: str
+) -> None:
     """A report with few rows per day (k products, the categories, the segments): one ordered file per day.
 
+    One task writes a day, so it is for bounded reports only; ``write_table`` takes results of any size.
+
     Columns named in ``order`` sort the file; with ``keep_order=False`` they are dropped after sorting.
     """
     placed = rows.repartition(F.col(day)).sortWithinPartitions(day, *order)
     if not keep_order:
         placed = placed.drop(*order)
-    _replace_days(placed, path, fmt, day, **options)
+    _replace_days(placed, rows, path, fmt, day, days, **options)
 
 
-def write_json_report(rows: DataFrame, path: str, *order: str | Column, day: str = DAY) -> None:
-    write_report(rows, path, "json", *order, day=day)
+def write_json_report(rows: DataFrame, path: str, *order: str | Column, day: str = DAY, days: Range | None = None) -> None:
+    write_report(rows, path, "json", *order, day=day, days=days)
 
 
-def write_csv_report(rows: DataFrame, path: str, *order: str | Column, day: str = DAY) -> None:
-    write_report(rows, path, "csv", *order, day=day, header="true")
+def write_csv_report(rows: DataFrame, path: str, *order: str | Column, day: str = DAY, days: Range | None = None) -> None:
+    write_report(rows, path, "csv", *order, day=day, days=days, header="true")
 
 
-def write_text_report(lines: DataFrame, path: str, day: str = DAY) -> None:
+def write_text_report(lines: DataFrame, path: str, day: str = DAY, days: Range | None = None) -> None:
     """Lines ``(day, line_no, line)`` to one text file per day, a line per row."""
-    write_report(lines.select(day, "line_no", "line"), path, "text", "line_no", day=day, keep_order=False)
+    write_report(lines.select(day, "line_no", "line"), path, "text", "line_no", day=day, days=days, keep_order=False)
 
 
 def write_time_ordered(

@@ -9,7 +9,7 @@ from clicklake import cli
 from clicklake.plans.batch import write_batch_reports
 from clicklake.plans.catalogue import used_catalogue
 from clicklake.plans.daily import write_daily_reports
-from clicklake.session import size_shuffles
+from clicklake.session import sized_shuffles
 from clicklake.sources import files, inventory, sinks
 from clicklake.streaming.archive import archive_rows
 
@@ -70,11 +70,46 @@ def test_shuffles_are_sized_by_the_input(spark, root):
     one, all_days = (inventory.lake_bytes(spark, root, DAYS[0], last) for last in (DAYS[0], DAYS[-1]))
     assert 0 < one < all_days == inventory.input_bytes(spark, root, "*.parquet")
     before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, all_days) == int(before) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-        assert size_shuffles(spark, 100 * 2**40) == 51_200 == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    with sized_shuffles(spark, all_days) as now:
+        assert now == int(before) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with pytest.raises(KeyError), sized_shuffles(spark, 100 * 2**40) as now:
+        assert now == 51_200 == int(spark.conf.get("spark.sql.shuffle.partitions"))
+        raise KeyError
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_a_range_lists_its_own_days(spark, root):
+    part = files.read_lake(spark, root, "2026-05-11", "2026-05-12")
+    assert part.inputFiles() and all("event_date=2026-05-11" in f for f in part.inputFiles())
+
+
+def test_a_stream_written_root_takes_no_batch_rows(spark, tmp_path):
+    (tmp_path / "t" / "_spark_metadata").mkdir(parents=True)
+    frame = spark.createDataFrame([("p", date(2026, 5, 10))], "product_id string, report_date date")
+    with pytest.raises(ValueError, match="stream"):
+        sinks.write_table(frame, str(tmp_path / "t"))
+
+
+@pytest.mark.parametrize("write", ["table", "json", "csv", "text"])
+def test_a_rerun_of_a_range_removes_days_that_became_empty(spark, tmp_path, write):
+    path, schema = str(tmp_path / "t"), "report_date date, line_no int, line string"
+    days = [date(2026, 5, d) for d in (10, 11, 12, 20)]
+    first = spark.createDataFrame([(d, 1, "old") for d in days], schema)
+    second = spark.createDataFrame([(days[1], 1, "new")], schema)
+    sink = {"table": sinks.write_table, "json": sinks.write_json_report, "csv": sinks.write_csv_report, "text": sinks.write_text_report}[write]
+    sink(first, path)
+    sink(second, path, days=("2026-05-10", date(2026, 5, 12)))
+    assert set(files.days_below(spark, path, "report_date")) == {"2026-05-11", "2026-05-20"}
+    sink(second.limit(0), path, days=("2026-05-01", "2026-05-31"))
+    assert not files.days_below(spark, path, "report_date")
+
+
+def test_inventory_of_many_days(spark, root, tmp_path, monkeypatch):
+    monkeypatch.setattr(cli, "build_session", lambda name: spark)
+    out = str(tmp_path / "inventory")
+    cli.main(["inventory", "--lake", root, "--first", "2000-01-01", "--last", "2029-12-31", "--output", out])
+    found = spark.read.json(out)
+    assert found.count() == 10_958 and found.where("exists").count() == len(DAYS)
 
 
 def test_json_directory_with_given_schema(spark, tmp_path):
@@ -164,11 +199,14 @@ def test_batch_run(spark, tmp_path):
     assert (statistics.records_processed, statistics.unique_products, statistics.unique_users) == (120, 7, 4)
 
 
-def test_inventory_job(spark, root, monkeypatch, capsys):
+def test_inventory_job(spark, root, monkeypatch, capsys, tmp_path):
     monkeypatch.setattr(cli, "build_session", lambda name: spark)
-    cli.main(["inventory", "--lake", root, "--first", "2026-05-12", "--last", "2026-05-13"])
-    shown = capsys.readouterr().out
-    assert "event_date=2026-05-12" in shown and "true" in shown and "false" in shown
+    out = str(tmp_path / "days")
+    cli.main(["inventory", "--lake", root, "--first", "2026-05-12", "--last", "2026-05-13", "--output", out])
+    assert capsys.readouterr().out.strip().endswith(out)
+    assert [(r["partition"], r["exists"]) for r in spark.read.json(out).orderBy("event_date").collect()] == [
+        ("event_date=2026-05-12", False), ("event_date=2026-05-13", True),
+    ]
 
 
 def test_daily_job(spark, root, monkeypatch, tmp_path):

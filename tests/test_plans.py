@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from workload.queries import all_queries
 from clicklake.operators.conversion import enrich_category
 from clicklake.session import scratch_dir
 from workload import feeds
@@ -22,7 +23,7 @@ def read_columns(plan):
 
 
 def test_no_query_leaves_the_jvm(plan_of):
-    for name in contract.queries():
+    for name in all_queries():
         plan = plan_of(name)
         assert "Python" not in plan and "InPandas" not in plan, name
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan, name
@@ -33,7 +34,7 @@ def test_no_query_leaves_the_jvm(plan_of):
     [
         ("user_activity", {"user_id", "event_type"}),
         ("user_sessions", {"user_id", "ts"}),
-        ("session_outcomes", {"user_id", "ts", "event_type"}),
+        ("session_outcomes", {"event_id", "user_id", "ts", "event_type"}),
         ("top_products", {"event_type", "props"}),
         ("event_mix", {"ts", "event_type"}),
     ],
@@ -123,3 +124,8 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 def test_scratch_follows_the_shared_folder(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_dir(spark, "x") != scratch_dir(spark, "x")
+
+
+def test_arrival_order_shuffles_events_once(plan_of):
+    """By (user, chunk), and then the chunks' counts by user."""
+    assert len(re.findall(r"Exchange hashpartitioning", plan_of("dq_order_violations"))) == 2

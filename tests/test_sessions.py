@@ -38,8 +38,8 @@ def test_outcomes(clicks):
 def brute_force(events, gap):
     sessions = []
     by_user = {}
-    for user, kind, second in events:
-        by_user.setdefault(user, []).append((second, kind))
+    for arrived, (user, kind, second) in enumerate(events):
+        by_user.setdefault(user, []).append((second, arrived, kind))
     for user, own in by_user.items():
         own.sort()
         run = [own[0]]
@@ -77,7 +77,7 @@ def test_equals_brute_force_under_skew(clicks, skewed, gap):
         ((s.user_id, s.session_start, s.events, s.last_event_type, s.has_cart) for s in session_outcomes(frame, gap).collect()), key=repr
     )
     assert outcomes == sorted(
-        ((u, T0 + timedelta(seconds=r[0][0]), len(r), r[-1][1], any(k == "add_to_cart" for _, k in r)) for u, r in expected), key=repr
+        ((u, T0 + timedelta(seconds=r[0][0]), len(r), r[-1][2], any(k == "add_to_cart" for *_, k in r)) for u, r in expected), key=repr
     )
 
 
@@ -88,3 +88,9 @@ def test_equals_the_built_in_session_window(clicks, skewed, rows):
     )
     ours = user_sessions(frame).select("user_id", "session_start", "events")
     assert rows(ours) == rows(built_in.select("user_id", "session_start", "events"))
+
+
+def test_of_events_at_one_instant_the_last_to_arrive_ends_the_session(clicks):
+    frame = clicks(("u", "p", "view", at(0)), ("u", "p", "purchase", at(0)), ("w", "p", "purchase", at(0)), ("w", "p", "view", at(0)))
+    found = {s.user_id: (s.last_event_type, s.ends_in_purchase) for s in session_outcomes(frame, 60).collect()}
+    assert found == {"u": ("purchase", True), "w": ("view", False)}

@@ -141,13 +141,28 @@ def test_state_settings_stay_in_the_stream_session(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+def test_a_backfill_starts_at_the_beginning_and_alerts_go_in_bounded_batches():
+    from clicklake import cli
+
+    def options(*args):
+        return cli._topic_options(cli._parser().parse_args(args))
+
+    archive, alerts = ["archive", "--servers", "b", "--lake", "l"], ["alerts", "--servers", "b", "--checkpoint", "c"]
+    assert options(*archive)["startingOffsets"] == "latest" and options(*archive)["failOnDataLoss"] == "true"
+    assert options(*archive, "--backfill", "--allow-data-loss")["startingOffsets"] == "earliest"
+    assert options(*archive, "--backfill", "--allow-data-loss")["failOnDataLoss"] == "false"
+    assert options(*alerts, "--backfill", "--starting-offsets", "latest")["startingOffsets"] == "latest"
+    assert options(*alerts, "--backfill")["maxOffsetsPerTrigger"] == str(cli.BACKFILL_OFFSETS)
+    assert "maxOffsetsPerTrigger" not in options(*alerts)
+
+
 def test_kafka_options():
     assert kafka.source_options("b:9092", "clicks") == {
-        "kafka.bootstrap.servers": "b:9092", "subscribe": "clicks", "startingOffsets": "latest", "failOnDataLoss": "false",
+        "kafka.bootstrap.servers": "b:9092", "subscribe": "clicks", "startingOffsets": "latest", "failOnDataLoss": "true",
     }
     assert kafka.source_options("b", "t", max_offsets_per_trigger=5, min_partitions=64)["minPartitions"] == "64"
     assert kafka.sink_options("b", "alerts", "/cp") == {
-        "kafka.bootstrap.servers": "b", "topic": "alerts", "checkpointLocation": "/cp", "failOnDataLoss": "false",
+        "kafka.bootstrap.servers": "b", "topic": "alerts", "checkpointLocation": "/cp",
     }
 
 

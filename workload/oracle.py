@@ -86,16 +86,22 @@ _STREAMED = f"""{_WIRE}, valid AS (SELECT * FROM lake WHERE product_id IS NOT NU
 closed AS (SELECT * FROM alerts WHERE "end" <= (SELECT max(event_time) FROM valid) - INTERVAL 10 MINUTE)"""
 
 _SESSIONS = f"""paused AS (
-  SELECT *, epoch_us(event_time) - epoch_us(lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time)) AS pause FROM click),
+  SELECT *, epoch_us(event_time) - epoch_us(lag(event_time) OVER (PARTITION BY user_id ORDER BY event_time, event_id)) AS pause FROM click),
 numbered AS (
   SELECT *, sum(CASE WHEN pause <= {GAP_SECONDS * 1_000_000} THEN 0 ELSE 1 END)
-    OVER (PARTITION BY user_id ORDER BY event_time ROWS UNBOUNDED PRECEDING) AS session_no FROM paused)"""
+    OVER (PARTITION BY user_id ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS session_no FROM paused)"""
 
 
 def _with(*parts: str, select: str) -> str:
     return f"WITH {', '.join(parts)} {select}"
 
 
+_OUTCOMES = """SELECT user_id, min(event_time) AS session_start, count(*) AS events,
+  last(event_type ORDER BY event_time, event_id) AS last_event_type, bool_or(event_type = 'click') AS has_cart,
+  last(event_type ORDER BY event_time, event_id) = 'purchase' AS ends_in_purchase
+FROM numbered GROUP BY user_id, session_no"""
+
+
 def all_oracles() -> dict[str, str]:
     lake_columns = f"{_FIELDS}, event_date"
     return {
@@ -117,6 +123,58 @@ def all_oracles() -> dict[str, str]:
         "daily_user_segments_3way_default": _with(_CLICK, _DAILY_USERS, select=f"SELECT *, {_three_way(5)} FROM users"),
         "daily_user_segments_2way": _with(_CLICK, _DAILY_USERS, select=f"SELECT *, {_TWO_WAY} FROM users"),
         "segment_distribution": _with(_CLICK, _DISTRIBUTION, select="SELECT * FROM dist"),
+        "segment_distribution_2way": _with(
+            _CLICK,
+            _DAILY_USERS,
+            f"segments AS (SELECT *, {_TWO_WAY} FROM users)",
+            select="SELECT event_date, segment, count(*) AS users FROM segments GROUP BY ALL",
+        ),
+        "daily_run_statistics": _with(
+            _WIRE,
+            select="SELECT event_date, count(*) AS records_processed, count(DISTINCT product_id) AS unique_products, "
+            "count(DISTINCT user_id) AS unique_users FROM lake GROUP BY 1",
+        ),
+        "duplicate_catalogue_conversion": _with(
+            _CLICK,
+            """twice AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category FROM part
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), CASE WHEN length(p_type) % 2 = 0 THEN NULL ELSE reverse(p_type) END FROM part)""",
+            "once AS (SELECT product_id, min(category) AS category FROM twice GROUP BY 1)",
+            f"c AS (SELECT coalesce(category, 'Other') AS category, {_VP} FROM click LEFT JOIN once USING (product_id) GROUP BY 1)",
+            select=f"SELECT *, {_RATE} FROM c",
+        ),
+        "partition_metadata": """SELECT CAST(ts AS DATE) AS event_date,
+  round_even(sum(strlen(event_type) + 1 + 400 * strlen(props) + 1) / 1048576.0::DOUBLE, 2) AS total_size_mb, true AS has_files, true AS is_dated
+FROM events GROUP BY 1""",
+        "daily_rerun_shrunk": _with(
+            _WIRE,
+            f"""counts AS (
+  SELECT event_date AS report_date, product_id, count(*) AS view_count FROM lake
+  WHERE event_type = 'view' AND event_date NOT IN (DATE '{SLICE[0]}', DATE '{SLICE[1]}') GROUP BY ALL)""",
+            select="SELECT *, CAST(row_number() OVER (PARTITION BY report_date ORDER BY view_count DESC, product_id NULLS FIRST) AS INTEGER) AS rank "
+            "FROM counts QUALIFY rank <= 5",
+        ),
+        "daily_empty_range": _with(
+            _WIRE,
+            select="SELECT product_id, count(*) AS view_count, 1::INTEGER AS rank, event_date AS report_date FROM lake "
+            "WHERE event_date BETWEEN DATE '2031-01-01' AND DATE '2031-01-31' GROUP BY ALL",
+        ),
+        "session_outcomes_ties": _with(
+            _CLICK.replace("ts AS event_time", "make_timestamp((epoch_us(ts) // 21600000000) * 21600000000) AS event_time"),
+            _SESSIONS,
+            select=_OUTCOMES,
+        ),
+        "band_activity_null_times": _with(
+            _CLICK,
+            "timed AS (SELECT * FROM click WHERE event_type <> 'signup')",
+            "span AS (SELECT epoch_us(min(event_time)) AS a, epoch_us(max(event_time)) - epoch_us(min(event_time)) AS d FROM timed)",
+            select="""SELECT CASE WHEN epoch_us(event_time) BETWEEN a + CAST(round_even(d * 0.4::DOUBLE, 0) AS BIGINT)
+    AND a + CAST(round_even(d * 0.6::DOUBLE, 0) AS BIGINT) THEN 'peak' ELSE 'off_peak' END AS band, event_type, count(*) AS events
+FROM timed, span GROUP BY ALL""",
+        ),
+        "time_order_inversions": _with(
+            _CLICK, _FEEDS, select="SELECT feed, count(*) AS events, 0::BIGINT AS inversions FROM merged GROUP BY 1"
+        ),
         "category_conversion": _with(
             _WIRE, f"c AS (SELECT category, {_VP} FROM wire GROUP BY 1)", select=f"SELECT *, {_RATE} FROM c"
         ),
@@ -246,10 +304,7 @@ FROM numbered GROUP BY user_id, session_no""",
         "session_outcomes": _with(
             _CLICK,
             _SESSIONS,
-            select="""SELECT user_id, min(event_time) AS session_start, count(*) AS events,
-  last(event_type ORDER BY event_time, event_type) AS last_event_type, bool_or(event_type = 'click') AS has_cart,
-  last(event_type ORDER BY event_time, event_type) = 'purchase' AS ends_in_purchase
-FROM numbered GROUP BY user_id, session_no""",
+            select=_OUTCOMES,
         ),
         "event_mix": _with(
             _CLICK,

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clicklake import schema as S
 from clicklake.operators import activity as A
@@ -40,13 +39,8 @@ _QUERIES: dict[str, Query] = {}
 
 
 def _query(function: Query) -> Query:
-    @functools.wraps(function)
-    def sized(spark: SparkSession, sf_dir: str) -> DataFrame:
-        feeds.size_shuffles_for(spark, sf_dir)
-        return function(spark, sf_dir)
-
-    _QUERIES[function.__name__] = sized
-    return sized
+    _QUERIES[function.__name__] = function
+    return function
 
 
 def all_queries() -> dict[str, Query]:
@@ -118,6 +112,16 @@ def segment_distribution(spark, sf_dir):
     return G.segment_distribution(daily_user_segments_3way(spark, sf_dir), "event_date")
 
 
+@_query
+def segment_distribution_2way(spark, sf_dir):
+    return G.segment_distribution(daily_user_segments_2way(spark, sf_dir), "event_date")
+
+
+@_query
+def daily_run_statistics(spark, sf_dir):
+    return A.run_statistics(files.read_lake(spark, feeds.lake(spark, sf_dir)), "event_date")
+
+
 @_query
 def category_conversion(spark, sf_dir):
     return C.category_conversion(_decoded(spark, sf_dir, "event_type", "category"))
@@ -133,6 +137,14 @@ def catalogue_conversion(spark, sf_dir):
     return C.catalogue_conversion(feeds.click_events(spark, sf_dir), feeds.stocked(spark, sf_dir))
 
 
+@_query
+def duplicate_catalogue_conversion(spark, sf_dir):
+    """With a catalogue that lists products twice, in another category or an empty one."""
+    parts = feeds.catalogue(spark, sf_dir).select("product_id", "category")
+    again = parts.select("product_id", F.when(F.length("category") % 2 == 0, "").otherwise(F.reverse("category")).alias("category"))
+    return C.catalogue_conversion(feeds.click_events(spark, sf_dir), parts.unionByName(again))
+
+
 @_query
 def daily_catalogue_conversion(spark, sf_dir):
     return C.catalogue_conversion(feeds.click_events(spark, sf_dir), feeds.catalogue(spark, sf_dir), "event_date")
@@ -240,7 +252,15 @@ def lake_day_slice(spark, sf_dir):
 
 @_query
 def partition_metadata(spark, sf_dir):
-    return inventory.partition_metadata(spark, feeds.lake(spark, sf_dir))
+    """Over a lake of text lines, whose sizes are a function of the data."""
+    root = scratch_dir(spark, "text-lake")
+    line = F.concat("event_type", F.lit(":"), F.repeat("props", 400)).alias("line")
+    events = feeds.table(spark, sf_dir, "events").select(line, F.to_date("ts").alias("event_date"))
+    sinks.write_table(events, files.lake_path(root), "text", day="event_date")
+    known = inventory.partition_metadata(spark, root, "*.txt")
+    return known.select(
+        "event_date", "total_size_mb", (F.col("file_count") >= 1).alias("has_files"), F.col("last_modified").isNotNull().alias("is_dated")
+    )
 
 
 @_query
@@ -303,6 +323,35 @@ def daily_reports(spark, sf_dir):
     return M.merge_feeds(texts).select(F.col("feed").alias("report"), "report_date", F.col("value").alias("line"))
 
 
+def _shrunk_lake(spark, sf_dir, root: str) -> str:
+    """The lake without its views on a day, and without any event on the next."""
+    events = files.read_lake(spark, feeds.lake(spark, sf_dir))
+    day, gone = (F.lit(d).cast("date") for d in SLICE)
+    kept = events.where((F.col("event_date") != gone) & ~((F.col("event_date") == day) & (F.col("event_type") == S.VIEW)))
+    sinks.write_table(kept, files.lake_path(root), day="event_date")
+    return root
+
+
+def _top_rows(spark, paths):
+    return paths.read(spark, "top_products_json", "json", "product_id string, view_count bigint, rank int, report_date date")
+
+
+@_query
+def daily_rerun_shrunk(spark, sf_dir):
+    """The daily run, and again on a lake that has lost a day and a day's views: nothing of them may be left."""
+    root = scratch_dir(spark, "daily")
+    write_daily_reports(spark, feeds.lake(spark, sf_dir), *CALENDAR, report_root=root)
+    paths = write_daily_reports(spark, _shrunk_lake(spark, sf_dir, scratch_dir(spark, "shrunk")), *CALENDAR, report_root=root)
+    return _top_rows(spark, paths)
+
+
+@_query
+def daily_empty_range(spark, sf_dir):
+    """Days after the last event: reports without rows."""
+    paths = write_daily_reports(spark, feeds.lake(spark, sf_dir), "2031-01-01", "2031-01-31", report_root=scratch_dir(spark, "daily"))
+    return _top_rows(spark, paths)
+
+
 @_query
 def batch_reports(spark, sf_dir):
     """The plain batch run over a JSON directory; its user segments read back."""
@@ -332,6 +381,14 @@ def session_outcomes(spark, sf_dir):
     return N.session_outcomes(feeds.click_events(spark, sf_dir), GAP_SECONDS, cart_type="click")
 
 
+@_query
+def session_outcomes_ties(spark, sf_dir):
+    """Over events whose times are cut to six hours, so that many share an instant."""
+    events = feeds.click_events(spark, sf_dir)
+    hour = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col("event_time").cast("timestamp")) / 21600) * 21600)
+    return N.session_outcomes(events.withColumn("event_time", hour), GAP_SECONDS, cart_type="click")
+
+
 @_query
 def event_mix(spark, sf_dir):
     return M.event_mix(feeds.click_events(spark, sf_dir), F.date_trunc("hour", "event_time"))
@@ -347,6 +404,13 @@ def band_activity(spark, sf_dir):
     return M.band_activity(feeds.click_events(spark, sf_dir))
 
 
+@_query
+def band_activity_null_times(spark, sf_dir):
+    """Sign-ups have no time here and are in no band."""
+    events = feeds.click_events(spark, sf_dir)
+    return M.band_activity(events.withColumn("event_time", F.when(F.col("event_type") != "signup", F.col("event_time"))))
+
+
 def _feeds(spark, sf_dir):
     events = feeds.click_events(spark, sf_dir)
     shop = events.where(F.col("event_type").isin("view", "click", "purchase"))
@@ -362,13 +426,22 @@ def merge_feeds(spark, sf_dir):
 
 @_query
 def time_ordered_feed(spark, sf_dir):
-    """The merged feed as its time-ordered sink writes it; the row's place in its file must follow the time."""
+    """The merged feed as its time-ordered sink writes it; ``time_order_inversions`` checks the order."""
     path = scratch_dir(spark, "ordered")
     merged = merge_feeds(spark, sf_dir)
     sinks.write_time_ordered(merged, path)
     return spark.read.schema(merged.schema).parquet(path)
 
 
+@_query
+def time_order_inversions(spark, sf_dir):
+    """Per feed, the rows of the time-ordered files that lie before the row ahead of them in their file: none."""
+    placed = time_ordered_feed(spark, sf_dir).select("feed", "event_time", "event_id", "_metadata.file_name", "_metadata.row_index")
+    ahead = F.lag(F.struct("event_time", "event_id")).over(Window.partitionBy("file_name").orderBy("row_index"))
+    inverted = F.coalesce(F.struct("event_time", "event_id") < ahead, F.lit(False))
+    return placed.withColumn("inverted", inverted).groupBy("feed").agg(F.count("*").alias("events"), F.count_if("inverted").alias("inversions"))
+
+
 # --- data quality -----------------------------------------------------------------------------------------------------
 
 
