@@ -249,9 +249,9 @@ def mixed_documents(docs: DataFrame, **settings: object) -> DataFrame:
 
     Neighbouring drawn parts of a document are one row; its text keeps the white space between its words. A column n_chars, if there
     is one, is the length of the new text; all other columns are the document's. Rows whose id is null or repeated are told apart by
-    their text; of rows alike in both, one is taken for all.
+    their text; of rows alike in id, source and text, one stands for all with what was drawn of each.
     """
-    draws, _ = mix(docs, **settings)
+    draws, documents = mix(docs, **settings)
     parts = F.sort_array(F.collect_list(F.struct("first_word", "n_words")))
 
     def joined(runs: Column, part: Column) -> Column:
@@ -266,11 +266,18 @@ def mixed_documents(docs: DataFrame, **settings: object) -> DataFrame:
     spans = spans.select(F.col("doc_id").alias("_i"), F.col("place").alias("_p"), F.col("source").alias("_s"), "_runs")
     text = F.coalesce(F.col("text"), F.lit(""))
     at = _place(F.lit("document"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.md5(text))
+    rows = docs.withColumn("_at", at)
+    if not documents.groupBy("doc_id", "place", "source").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        rows = rows.dropDuplicates(["doc_id", "_at", "source"])
     same = F.col("_at").eqNullSafe(F.col("_p")) & F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("source").eqNullSafe(F.col("_s"))
-    rows = docs.withColumn("_at", at).join(spans, same)
-    rows = rows.withColumn("_run", F.explode("_runs")).withColumn("_words", F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)))
-    cut = F.concat_ws("", F.slice(F.col("_words"), (F.col("_run.first_word") + 1).cast("int"), F.col("_run.n_words").cast("int")))
-    rows = rows.withColumn("text", F.rtrim(cut, F.lit(" \t\n\x0b\f\r")))
+
+    def cut(words: Column) -> Column:
+        part = lambda run: F.concat_ws("", F.slice(words, (run["first_word"] + 1).cast("int"), run["n_words"].cast("int")))
+        return F.transform("_runs", lambda run: F.rtrim(part(run), F.lit(" \t\n\x0b\f\r")))
+
+    # The words of a text are found once, however many runs were drawn of it.
+    cuts = _bound(F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0)), cut)
+    rows = rows.join(spans, same).withColumn("text", F.explode(cuts))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*docs.columns)

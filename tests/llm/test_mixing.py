@@ -95,6 +95,18 @@ def test_mixed_texts_are_parts_of_their_documents(documents):
     assert got == {i: n for i, n in taken.items() if n}
 
 
+def test_rows_alike_are_drawn_as_often_as_the_mix_says(documents):
+    docs = documents(*[(i % 5, " ".join(f"w{j}" for j in range(100 + i % 5)), "en", "a") for i in range(15)])
+    draws, held = mixing.mix(docs, block=8)
+    expected = {}
+    for r in mixing.taken(draws, held).collect():
+        expected[r["doc_id"]] = expected.get(r["doc_id"], 0) + r["taken"]
+    got = {}
+    for r in mixing.mixed_documents(docs, block=8).collect():
+        got[r["doc_id"]] = got.get(r["doc_id"], 0) + len(r["text"].split())
+    assert got == {i: n for i, n in expected.items() if n}
+
+
 def test_odd_rows(odd):
     found = mixing.taken(*mixing.mix(odd)).collect()
     assert len(found) == odd.count()
