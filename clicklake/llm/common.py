@@ -6,7 +6,8 @@ import os
 import re
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -15,6 +16,7 @@ from clicklake.session import scratch_dir
 CHUNK = 1 << 20
 _BYTE_SPACE = re.compile(rb"[ \t-\r]")
 _SPACE = re.compile(r"\s")
+_KEPT: dict[Hashable, Any] = {}
 
 
 def ship(spark: SparkSession) -> None:
@@ -47,6 +49,20 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def kept(key: Hashable, build: Callable[[], Any]) -> Any:
+    """What ``build`` makes, kept in this worker process from task to task until an operator asks for another one: a worker that
+    serves several operators in turn holds the memory of one."""
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = build()
+    return _KEPT[key]
+
+
+def release() -> None:
+    """Give up what ``kept`` holds in this worker process."""
+    _KEPT.clear()
+
+
 def unit(*parts: Column) -> Column:
     """A number in [0, 1) that depends on the parts alone."""
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))

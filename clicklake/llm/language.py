@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clicklake.llm.common import text_chunks, unit
+from clicklake.llm.common import kept, text_chunks, unit
 
 UNKNOWN = "und"
 SPAN = 24
@@ -283,16 +283,10 @@ class Pool:
             yield self.pooled(self.add(letters))
 
 
-_POOLS: dict[bytes, Pool] = {}
-
-
 def pool_of(network: Network) -> Pool:
     """One for each worker process and network."""
     key = b"".join(w.tobytes() for w in network.weights()) + "\0".join(network.languages).encode()
-    if key not in _POOLS:
-        _POOLS.clear()
-        _POOLS[key] = Pool(network)
-    return _POOLS[key]
+    return kept(("language", key), lambda: Pool(network))
 
 
 def predicted(text: Column, network: Network) -> Column:

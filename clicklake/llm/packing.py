@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from clicklake.llm.common import byte_words, written
+from clicklake.llm.common import byte_words, kept, written
 
 SEQUENCE = 4096
 END_ID = 1
@@ -124,14 +124,9 @@ class WordEncoder:
             at += len(words)
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
-
-
 def encoder(path: str) -> WordEncoder:
     """One for each worker process, kept from task to task."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+    return kept(("words", path), lambda: WordEncoder(path))
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:

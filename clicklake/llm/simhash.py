@@ -19,7 +19,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicklake.llm.common import byte_words, written
+from clicklake.llm.common import byte_words, release, written
 from clicklake.llm.graph import connected_components
 
 SHINGLE = 3
@@ -52,6 +52,7 @@ def text_fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 def fingerprint(text: Column, shingle: int = SHINGLE) -> Column:
     @F.pandas_udf("long")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release()
         for texts in batches:
             yield pd.Series([text_fingerprint(t, shingle) for t in texts], dtype="int64")
 

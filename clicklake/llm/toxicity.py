@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clicklake.llm.common import text_chunks, unit, written
+from clicklake.llm.common import release, text_chunks, unit, written
 
 # Kinds of groups; a term is swapped for the others of its row.
 IDENTITY_TERMS: tuple[tuple[str, ...], ...] = (
@@ -44,6 +44,7 @@ LEVELS = (1, 2, 4)
 PREFIXES = range(3, 9)
 _WORD = re.compile(r"[^\W\d_]+")
 CACHED_WORDS = 200_000
+COUNTED_FEATURES = 100_000
 
 
 def words(text: str) -> list[str]:
@@ -98,7 +99,11 @@ def _selected(examples: DataFrame, n_features: int, least_docs: int) -> list[str
     """The features most associated with the label, by chi-square over all examples; counted in Spark."""
     schema = "feature string, n long, pos long"
 
+    def frame(n: Counter[str], pos: Counter[str]) -> pd.DataFrame:
+        return pd.DataFrame({"feature": list(n), "n": list(n.values()), "pos": [pos[f] for f in n]}).astype({"feature": object, "n": "int64", "pos": "int64"})
+
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release()
         for batch in batches:
             n, pos = Counter(), Counter()
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
@@ -106,7 +111,10 @@ def _selected(examples: DataFrame, n_features: int, least_docs: int) -> list[str
                 n.update(has)
                 if toxic:
                     pos.update(has)
-            yield pd.DataFrame({"feature": list(n), "n": list(n.values()), "pos": [pos[f] for f in n]}).astype({"feature": object, "n": "int64", "pos": "int64"})
+                if len(n) > COUNTED_FEATURES:  # Spark adds up what a worker counts in parts
+                    yield frame(n, pos)
+                    n, pos = Counter(), Counter()
+            yield frame(n, pos)
 
     stats = examples.select("text", "toxic").mapInPandas(count, schema).groupBy("feature").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     total, positive = examples.agg(F.count(F.lit(1)), F.sum("toxic")).first()
@@ -232,6 +240,7 @@ def score(text: Column, model: Model) -> Column:
 
     @F.pandas_udf("double")
     def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release()
         scorer = Scorer(model)
         for texts in batches:
             yield pd.Series([scorer.score(t) for t in texts], dtype="float64")

@@ -1,0 +1,137 @@
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from clicklake.llm import language, packing, toxicity
+from clicklake.llm.common import written
+from tests.llm.test_mixing import brute_targets
+from tests.llm.test_simhash import brute_components, brute_fingerprint
+
+DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
+LABELS = "doc_id long, quality int, toxic int"
+WORDS = {
+    "en": "the house stands near an old river where children often play after school while their parents are working".split(),
+    "de": "das haus steht neben einem alten fluss wo die kinder nach der schule spielen während ihre eltern arbeiten".split(),
+    "fr": "la maison est près de la vieille rivière où les enfants jouent après leurs cours pendant que nous travaillons".split(),
+}
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """Folder of a small corpus: three languages, insults, copies, blank texts and a text much longer than the others."""
+    rng, rows, labels = random.Random(5), [], []
+    for i in range(150):
+        lang = ("en", "de", "fr")[i % 3]
+        words = rng.choices(WORDS[lang], k=rng.choice([5, 40, 120]))
+        toxic = int(i % 5 == 1)
+        if toxic:
+            words += ["idiots", "filthy", "idiots"]
+        rows.append((i, " ".join(words), lang, rng.choice(["a", "b", "hot", "hot"])))
+        if i % 4:
+            labels.append((i, 1, toxic))
+    rows += [(200 + i, rows[0][1], "en", "hot") for i in range(30)]
+    rows += [(300, None, None, None), (301, "", "en", "a"), (302, "12 + 34 = 46", "en", "b"), (303, " ".join(rng.choices(WORDS["en"], k=30_000)), "en", None)]
+    folder = str(tmp_path_factory.mktemp("corpus"))
+    full = [(*r, None if r[1] is None else len(r[1])) for r in rows]
+    spark.createDataFrame(full, DOCUMENTS).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{folder}/labels.parquet")
+    return folder
+
+
+@pytest.fixture(scope="module")
+def stages(spark, corpus):
+    """What goes into the first stage and what each stage returns."""
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    frames = {"documents": docs}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = frames[name] = written(stage(spark, docs, corpus), f"test-{name}")
+    return frames
+
+
+def ids(frame):
+    return sorted(r["doc_id"] for r in frame.select("doc_id").collect())
+
+
+def test_language_stage_keeps_what_the_network_accepts(stages):
+    docs = stages["documents"]
+    pool = language.Pool(language.fit(docs))
+    expected = [r["doc_id"] for r in docs.collect() if pool.predict(r["text"])[1] >= 0.3]
+    assert ids(stages["language"]) == sorted(expected)
+    assert set(range(150)) <= set(expected) and not {300, 301, 302} & set(expected)
+
+
+def test_toxicity_stage_keeps_what_scores_low(spark, corpus, stages):
+    docs = stages["language"]
+    model = toxicity.fit(docs, spark.read.parquet(f"{corpus}/labels.parquet"))
+    expected = [r["doc_id"] for r in docs.collect() if model.logit(toxicity.counts(r["text"])) < 0]
+    assert ids(stages["toxicity"]) == sorted(expected)
+    assert not {i for i in range(150) if i % 5 == 1} & set(expected) and {i for i in range(150) if i % 5 != 1} <= set(expected)
+
+
+def test_simhash_stage_keeps_the_first_of_each_group(stages):
+    prints = {r["doc_id"]: brute_fingerprint(r["text"]) for r in stages["toxicity"].collect()}
+    root = brute_components(set(prints.values()), 2)
+    first = {}
+    for i in sorted(prints):
+        first.setdefault(root[prints[i]], i)
+    assert ids(stages["simhash"]) == sorted(first.values())
+    assert not {200 + i for i in range(30)} & set(first.values())
+
+
+def test_mixing_stage_meets_the_targets_with_parts_of_texts(stages):
+    docs = {r["doc_id"]: r for r in stages["simhash"].collect()}
+    sizes, taken, by_document = {}, {}, {}
+    for r in docs.values():
+        sizes[r["source"]] = sizes.get(r["source"], 0) + len(r["text"].split())
+    for r in stages["mixing"].collect():
+        whole = docs[r["doc_id"]]
+        assert r["text"] in whole["text"] and r["n_chars"] == len(r["text"]) and r["source"] == whole["source"]
+        n = len(r["text"].split())
+        taken[r["source"]] = taken.get(r["source"], 0) + n
+        by_document[r["doc_id"]] = by_document.get(r["doc_id"], 0) + n
+    assert all(n <= 2 * len(docs[i]["text"].split()) for i, n in by_document.items())
+    for source, target in brute_targets(sizes).items():
+        assert abs(taken.get(source, 0) - target) <= 96
+
+
+def test_packing_stage_holds_every_token_once_without_gaps(stages):
+    tokenizer, expected = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY)), []
+    for r in stages["mixing"].collect():
+        got = np.array(tokenizer.encode(r["text"], add_special_tokens=False).ids + [packing.END_ID], "<u4")
+        expected += [(r["doc_id"], k, 4096 * k, len(got[4096 * k :][:4096]), zlib.crc32(got[4096 * k :][:4096].tobytes())) for k in range(-(-len(got) // 4096))]
+    rows = stages["packing"].collect()
+    assert sorted((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows) == sorted(expected)
+    ends = {}
+    for r in sorted(rows, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == ends.get(r["sequence_id"], 0)
+        ends[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(ends.values()) <= 4096 and len(ends) <= -(-sum(ends.values()) // 4096) + 1
+
+
+def test_all_stages_but_the_last_return_the_columns_of_documents(stages):
+    assert all(stages[name].columns == stages["documents"].columns for name, _ in corpus_pipeline.STAGES[:-1])
+
+
+def test_run_is_the_stages_in_a_row(spark, corpus, stages, rows):
+    assert rows(corpus_pipeline.run(spark, corpus)) == rows(stages["packing"])
+
+
+def test_odd_rows_and_clashing_columns_pass_through(spark, odd, corpus):
+    docs = odd
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, corpus), f"odd-{name}")
+        assert docs.columns == odd.columns and docs.where("size != 'clash'").isEmpty()
+    assert set(ids(docs)) <= {4, 5, 6, 7}
+    assert corpus_pipeline.packing_stage(spark, docs, corpus).count() >= docs.count()
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).where(F.lit(True)).count() == 0
