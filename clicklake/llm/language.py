@@ -23,6 +23,7 @@ SPAN = 24
 HIDDEN = 16
 CACHED_RUNS = 600_000
 HUGE = 4 << 20
+TOGETHER = 2048
 _RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -142,7 +143,7 @@ class Network:
         lengths = np.array([len(p) for p in parts])
         for length in np.unique(lengths):
             of = np.flatnonzero(lengths == length)
-            for some in np.array_split(of, -(-len(of) // 8192)):
+            for some in np.array_split(of, -(-len(of) // TOGETHER)):
                 codes = np.frombuffer(b"".join(parts[i] for i in some), np.uint8).reshape(len(some), length).T
                 out[some] = self.positions(codes).sum(0)
         return out
