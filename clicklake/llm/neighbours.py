@@ -2,14 +2,12 @@
 
 1. Equal vectors of a label are one node with a count.
 2. First lists: random hyperplanes give each node a signature in each of several tables; nodes sorted by signature are compared with those
-   next to them, and a list keeps the ``LIST`` best. Sorting splits any crowd, so no bucket is a task.
-3. Descent: the neighbours of a node are compared with each other, new pairs only, and lists are refined, until a round brings no link.
-   A list that is full of links is saturated and is given twice the length for the next round, up to ``LONGEST``.
+   next to them, and a list keeps the ``LIST`` best, whatever their cosine. Sorting splits any crowd, so no bucket is a task.
+3. Descent: the neighbours of a node are compared with each other, pairs better than a list's last are kept, and lists are refined, until
+   a round brings no link. A list that is full of links is saturated and is given twice the length for the next round, up to ``LONGEST``.
 4. Links are pairs of at least the threshold, and make components. Lists still saturated are made whole exactly: the members of a
    component are compared with all of its members, block by block, and counted, without giving out the pairs.
 5. Audit: some nodes are compared with all vectors of their label. If less than ``RECALL`` of their links were found, more tables are added.
-
-Lists keep pairs of ``EXPLORE`` or more: two vectors linked to a third one have a cosine of 0.73 at least.
 """
 
 from __future__ import annotations
@@ -25,12 +23,10 @@ from clicklake.llm.graph import connected_components
 from clicklake.llm.vectors import matrix, usable
 
 THRESHOLD = 0.93
-EXPLORE = 0.6
 TABLES = 8
 BITS = 32
 LIST = 16
 LONGEST = 64
-ROUNDS = 4
 NEXT = 32
 BLOCK = 512
 AUDITED = 256
@@ -89,7 +85,7 @@ def first_edges(nodes: DataFrame, tables: range) -> DataFrame:
                     rank = np.argsort(-sim, axis=1, kind="stable")[:, : LIST + 1]
                     row = np.repeat(np.arange(len(sim)), rank.shape[1])
                     col = rank.ravel()
-                    keep = (sim[row, col] >= EXPLORE) & (row != col)
+                    keep = row != col
                     parts.append((ids[i + row[keep]], ids[i + col[keep]], sim[row[keep], col[keep]]))
             tail = batch.iloc[-2 * NEXT :]  # meets the next batch again
             a, b, sim = (np.concatenate([p[k] for p in parts]) for k in range(3))
@@ -116,22 +112,49 @@ def _lists(edges: DataFrame, length: int, threshold: float) -> DataFrame:
     return ranked.where((F.col("rank") <= LIST) | (F.col("sim") >= threshold))
 
 
+def _trimmed(edges: DataFrame, threshold: float) -> DataFrame:
+    """The edges in the list of one of their ends, and the links: what is near the threshold is kept, to be computed again."""
+    listed = _lists(edges, LIST, threshold).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"), "sim")
+    return listed.unionByName(edges.where(F.col("sim") >= threshold - 1e-4)).groupBy("a", "b").agg(F.max("sim").alias("sim"))
+
+
+def _met(lists: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, sim) of neighbours of one node that are links, or better than the last of a list of theirs."""
+    last = lists.groupBy("node").agg(F.when(F.count(F.lit(1)) >= LIST, F.min(F.when(F.col("rank") <= LIST, F.col("sim")))).alias("last"))
+    ends = nodes.select("node", "v").join(last, "node").select(F.col("node").alias("other"), "v", F.coalesce("last", F.lit(-2.0)).alias("last"))
+
+    def pairs(rows: pd.DataFrame) -> pd.DataFrame:
+        x, ids, least = matrix(rows["v"]), rows["other"].to_numpy(), rows["last"].to_numpy()
+        sim = x @ x.T
+        keep = (ids[:, None] < ids[None, :]) & ((sim > np.minimum(least[:, None], least[None, :])) | (sim >= threshold))
+        row, col = np.nonzero(keep)
+        return pd.DataFrame({"a": ids[row], "b": ids[col], "sim": sim[row, col]})
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tail = None
+        for batch in batches:
+            batch = batch if tail is None else pd.concat([tail, batch], ignore_index=True)
+            open_ = batch["node"] == batch["node"].iloc[-1]  # its list may go on in the next batch
+            tail, whole = batch[open_], batch[~open_]
+            if len(whole):
+                yield pd.concat([pairs(rows) for _, rows in whole.groupby("node", sort=False)])
+        if tail is not None:
+            yield pairs(tail)
+
+    dealt = lists.select("node", "other").join(ends, "other").repartition("node").sortWithinPartitions("node")
+    return dealt.mapInPandas(compare, _EDGE).groupBy("a", "b").agg(F.max("sim").alias("sim"))
+
+
 def descend(edges: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """Refined edges: neighbours of neighbours compared, until a round finds no new link."""
-    length, known = LIST, edges.select("a", "b")
-    for _ in range(ROUNDS):
+    length = LIST
+    while True:
         lists = written(_lists(edges, length, threshold), "nn-lists")
-        left = lists.select("node", F.col("other").alias("a"))
-        right = lists.select("node", F.col("other").alias("b"))
-        met = left.join(right, "node").where("a < b").select("a", "b").distinct()
-        new = written(_cosines(met.join(known, ["a", "b"], "left_anti"), nodes).where(F.col("sim") >= EXPLORE), "nn-new")
-        found = new.where(F.col("sim") >= threshold).count()
-        if not found:
-            break
-        edges = written(edges.unionByName(new), "nn-edges")
-        known = edges.select("a", "b")
+        new = written(_met(lists, nodes, threshold).join(edges.select("a", "b"), ["a", "b"], "left_anti"), "nn-new")
+        if new.where(F.col("sim") >= threshold).isEmpty():
+            return edges
+        edges = written(_trimmed(edges.unionByName(new), threshold), "nn-edges")
         length = min(LONGEST, 2 * length)
-    return edges
 
 
 def _blocks(members: DataFrame, threshold: float) -> DataFrame:
@@ -207,7 +230,7 @@ def near_duplicate_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> tup
         fresh = first_edges(nodes, range(done, done + TABLES))
         done += TABLES
         every = fresh if edges is None else fresh.unionByName(edges)
-        edges = written(every.groupBy("a", "b").agg(F.max("sim").alias("sim")), "nn-first")
+        edges = written(_trimmed(every.groupBy("a", "b").agg(F.max("sim").alias("sim")), threshold), "nn-first")
         edges = descend(edges, nodes, threshold)
         # The sums of the first search are in single precision: what is near the threshold is computed again.
         sure = _cosines(edges.where(F.col("sim") >= threshold - 1e-4).select("a", "b"), nodes).where(F.col("sim") >= threshold)

@@ -37,6 +37,25 @@ def test_links_equal_brute_force(spark, vectors):
     assert all(rows[i]["n_links"] == 0 and rows[i]["component_id"] == i and rows[i]["kept"] for i, *_ in ODD if i) and not rows[None]["kept"]
 
 
+def _nodes(spark, x):
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    return spark.createDataFrame([("g", [float(c) for c in v], i, 1) for i, v in enumerate(x)], "grp string, v array<double>, node long, n long")
+
+
+def test_every_node_has_neighbours_whatever_their_cosines(spark):
+    found = neighbours.first_edges(_nodes(spark, np.eye(40)), range(1))
+    assert {e for r in found.collect() for e in (r["a"], r["b"])} == set(range(40))
+
+
+def test_the_descent_goes_on_while_rounds_find_links(spark):
+    angle = np.linspace(0, 0.37, 100)
+    nodes = _nodes(spark, np.stack([np.cos(angle), np.sin(angle)], 1))
+    path = spark.createDataFrame([(i, i + 1, float(np.cos(angle[1]))) for i in range(99)], "a long, b long, sim double")
+    found = {(r["a"], r["b"]): r["sim"] for r in neighbours.descend(path, nodes, 0.93).collect()}
+    assert max(b - a for a, b in found) > 16
+    assert all(abs(sim - np.cos(angle[b] - angle[a])) < 1e-9 for (a, b), sim in found.items())
+
+
 @pytest.mark.parametrize("block_rows", [40, 10_000])
 def test_top_k_equals_brute_force(spark, vectors, block_rows):
     rows = vectors + ODD
