@@ -7,11 +7,18 @@
    a round brings no link. A list that is full of links is saturated and is given twice the length for the next round, up to ``LONGEST``.
 4. Links are pairs of at least the threshold, and make components. Lists still saturated are made whole exactly: the members of a
    component are compared with all of its members, block by block, and counted, without giving out the pairs.
-5. Audit: some nodes are compared with all vectors of their label. If less than ``RECALL`` of their links were found, more tables are added.
+5. Audit: some nodes are compared with all vectors of their label, those of large components and the others each for themselves, until
+   ``WITNESSES`` of them have links. A node's recall is the share of its links that were found. If the mean is less than ``RECALL`` for
+   either kind, or too few nodes with links were seen, more tables are added.
+
+The first number of tables is such that a pair at the threshold meets in one of them with probability ``RECALL``, in a label of evenly
+spread vectors: the larger the label, the more bits two signatures must share to be neighbours.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +37,8 @@ LONGEST = 64
 NEXT = 32
 BLOCK = 512
 AUDITED = 256
+MOST_AUDITED = 4096
+WITNESSES = 100
 RECALL = 0.99
 MOST_TABLES = 32
 
@@ -194,41 +203,83 @@ def _blocks(members: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInPandas(compare, "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
 
 
-def _audit(nodes: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """The share of the links of some nodes, compared with all vectors, that ``counts`` (node, links) has."""
-    total = nodes.count()
-    chosen = nodes.where(unit(F.col("node"), F.lit("audit")) < min(1.0, AUDITED / max(1, total))).select("node", "grp", "v").collect()
+def tables_for(size: int, threshold: float) -> int:
+    """Tables in which a pair at the threshold, in a label of ``size`` evenly spread vectors, meets with probability ``RECALL``."""
+    same = 1 - math.acos(threshold) / math.pi
+    meets = same ** min(BITS, max(0.0, math.log2(max(1, size) / NEXT)))
+    return TABLES if meets > 1 - 1e-9 else max(TABLES, math.ceil(math.log(1 - RECALL) / math.log(1 - meets)))
+
+
+def _recalls(chosen: list, nodes: DataFrame, counts: DataFrame, threshold: float) -> list[float]:
+    """The share of its links that ``counts`` has, for each of the chosen nodes that has links."""
     groups: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for grp in {r["grp"] for r in chosen}:
         own = [r for r in chosen if r["grp"] == grp]
         groups[grp] = np.array([r["node"] for r in own]), np.array([r["v"] for r in own])
 
     def brute(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = {grp: np.zeros(len(ids), np.int64) for grp, (ids, _) in groups.items()}
         for batch in batches:
             for grp, some in batch.groupby("grp"):
                 if grp in groups:
                     ids, x = groups[grp]
-                    linked = (x @ matrix(some["v"]).T >= threshold) & (ids[:, None] != some["node"].to_numpy()[None, :])
-                    yield pd.DataFrame({"node": ids, "links": (linked * some["n"].to_numpy()[None, :]).sum(1)})
+                    others, n = some["node"].to_numpy(), some["n"].to_numpy()
+                    y = matrix(some["v"])
+                    for i in range(0, len(ids), BLOCK):
+                        linked = (x[i : i + BLOCK] @ y.T >= threshold) & (ids[i : i + BLOCK, None] != others[None, :])
+                        sums[grp][i : i + BLOCK] += (linked * n[None, :]).sum(1)
+        for grp, (ids, _) in groups.items():
+            yield pd.DataFrame({"node": ids, "links": sums[grp]})
+
+    true = nodes.mapInPandas(brute, "node long, links long").groupBy("node").agg(F.sum("links").alias("all_links")).where("all_links > 0")
+    both = true.join(counts, "node", "left").select("all_links", F.coalesce("links", F.lit(0)).alias("links")).collect()
+    return [min(1.0, r["links"] / r["all_links"]) for r in both]
 
-    true = nodes.mapInPandas(brute, "node long, links long").groupBy("node").agg(F.sum("links").alias("true"))
-    both = true.join(counts, "node", "left").agg(F.sum("true"), F.sum(F.coalesce("links", F.lit(0)))).first()
-    return 1.0 if not both[0] else both[1] / both[0]
 
+def _audit(nodes: DataFrame, sizes: DataFrame, counts: DataFrame, threshold: float) -> tuple[float | None, bool]:
+    """The mean share of a node's links that ``counts`` (node, links) has, of the kind of nodes that has less; and whether enough was seen.
 
-def near_duplicate_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, float]:
+    ``sizes`` (node, size) has the components found. Nodes of components larger than ``LONGEST`` are one kind, all others the other, so
+    that a crowd does not hide lost pairs. Nodes are drawn until ``WITNESSES`` have links, all are drawn (what is then seen is the whole
+    truth) or ``MOST_AUDITED`` are. None: no node with links was seen among those drawn, and others are left.
+    """
+    crowd, u = F.coalesce("size", F.lit(1)) > LONGEST, unit(F.col("node"), F.lit("audit"))
+    sized = written(nodes.join(sizes, "node", "left").select("grp", "node", "v", crowd.alias("crowd"), u.alias("u")), "nn-audit")
+    found, enough = [], True
+    for kind, total in sized.groupBy("crowd").count().collect():
+        low, high, shares = 0.0, min(1.0, AUDITED / total), []
+        while True:
+            chosen = sized.where((F.col("crowd") == kind) & (F.col("u") >= low) & (F.col("u") < high)).select("node", "grp", "v").collect()
+            shares += _recalls(chosen, nodes, counts, threshold)
+            if len(shares) >= WITNESSES or high >= 1.0:
+                break
+            if high >= MOST_AUDITED / total:
+                enough = False
+                break
+            low, high = high, min(1.0, MOST_AUDITED / total, 4 * high)
+        if shares or high >= 1.0:
+            found.append(sum(shares) / len(shares) if shares else 1.0)
+    return (min(found) if found else 1.0 if enough else None), enough
+
+
+def near_duplicate_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, float | None]:
     """(vec_id, n_links, component_id, kept) for every row of ``rows`` (vec_id, embedding, label), and the recall that the audit measured.
 
+    A recall below ``RECALL`` with the last table is an error. Where even then too few of the audited nodes have links to measure it, a
+    warning says so, and without any the recall is None.
+
     A null label, and a vector that is null, empty, all zero or holds null or non-finite components, links with nothing: no links, its own
     component. Vectors of different length do not link. Repeated rows are vectors that link with each other. A null id has a null component
     and is not kept. Other columns are not used; an empty table gives no rows.
     """
     directed = written(directions(rows), "nn-directions")
     nodes = written(nodes_of(directed), "nn-nodes")
-    edges, done = None, 0
+    largest = nodes.groupBy("grp").count().agg(F.max("count")).first()[0] or 0
+    edges, done, goal = None, 0, tables_for(largest, threshold)
+    most = max(MOST_TABLES, 2 * goal)
     while True:
-        fresh = first_edges(nodes, range(done, done + TABLES))
-        done += TABLES
+        fresh = first_edges(nodes, range(done, goal))
+        done, goal = goal, goal + TABLES
         every = fresh if edges is None else fresh.unionByName(edges)
         edges = written(_trimmed(every.groupBy("a", "b").agg(F.max("sim").alias("sim")), threshold), "nn-first")
         edges = descend(edges, nodes, threshold)
@@ -238,8 +289,13 @@ def near_duplicate_vectors(rows: DataFrame, threshold: float = THRESHOLD) -> tup
         sizes = components.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
         members = components.join(sizes, "root").join(nodes, "node").select(F.col("root").alias("component"), "size", "node", "n", "v")
         counts = written(_blocks(members, threshold), "nn-counts")
-        recall = _audit(nodes, counts, threshold)
-        if recall >= RECALL or done >= MOST_TABLES:
+        recall, enough = _audit(nodes, members.select("node", "size"), counts, threshold)
+        if enough and recall >= RECALL:
+            break
+        if done >= most:
+            if recall is not None and recall < RECALL:
+                raise RuntimeError(f"near_duplicate_vectors: {done} tables found {recall:.4f} of the audited nodes' links, less than {RECALL}")
+            warnings.warn(f"near_duplicate_vectors: too few of the audited nodes have links to measure the recall of {done} tables", stacklevel=2)
             break
     found = nodes.join(components, "node", "left").join(counts, "node", "left")
     found = found.select("grp", "v", F.coalesce("root", "node").alias("component"), (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("links"))

@@ -56,6 +56,35 @@ def test_the_descent_goes_on_while_rounds_find_links(spark):
     assert all(abs(sim - np.cos(angle[b] - angle[a])) < 1e-9 for (a, b), sim in found.items())
 
 
+def test_a_crowd_does_not_hide_lost_pairs(spark):
+    rng = np.random.default_rng(5)
+    pairs = np.repeat(rng.standard_normal((60, 64)), 2, axis=0) + 0.1 * rng.standard_normal((120, 64))
+    nodes = _nodes(spark, np.vstack([rng.standard_normal(64) + 0.1 * rng.standard_normal((300, 64)), pairs]))
+    sizes = spark.createDataFrame([(i, 300) for i in range(300)], "node long, size long")
+    crowd, pair = [(i, 299) for i in range(300)], [(i, 1) for i in range(300, 420)]
+    audit = lambda counts: neighbours._audit(nodes, sizes, spark.createDataFrame(counts, "node long, links long"), 0.93)
+    assert audit(crowd) == (0.0, True) and audit(crowd + pair) == (1.0, True) and audit(crowd + pair[:60]) == (0.5, True)
+
+
+def test_no_link_seen_is_no_evidence(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "AUDITED", 10)
+    monkeypatch.setattr(neighbours, "MOST_AUDITED", 20)
+    none = spark.createDataFrame([], "node long, links long")
+    assert neighbours._audit(_nodes(spark, np.eye(64)), none.withColumnRenamed("links", "size"), none, 0.93) == (None, False)
+
+
+def test_a_recall_that_stays_low_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "MOST_TABLES", 8)
+    monkeypatch.setattr(neighbours, "tables_for", lambda *_: 4)
+    monkeypatch.setattr(neighbours, "descend", lambda edges, *_: edges.limit(0))
+    with pytest.raises(RuntimeError, match="less than"):
+        neighbours.near_duplicate_vectors(spark.createDataFrame([(i, [1.0, i / 100], 0) for i in range(6)], SCHEMA))
+
+
+def test_tables_grow_with_the_label():
+    assert neighbours.tables_for(0, 0.93) == neighbours.tables_for(200, 0.93) == 8 < neighbours.tables_for(20_000, 0.93) < neighbours.tables_for(10**8, 0.93)
+
+
 @pytest.mark.parametrize("block_rows", [40, 10_000])
 def test_top_k_equals_brute_force(spark, vectors, block_rows):
     rows = vectors + ODD
