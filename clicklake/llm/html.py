@@ -8,8 +8,9 @@ the body down. On each page that has the node, it shows a style (the row of its
   is as important as one less the mean of that over its contents.
 - The importance of a node is (1 - g^l) * presentation + g^l * content, g = 0.9 and l its styles.
 
-Branches of low importance are removed from each page, besides those whose tag, class, id or role says what they are. A branch with
-half of a page's remaining text or more stays: hosts may hold little but copies.
+Branches of low importance are removed from each page, besides those whose tag, class, id or role says what they are: a name counts if
+all its words say so ("cookie-notice", not "has-sidebar"). A branch with half of a page's text or more stays, whatever it is called, as
+does one around a page's only article; of the tree's branches one with half of the remaining text: hosts may hold little but copies.
 
 Counts are made per task and added up in Spark; a page meets its host's list of unimportant nodes in a join.
 """
@@ -63,10 +64,13 @@ _TOKEN = re.compile(r"[a-z]+")
 class Node:
     tag: str
     place: str
-    aside: bool
-    main: bool
+    parent: Node | None
+    named: bool  # its tag or a name says that it is no part of the article
+    header: bool  # likewise, unless it stands in an article
     children: list[str]
     above: tuple[str, ...]
+    aside: bool = False
+    main: bool = False
 
 
 @dataclass
@@ -77,17 +81,35 @@ class Block:
     node: Node
 
 
-def _names(attributes: str) -> list[str]:
-    found = []
-    for kind, *values in _NAMES.findall(attributes):
-        found += _TOKEN.findall(next((v for v in values if v), "").lower())
-    return found
+def _names(attributes: str) -> list[list[str]]:
+    """The words of each name."""
+    found = [name for _, *values in _NAMES.findall(attributes) for name in next((v for v in values if v), "").lower().split()]
+    return [words for words in map(_TOKEN.findall, found) if words]
+
+
+def _judge(blocks: list[Block], nodes: list[Node]) -> None:
+    """Set what is aside and what is in an article. A name is a hint: it does not remove half of the text or the only article."""
+    sizes, articles = Counter(), set()
+    for b in blocks:
+        sizes[id(b.node)] += len(b.text)
+    total = sum(sizes.values())
+    for n in reversed(nodes[1:]):  # parents come before their children
+        sizes[id(n.parent)] += sizes[id(n)]
+        if n.tag in MAIN and sizes[id(n)] or id(n) in articles:
+            articles.update((id(n), id(n.parent)))
+    for spared in (set(), articles):
+        for n in nodes[1:]:
+            hinted = n.named or n.header and not n.parent.main
+            n.aside = n.parent.aside or hinted and id(n) not in spared and 2 * sizes[id(n)] < total
+            n.main = n.parent.main or n.tag in MAIN and not n.aside
+        if any(b.node.main for b in blocks if not b.node.aside):
+            break
 
 
 def parse(html: str | None) -> tuple[list[Block], list[Node]]:
     """The blocks of a page in page order, and its elements. Unclosed and stray tags are taken as browsers take them, roughly."""
     html = html or ""
-    root = Node("", "", False, False, [], ())
+    root = Node("", "", None, False, False, [], ())
     stack, nodes, blocks, text = [root], [root], [], []
     at, size = 0, len(html)
 
@@ -149,14 +171,17 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK or len(stack) >= DEEPEST:
             continue
         names = [] if tag in ("html", "body", "main") else _names(attributes)
-        inside = parent.main
-        aside = parent.aside or (tag in ASIDE_TAGS and not (tag == "header" and inside)) or any(n in ASIDE_NAMES and not (n == "header" and inside) for n in names)
+        hints = [set(words) for words in names if ASIDE_NAMES.issuperset(words)]
+        header = tag == "header" or {"header"} in hints
+        named = tag in ASIDE_TAGS and tag != "header" or any(words != {"header"} for words in hints)
+        names = [word for words in names for word in words]
         place = f"{parent.place}>{tag}" + "".join(f".{n}" for n in sorted(set(names))) if tag in BLOCK or names else parent.place
         above = (*parent.above, place) if tag in CONTAINERS and place != parent.place else parent.above
-        node = Node(tag, place, aside, inside or (tag in MAIN and not aside), [], above)
+        node = Node(tag, place, parent, named, header, [], above)
         nodes.append(node)
         stack.append(node)
     flush()
+    _judge(blocks, nodes)
     return blocks, nodes
 
 

@@ -13,6 +13,14 @@ def test_pages_without_an_article_and_broken_markup():
     assert html.main_text("<div>" * 5000 + "deep") == "deep" and html.main_text(None) == html.main_text("") == ""
 
 
+def test_a_name_is_a_hint():
+    for tag, name in (("div", "layout has-sidebar"), ("article", "post comments-open"), ("div", "search-results"), ("div", "widget"), ("form", "")):
+        page = f"<body><nav>menu</nav><{tag} class='{name}'><h1>Title</h1><p>A text that is the main part of it.</p><div class=ads>buy</div></{tag}></body>"
+        assert html.main_text(page) == "Title\n\nA text that is the main part of it."
+    assert html.main_text("<nav>a very long row of links</nav><form>" + "<p>x</p>" * 9 + "<article>own</article></form>") == "own"
+    assert html.main_text("<article>own text</article><aside><article>more</article></aside>") == "own text"
+
+
 def test_branches_that_all_pages_of_a_host_share_go(spark):
     page = "<body><div class='q7'>Same words everywhere</div><div class='z'><p>Story %d of its own, and long enough to be the main part</p></div></body>"
     rows = [(i, f"http://h.example/{i}", page % i) for i in range(12)] + [(50, None, None), (51, "x", ""), (52, "http://other.example/", page % 1), (52, "http://other.example/", page % 1)]
