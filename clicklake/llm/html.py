@@ -32,7 +32,7 @@ from clicklake.llm.common import written
 DAMPING = 0.9
 LEAST_PAGES = 10
 LEAST_IMPORTANCE = 0.3
-DEEPEST = 256
+DEEPEST = 256  # branches around a place that the tree judges; what is deeper goes or stays with the last of them
 
 # HTML's elements by kind.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -63,12 +63,12 @@ _TOKEN = re.compile(r"[a-z]+")
 @dataclass
 class Node:
     tag: str
-    place: str
+    place: int
     parent: Node | None
     named: bool  # its tag or a name says that it is no part of the article
     header: bool  # likewise, unless it stands in an article
     children: list[str]
-    above: tuple[str, ...]
+    above: tuple[int, ...]
     aside: bool = False
     main: bool = False
 
@@ -109,9 +109,9 @@ def _judge(blocks: list[Block], nodes: list[Node]) -> None:
 def parse(html: str | None) -> tuple[list[Block], list[Node]]:
     """The blocks of a page in page order, and its elements. Unclosed and stray tags are taken as browsers take them, roughly."""
     html = html or ""
-    root = Node("", "", None, False, False, [], ())
+    root = Node("", 0, None, False, False, [], ())
     stack, nodes, blocks, text = [root], [root], [], []
-    at, size = 0, len(html)
+    at, size, opened = 0, len(html), Counter()
 
     def flush() -> None:
         if text:
@@ -123,6 +123,7 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
     def pop(depth: int) -> None:
         if any(n.tag in BLOCK for n in stack[depth:]):
             flush()
+        opened.subtract(n.tag for n in stack[depth:])
         del stack[depth:]
 
     while at < size:
@@ -138,8 +139,10 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
             continue
         tag, closes, attributes = name.lower(), found[1] or found[4], found[3] or found[6] or ""
         if closes:
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if depth and (tag in BLOCK or not any(n.tag in BLOCK for n in stack[depth + 1 :])):
+            depth = 0
+            if opened[tag] > 0:  # other than a block's, a tag closes nothing outside the block that it stands in
+                depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag or tag not in BLOCK and stack[i].tag in BLOCK), 0)
+            if depth and stack[depth].tag == tag:
                 pop(depth)
             elif tag in BLOCK:
                 flush()
@@ -159,7 +162,7 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
                     break
                 if stack[i].tag in BLOCK:
                     break
-            if tag in CLOSED_BY_SAME:
+            if tag in CLOSED_BY_SAME and any(opened[t] > 0 for t in ("dt", "dd", "td", "th", tag)):
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i].tag == tag or {stack[i].tag, tag} in ({"dt", "dd"}, {"td", "th"}):
                         pop(i)
@@ -168,18 +171,22 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
                         break
         parent = stack[-1]
         parent.children.append(tag)
-        if tag in VOID or attributes.endswith("/") and tag not in BLOCK or len(stack) >= DEEPEST:
+        if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             continue
         names = [] if tag in ("html", "body", "main") else _names(attributes)
         hints = [set(words) for words in names if ASIDE_NAMES.issuperset(words)]
         header = tag == "header" or {"header"} in hints
         named = tag in ASIDE_TAGS and tag != "header" or any(words != {"header"} for words in hints)
         names = [word for words in names for word in words]
-        place = f"{parent.place}>{tag}" + "".join(f".{n}" for n in sorted(set(names))) if tag in BLOCK or names else parent.place
-        above = (*parent.above, place) if tag in CONTAINERS and place != parent.place else parent.above
+        place = parent.place
+        if tag in BLOCK or names:
+            place = xxhash.xxh64_intdigest(f"{parent.place}>{tag}" + "".join(f".{n}" for n in sorted(set(names))))
+        judged = tag in CONTAINERS and place != parent.place and len(parent.above) < DEEPEST
+        above = (*parent.above, place) if judged else parent.above
         node = Node(tag, place, parent, named, header, [], above)
         nodes.append(node)
         stack.append(node)
+        opened[tag] += 1
     flush()
     _judge(blocks, nodes)
     return blocks, nodes
@@ -203,7 +210,7 @@ def main_text(html: str | None, unimportant: frozenset[int] = frozenset(), host:
     return "\n\n".join(b.text for b in kept)
 
 
-def node_key(host: str, place: str) -> int:
+def node_key(host: str, place: int) -> int:
     return xxhash.xxh64_intdigest(f"{host}\0{place}") >> 1
 
 

@@ -21,6 +21,12 @@ def test_a_name_is_a_hint():
     assert html.main_text("<article>own text</article><aside><article>more</article></aside>") == "own text"
 
 
+def test_deep_pages():
+    for inner, end in (("<div>", "</div>"), ("<b>", "")):
+        deep = f"<p>first</p>{inner * 3000}<p>second</p><aside>no</aside>{end * 3000}<p>third</p>"
+        assert html.main_text(f"<div><article>{deep}</article>outside</div>") == "first\n\nsecond\n\nthird"
+
+
 def test_branches_that_all_pages_of_a_host_share_go(spark):
     page = "<body><div class='q7'>Same words everywhere</div><div class='z'><p>Story %d of its own, and long enough to be the main part</p></div></body>"
     rows = [(i, f"http://h.example/{i}", page % i) for i in range(12)] + [(50, None, None), (51, "x", ""), (52, "http://other.example/", page % 1), (52, "http://other.example/", page % 1)]
