@@ -7,6 +7,8 @@ the body down. On each page that has the node, it shows a style (the row of its
 - A content is unimportant if it is on all pages of the node: its entropy over them is ln(pages with it) / ln(pages). A node's content
   is as important as one less the mean of that over its contents.
 - The importance of a node is (1 - g^l) * presentation + g^l * content, g = 0.9 and l its styles.
+- A paragraph, heading or other block of text is judged by its own content, if that is on most pages of its place.
+- All importance is smoothed by a page of full importance: few pages must agree more than many.
 
 Branches of low importance are removed from each page, besides those whose tag, class, id or role says what they are: a name counts if
 all its words say so ("cookie-notice", not "has-sidebar"). A branch with half of a page's text or more stays, whatever it is called, as
@@ -30,7 +32,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from clicklake.llm.common import written
 
 DAMPING = 0.9
-LEAST_PAGES = 10
 LEAST_IMPORTANCE = 0.3
 DEEPEST = 256  # branches around a place that the tree judges; what is deeper goes or stays with the last of them
 
@@ -50,7 +51,7 @@ ASIDE_NAMES = frozenset(
     "recommended related replies reply search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 MAIN = frozenset(("article", "main"))
-# Branches that a style tree may remove: containers, not the flow of paragraphs and headings.
+# Branches that a style tree may remove; of the flow of paragraphs and headings it judges each text.
 CONTAINERS = frozenset("center dl div fieldset figure ol section span table ul".split())
 
 _MARKUP = re.compile(
@@ -207,6 +208,9 @@ def main_text(html: str | None, unimportant: frozenset[int] = frozenset(), host:
         total = sum(len(b.text) for b in kept)
         removed = {place for place, size in low.items() if 2 * size < total}
         kept = [b for b in kept if not removed.intersection(b.node.above)]
+        own = [b for b in kept if node_key(host, b.node.place) ^ _content(b) not in unimportant]
+        if 2 * sum(len(b.text) for b in own) > sum(len(b.text) for b in kept):
+            kept = own
     return "\n\n".join(b.text for b in kept)
 
 
@@ -214,17 +218,22 @@ def node_key(host: str, place: int) -> int:
     return xxhash.xxh64_intdigest(f"{host}\0{place}") >> 1
 
 
+def _content(block: Block) -> int:
+    return xxhash.xxh64_intdigest(block.text.encode("utf-8", "replace")) >> 1
+
+
 def shown(html: str | None, host: str) -> set[tuple[int, int, int]]:
     """What a page shows of its host's tree: (node, kind, what); kind 0: the page has the node, 1: a style of it, 2: a content under it."""
     blocks, nodes = parse(html)
     wanted = {place: node_key(host, place) for n in nodes if n.above for place in n.above}
+    wanted.update((b.node.place, node_key(host, b.node.place)) for b in blocks)
     out = {(key, 0, 0) for key in wanted.values()}
     for n in nodes:
         if n.place in wanted:
             out.add((wanted[n.place], 1, xxhash.xxh64_intdigest(">".join(n.children)) >> 1))
     for b in blocks:
-        what = xxhash.xxh64_intdigest(b.text.encode("utf-8", "replace")) >> 1
-        out.update((wanted[place], 2, what) for place in b.node.above)
+        what = _content(b)
+        out.update((wanted[place], 2, what) for place in (*b.node.above, b.node.place))
     return out
 
 
@@ -232,8 +241,12 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def _smoothed(importance: Column) -> Column:
+    return (F.col("pages") * importance + 1) / (F.col("pages") + 1)
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
-    """(host, node, pages, importance) of every removable node of the hosts' trees."""
+    """(host, node, pages, importance) of every node of the hosts' trees, and of the contents that are on most pages of their place."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -245,7 +258,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     schema = "host string, node long, kind int, what long, n long"
     counted = pages.select(host_of(F.col("url")).alias("host"), "html").mapInPandas(count, schema)
-    counted = counted.groupBy("host", "node", "kind", "what").agg(F.sum("n").alias("n"))
+    counted = written(counted.groupBy("host", "node", "kind", "what").agg(F.sum("n").alias("n")), "style-counts")
     of = lambda kind, value: F.sum(F.when(F.col("kind") == kind, value))
     n = F.col("n").cast("double")
     sums = counted.groupBy("host", "node").agg(
@@ -260,17 +273,22 @@ def style_tree(pages: DataFrame) -> DataFrame:
     presentation = F.coalesce((F.log("style_pages") - F.col("style_logs") / F.col("style_pages")) / base, F.lit(0.0))
     content = F.coalesce(1 - F.col("content_logs") / F.col("contents") / base, F.lit(0.0))
     damped = F.pow(F.lit(DAMPING), F.coalesce("styles", F.lit(0)).cast("double"))
-    return sums.select("host", "node", "pages", ((1 - damped) * presentation + damped * content).alias("importance"))
+    branches = sums.select("host", "node", "pages", _smoothed((1 - damped) * presentation + damped * content).alias("importance"))
+    places = counted.where("kind = 0").select("host", "node", F.col("n").alias("pages"))
+    common = counted.where("kind = 2 and n > 1").join(places, ["host", "node"]).where("2 * n > pages")
+    alone = 1 - F.log(n) / base
+    contents = common.select("host", F.col("node").bitwiseXOR(F.col("what")).alias("node"), "pages", _smoothed(alone).alias("importance"))
+    return branches.unionByName(contents)
 
 
-def extract(pages: DataFrame, least_pages: int = LEAST_PAGES, least_importance: float = LEAST_IMPORTANCE) -> DataFrame:
+def extract(pages: DataFrame, least_importance: float = LEAST_IMPORTANCE) -> DataFrame:
     """(page_id, url, text) for every row of ``pages`` (page_id, url, html; other columns are not used).
 
     Null and empty html has an empty text; a null url or one without a host belongs to the host of no name; repeated rows
-    are rows (and pages of the tree); a host with less than ``least_pages`` pages loses only what its tags and names say; an
-    empty table gives no rows.
+    are rows (and pages of the tree); a host of one or two pages loses only what its tags and names say, as two that agree are not
+    enough against the page of full importance; an empty table gives no rows.
     """
-    low = style_tree(pages).where((F.col("pages") >= least_pages) & (F.col("importance") < least_importance))
+    low = style_tree(pages).where((F.col("pages") >= 2) & (F.col("importance") < least_importance))
     low = written(low.groupBy(F.col("host").alias("low_host")).agg(F.collect_set("node").alias("nodes")), "unimportant")
     rows = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"))
     rows = rows.join(low, F.col("host") == F.col("low_host"), "left")

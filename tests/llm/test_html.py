@@ -37,3 +37,9 @@ def test_branches_that_all_pages_of_a_host_share_go(spark):
     assert texts[3] == "Story 3 of its own, and long enough to be the main part" and texts[50] == texts[51] == ""
     assert texts[52].startswith("Same words everywhere\n\nStory 1")
     assert html.extract(frame.limit(0)).count() == 0
+
+
+def test_lines_that_all_pages_of_a_small_host_share_go(spark):
+    page = "<body><p>Read our notice</p><h2>Same heading</h2><div class='q7'>Same words</div><p>Story %d of its own, and long enough to be the main part</p></body>"
+    frame = spark.createDataFrame([(i, "http://h.example/", page % i) for i in range(4)], "page_id long, url string, html string")
+    assert {r["text"] for r in html.extract(frame).collect()} == {f"Story {i} of its own, and long enough to be the main part" for i in range(4)}
