@@ -130,6 +130,16 @@ def linked_fingerprints(prints: DataFrame, max_distance: int = MAX_DISTANCE, buc
     return pairs.unionByName(star).distinct()
 
 
+def _grouped(prints: DataFrame, max_distance: int, bucket: int) -> DataFrame:
+    """(fp, root, component_id) for every fingerprint of ``prints`` (doc_id, fp): root is one fingerprint of its group."""
+    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
+    linked = connected_components(linked_fingerprints(nodes.select("fp"), max_distance, bucket), "simhash")
+    linked = linked.join(nodes, linked.node == nodes.fp).select("fp", "root", "first_id")
+    roots = linked.groupBy("root").agg(F.min("first_id").alias("group_id"))
+    grouped = linked.join(roots, "root").select("fp", "root", "group_id")
+    return nodes.join(grouped, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), F.coalesce("group_id", "first_id").alias("component_id"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE, bucket: int = BUCKET
 ) -> DataFrame:
@@ -140,23 +150,23 @@ def near_duplicates(
     one; ids are reduced to their minimum before any shuffle.
     """
     prints = written(docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp")), "simhash-prints")
-    nodes = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "simhash-nodes")
-    linked = connected_components(linked_fingerprints(nodes.select("fp"), max_distance, bucket), "simhash")
-    linked = linked.join(nodes, linked.node == nodes.fp).select("fp", "root", "first_id")
-    roots = linked.groupBy("root").agg(F.min("first_id").alias("group_id"))
-    grouped = linked.join(roots, "root").select("fp", "group_id")
-    nodes = nodes.join(grouped, "fp", "left").select("fp", F.coalesce("group_id", "first_id").alias("component_id"))
-    return prints.join(nodes, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(_grouped(prints, max_distance, bucket), "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """The rows of ``docs``, all columns, whose doc_id is the smallest of its group; of rows repeated with that id, one.
+    """One row, all columns, of each group of ``docs``: the one with the smallest doc_id, then fingerprint, then hash of the text.
 
-    Rows without an id that only link among themselves go.
+    Rows are told apart by id and text, so an id that is repeated with other texts neither loses a document nor saves a copy; of rows
+    repeated with both, one stays. Rows without an id that only link among themselves go.
     """
-    found = near_duplicates(docs, shingle, max_distance).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    found = written(found.withColumnRenamed("doc_id", "kept_id"), "simhash-kept")
-    kept = docs.join(found.select("kept_id"), F.col("doc_id") == F.col("kept_id"), "left_semi")
+    key = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(F.col("text"))))
+    prints = docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp"), key.alias("row_key"))
+    prints = written(prints, "simhash-prints")
+    named = prints.where("doc_id is not null")  # the others still link their groups
+    first = named.join(_grouped(prints, max_distance, BUCKET), "fp").groupBy("root").agg(F.min(F.struct("doc_id", "fp", "row_key")).alias("first"))
+    found = named.join(first.select(F.col("first.row_key").alias("row_key")), "row_key").groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
+    found = written(found.withColumnRenamed("row_key", "kept_key"), "simhash-kept")
+    kept = docs.join(found.select("kept_key"), key == F.col("kept_key"), "left_semi")
     if found.where("n > 1").isEmpty():
         return kept
-    return kept.dropDuplicates(["doc_id"])
+    return kept.dropDuplicates(["doc_id", "text"])

@@ -87,6 +87,11 @@ def test_repeated_rows_of_the_first_id_stay_once(documents):
     assert [r["doc_id"] for r in kept.collect()] == [1]
 
 
+def test_a_repeated_id_loses_no_document_and_saves_no_copy(documents):
+    kept = simhash.keep_first(documents((1, "a b c d"), (2, "a b c d"), (2, "one two three four"), (2, "e f g h"), (1, "e f g h"), (3, "one two three four")))
+    assert sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, "a b c d"), (1, "e f g h"), (2, "one two three four")]
+
+
 def test_no_rows(documents):
     assert simhash.near_duplicates(documents().limit(0)).count() == 0
     assert simhash.keep_first(documents()).count() == 0
