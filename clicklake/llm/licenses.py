@@ -2,8 +2,8 @@
 
 The templates' words are weighted by how rare they are among all documents (inverse document frequency). A template's three rarest
 words are its anchors; the index lists the templates and places that an anchor has. Each occurrence of an anchor in a file
-votes for the place where the template would start, and a start on which two anchors agree is a candidate. It counts if the
-template's mandatory key phrase stands there word by word; its score is the share of the template's weight that stands at its place.
+votes for the place where the template would start, and a start on which two anchors agree is a candidate: also one before the file's
+first word, as a file may open with its licence's title. It counts if the template's mandatory key phrase stands there word by word; its score is the share of the template's weight that stands at its place.
 Base phrases are found by themselves, wherever their words follow each other.
 
 All of it is DataFrame expressions on the text's array of words; nothing but the word counts is shuffled.
@@ -87,12 +87,14 @@ def _stands(words: Column, start: Column, phrase: list[str]) -> Column:
     out = F.get(words, start) == phrase[0]
     for k, word in enumerate(phrase[1:], 1):
         out = out & (F.get(words, start + k) == word)
-    return out
+    return F.coalesce(out, F.lit(False))
 
 
 def anchors(template: Template, weight: dict[str, float]) -> list[tuple[str, int]]:
-    """The template's rarest words and their places."""
-    return sorted(template.places().items(), key=lambda p: (-weight[p[0]], p[0]))[:ANCHORS]
+    """The template's rarest words, and those of its key phrase, with their places."""
+    rarest = sorted(template.places().items(), key=lambda p: (-weight[p[0]], p[0]))[:ANCHORS]
+    own = [(word, template.key_at + k) for k, word in enumerate(template.key.split())]
+    return list(dict.fromkeys(rarest + own))
 
 
 def _share(words: Column, hits: Column, template: Template, weight: dict[str, float]) -> Column:
@@ -104,7 +106,7 @@ def _share(words: Column, hits: Column, template: Template, weight: dict[str, fl
     starts = [begins(word, at) for word, at in anchors(template, weight)]
     agreed = [F.array_intersect(a, b) for k, a in enumerate(starts) for b in starts[k + 1 :]]
     verified = F.filter(
-        F.array_distinct(F.concat(*agreed)), lambda s: (s >= 0) & _stands(words, s + template.key_at, template.key.split())
+        F.array_distinct(F.concat(*agreed)), lambda s: _stands(words, s + template.key_at, template.key.split())
     )
     total = sum(weight[w] for w in template.words)
 

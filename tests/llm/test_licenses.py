@@ -38,6 +38,19 @@ def test_templates_need_their_key_phrase_and_two_anchors(documents):
     assert (rows[5]["first_word"], rows[5]["last_word"], rows[5]["base_labels"]) == (7, 7, "gpl")
 
 
+def test_a_file_may_open_with_the_title_of_its_licence(documents):
+    titles = {
+        "apache-2.0": "Apache License Version 2.0, January 2004",
+        "gpl,gpl-3.0": "GNU General Public License version 3",
+        "lgpl": "GNU Lesser General Public License",
+        "mit": "MIT License",
+        "mpl-2.0": "Mozilla Public License v 2.0",
+    }
+    rows = licenses.digest(licenses.scan(documents(*enumerate(titles.values())))).collect()
+    found = {r["doc_id"]: (r["labels"], r["score"] > 0) for r in rows}
+    assert [found[i][0].split(",")[-1] for i in range(5)] == [t.split(",")[-1] for t in titles] and all(s for _, s in found.values())
+
+
 def test_every_place_of_a_long_text(documents):
     text = "all rights reserved x " * 3000
     row = licenses.digest(licenses.scan(documents((1, text)))).first()
