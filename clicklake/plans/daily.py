@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from clicklake import schema as S
-from clicklake.functions.metrics import two_way_segment
-from clicklake.operators.activity import activity, daily_user_activity, rolled_up, run_statistics
+from clicklake.functions.metrics import two_way_segment, views_and_purchases
+from clicklake.operators.activity import daily_user_activity, rolled_up
 from clicklake.operators.conversion import with_conversion_rate
 from clicklake.operators.products import ranked_within
 from clicklake.operators.reports import conversion_lines, daily_report_body, segment_summary_lines, top_products_lines
@@ -54,11 +54,21 @@ def daily_segments(events: DataFrame, min_views: int = S.WINDOW_SHOPPER_MIN_VIEW
 
 
 def daily_product_counts(events: DataFrame) -> DataFrame:
-    """Views and purchases per day, product and category: all that the product and category reports need."""
-    return activity(events, "event_date", "product_id", "category").withColumnRenamed("event_date", sinks.DAY)
+    """Events, views and purchases per day, product and category: all that the product and category reports and the statistics need."""
+    counts = events.groupBy("event_date", "product_id", "category").agg(F.count("*").alias("events"), *views_and_purchases())
+    return counts.withColumnRenamed("event_date", sinks.DAY)
 
 
-def _staged(rows: DataFrame, path: str) -> DataFrame:
+def statistics_of(counts: DataFrame, segments: DataFrame) -> DataFrame:
+    """``run_statistics`` of each day from its counts per product and its users' segments, without another look at the events."""
+    products = counts.groupBy(sinks.DAY).agg(
+        F.sum("events").alias("records_processed"), F.count_distinct("product_id").alias("unique_products")
+    )
+    users = segments.groupBy(sinks.DAY).agg(F.count("user_id").alias("unique_users"))
+    return products.join(users, sinks.DAY)
+
+
+def staged(rows: DataFrame, path: str) -> DataFrame:
     """The rows written to a folder of this run and read back with their schema."""
     rows.hint("rebalance").write.parquet(path)
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
@@ -89,24 +99,24 @@ def write_daily_reports(
     """All reports for the days ``first`` to ``last``. A rerun replaces all of them: a day, or a report of it, that has
     become empty is removed; a range without events yields empty reports.
 
-    The lake is read three times, two columns per user, three per product and two for the day's statistics. Segments, counts and the two
-    ranked tables are written to a folder of this run, and all reports come from those.
+    The lake is read twice, two columns per user and three per product. Segments, counts and the two ranked tables are written to a folder
+    of this run, and all reports come from those.
     """
     paths, days = ReportPaths(report_root or lake_root), (first, last)
     run = scratch_dir(spark, "daily-run")
     events = read_lake(spark, lake_root, first, last)
     with sized_shuffles(spark, lake_bytes(spark, lake_root, first, last)):
-        segments, counts, statistics = at_once(
-            lambda: _staged(daily_segments(events, min_views), f"{run}/segments"),
-            lambda: _staged(daily_product_counts(events), f"{run}/counts"),
-            lambda: _staged(run_statistics(events, "event_date").withColumnRenamed("event_date", sinks.DAY), f"{run}/statistics"),
+        segments, counts = at_once(
+            lambda: staged(daily_segments(events, min_views), f"{run}/segments"),
+            lambda: staged(daily_product_counts(events), f"{run}/counts"),
         )
-    per_product, top, conversion, summary, two_way = at_once(
-        lambda: _staged(rolled_up(counts, sinks.DAY, "product_id"), f"{run}/products"),
-        lambda: _staged(top_of_counts(rolled_up(counts, sinks.DAY, "product_id"), k), f"{run}/top"),
-        lambda: _staged(with_conversion_rate(rolled_up(counts, sinks.DAY, "category")), f"{run}/conversion"),
-        lambda: _staged(segment_summary(segments), f"{run}/summary"),
-        lambda: _staged(segment_summary(segments.withColumn("segment", F.col("segment_two_way"))), f"{run}/two_way"),
+    per_product, top, conversion, summary, two_way, statistics = at_once(
+        lambda: staged(rolled_up(counts, sinks.DAY, "product_id"), f"{run}/products"),
+        lambda: staged(top_of_counts(rolled_up(counts, sinks.DAY, "product_id"), k), f"{run}/top"),
+        lambda: staged(with_conversion_rate(rolled_up(counts, sinks.DAY, "category")), f"{run}/conversion"),
+        lambda: staged(segment_summary(segments), f"{run}/summary"),
+        lambda: staged(segment_summary(segments.withColumn("segment", F.col("segment_two_way"))), f"{run}/two_way"),
+        lambda: staged(statistics_of(counts, segments), f"{run}/statistics"),
     )
     best_first = (F.desc("conversion_rate"), F.asc("category"))
     top_lines = top_products_lines(per_product, k, sinks.DAY)
@@ -115,7 +125,7 @@ def write_daily_reports(
     at_once(
         lambda: sinks.write_table(segments, paths.of("user_segments"), days=days),
         lambda: sinks.write_table(segments, paths.of("user_segments_json"), "json", days=days),
-        lambda: sinks.write_table(counts, paths.of("product_counts"), days=days),
+        lambda: sinks.write_table(counts.drop("events"), paths.of("product_counts"), days=days),
         lambda: sinks.write_json_report(statistics, paths.of("run_statistics"), days=days),
         lambda: sinks.write_text_report(summary, paths.of("segment_summary"), days=days),
         lambda: sinks.write_text_report(two_way, paths.of("segment_summary_two_way"), days=days),

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from clicklake import schema as S
+from clicklake.functions.time import as_day
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a null
 
 
 def read_json_events(spark: SparkSession, path: str, schema: StructType = S.EVENT_SCHEMA) -> DataFrame:
@@ -38,13 +42,15 @@ def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
-def days_below(spark: SparkSession, path: str, day: str) -> dict[str, str]:
-    """The day directories right below a path, by day, from one listing that does not descend."""
+def days_below(spark: SparkSession, path: str, day: str) -> dict[date, str]:
+    """The day directories right below a path, by day, from one listing that does not descend. The directory of rows without a
+    day is none of them."""
     system, at = file_system(spark, path)
     if not system.exists(at):
         return {}
     names = [s.getPath().getName() for s in system.listStatus(at)]
-    return {n.removeprefix(f"{day}="): f"{path.rstrip('/')}/{n}" for n in names if n.startswith(f"{day}=")}
+    named = {n: n.removeprefix(f"{day}=") for n in names if n.startswith(f"{day}=")}
+    return {as_day(d): f"{path.rstrip('/')}/{n}" for n, d in named.items() if d != NO_VALUE}
 
 
 def is_stream_written(spark: SparkSession, path: str) -> bool:
@@ -60,22 +66,22 @@ def read_lake(
     last: date | str | None = None,
     schema: StructType = S.LAKE_SCHEMA,
 ) -> DataFrame:
-    """The lake between two days (both included); a day that was never written just has no rows.
+    """The lake between two days (both included); a day that was never written just has no rows, a bound that is no day raises.
 
     With a range, the directories of its days alone are listed; a root written by a stream is read through the stream's log, which
     lists the files itself. Only ``*.parquet`` files are read, and the given schema spares the driver from opening footers.
     """
     path = lake_path(root)
+    low, high = (None if d is None else as_day(d) for d in (first, last))
     reader = spark.read.schema(schema).option("pathGlobFilter", "*.parquet").option("basePath", path)
-    if first is None and last is None or is_stream_written(spark, path):
+    if low is None and high is None or is_stream_written(spark, path):
         events = reader.parquet(path)
     else:
-        low, high = (None if d is None else str(d)[:10] for d in (first, last))
         known = days_below(spark, path, "event_date")
         wanted = [at for d, at in sorted(known.items()) if (low is None or d >= low) and (high is None or d <= high)]
         events = reader.parquet(*wanted) if wanted else spark.createDataFrame([], schema)
-    if first is not None:
-        events = events.where(F.col("event_date") >= F.lit(first).cast("date"))
-    if last is not None:
-        events = events.where(F.col("event_date") <= F.lit(last).cast("date"))
+    if low is not None:
+        events = events.where(F.col("event_date") >= F.lit(low))
+    if high is not None:
+        events = events.where(F.col("event_date") <= F.lit(high))
     return events

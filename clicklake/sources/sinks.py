@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from clicklake.functions.time import as_day
 from clicklake.sources.files import days_below, file_system, is_stream_written
 
 DAY = "report_date"
@@ -14,10 +15,10 @@ Range = tuple[date | str, date | str]
 
 def _remove_empty_days(rows: DataFrame, path: str, day: str, days: Range) -> None:
     """Remove the days of the range that a former run wrote and this one has no rows for; a value per day comes to the driver."""
-    spark, (first, last) = rows.sparkSession, (str(d)[:10] for d in days)
+    spark, (first, last) = rows.sparkSession, (as_day(d) for d in days)
     old = {d: at for d, at in days_below(spark, path, day).items() if first <= d <= last}
     if old:
-        held = {str(r[0]) for r in rows.select(day).distinct().collect()}
+        held = {r[0] for r in rows.select(F.col(day).cast("date")).distinct().collect()}
         for at in (at for d, at in old.items() if d not in held):
             system, where = file_system(spark, at)
             system.delete(where, True)

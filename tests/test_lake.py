@@ -1,11 +1,12 @@
 """Sources, sinks, inventory and the daily run over a written lake."""
 
 import json
-from datetime import date
+from datetime import date, datetime
 
 import pytest
 
 from clicklake import cli
+from clicklake.operators.activity import run_statistics
 from clicklake.plans.batch import write_batch_reports
 from clicklake.plans.catalogue import used_catalogue
 from clicklake.plans.daily import write_daily_reports
@@ -48,6 +49,36 @@ def test_missing_day_is_empty_not_an_error(spark, root):
     assert files.read_lake(spark, root, date(2026, 5, 12), date(2026, 5, 12)).count() == 0
 
 
+@pytest.mark.parametrize(("first", "last"), [("2026-5-9", "2026-5-11"), ("2026-05-09", date(2026, 5, 11)), (datetime(2026, 5, 9, 23), "2026-5-11T08:30")])
+def test_every_form_of_a_day_reads_the_same_days(spark, root, first, last):
+    assert files.read_lake(spark, root, first, last).count() == 80
+    assert files.read_lake(spark, root, last=last).count() == 80 and files.read_lake(spark, root, first).count() == 120
+    assert inventory.lake_bytes(spark, root, first, last) == inventory.lake_bytes(spark, root, "2026-05-09", "2026-05-11") > 0
+    assert inventory.partition_presence(inventory.partition_metadata(spark, root), first, last).count() == 3
+
+
+@pytest.mark.parametrize("day", ["yesterday", "2026-13-01", "2026-05", "2026-05-10x", "", "2026-05-10T25:00", 20260510])
+def test_a_bound_that_is_no_day_raises(spark, root, day):
+    with pytest.raises(ValueError):
+        files.read_lake(spark, root, day)
+    with pytest.raises(ValueError):
+        sinks.write_table(spark.createDataFrame([(DAYS[0], 1)], "report_date string, n int"), f"{root}-unused", days=(day, day))
+
+
+def test_a_rerun_by_an_unpadded_range_removes_what_became_empty(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "report_date date, n int"
+    sinks.write_table(spark.createDataFrame([(date(2026, 5, d), 1) for d in (9, 10, 11)], schema), path)
+    sinks.write_table(spark.createDataFrame([(date(2026, 5, 9), 2)], schema), path, days=("2026-5-9", "2026-5-10"))
+    assert set(files.days_below(spark, path, "report_date")) == {date(2026, 5, 9), date(2026, 5, 11)}
+
+
+def test_rows_without_a_day_do_not_stop_a_rerun(spark, tmp_path):
+    path, schema = str(tmp_path / "t"), "report_date date, n int"
+    sinks.write_table(spark.createDataFrame([(None, 1), (date(2026, 5, 9), 1)], schema), path)
+    sinks.write_table(spark.createDataFrame([(None, 2)], schema), path, days=("2026-05-01", "2026-05-31"))
+    assert [r.n for r in spark.read.parquet(path).collect()] == [2]
+
+
 def test_other_files_in_the_lake_are_ignored(spark, root):
     before = files.read_lake(spark, root).count()
     with open(f"{root}/raw-events/event_date=2026-05-10/notes.txt", "w") as f:
@@ -99,7 +130,7 @@ def test_a_rerun_of_a_range_removes_days_that_became_empty(spark, tmp_path, writ
     sink = {"table": sinks.write_table, "json": sinks.write_json_report, "csv": sinks.write_csv_report, "text": sinks.write_text_report}[write]
     sink(first, path)
     sink(second, path, days=("2026-05-10", date(2026, 5, 12)))
-    assert set(files.days_below(spark, path, "report_date")) == {"2026-05-11", "2026-05-20"}
+    assert set(files.days_below(spark, path, "report_date")) == {days[1], days[3]}
     sink(second.limit(0), path, days=("2026-05-01", "2026-05-31"))
     assert not files.days_below(spark, path, "report_date")
 
@@ -215,6 +246,42 @@ def test_daily_job(spark, root, monkeypatch, tmp_path):
     assert spark.read.json(f"{tmp_path}/reports/top_products_json").count() == 5
 
 
+def test_an_unpadded_range_gives_the_same_reports(spark, root, reports, rows, tmp_path):
+    other = write_daily_reports(spark, root, "2026-5-10", "2026-5-13", report_root=str(tmp_path))
+    for name in ("segment_summary", "top_products_text", "category_conversion_text"):
+        assert rows(other.read(spark, name, "text")) == rows(reports.read(spark, name, "text")) != []
+
+
+def test_statistics_of_the_daily_run_equal_those_of_the_events(spark, root, reports, rows):
+    schema = "records_processed long, unique_products long, unique_users long, report_date date"
+    expected = run_statistics(files.read_lake(spark, root), "event_date").select("records_processed", "unique_products", "unique_users", "event_date")
+    assert rows(reports.read(spark, "run_statistics", "json", schema)) == rows(expected) != []
+
+
+def reads_of(spark, monkeypatch, job, name):
+    """How many scans of this source the plans of the job's writes hold."""
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    plans, save = [], DataFrameWriter.parquet
+
+    def spied(self, path, *args, **kwargs):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return save(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", spied)
+    job()
+    return sum(p.count(name) for p in plans)
+
+
+def test_the_daily_run_reads_the_lake_twice_and_the_batch_run_parses_once(spark, root, monkeypatch, tmp_path):
+    daily = lambda: write_daily_reports(spark, root, DAYS[0], DAYS[-1], report_root=str(tmp_path / "d"))
+    assert reads_of(spark, monkeypatch, daily, "raw-events") == 2
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(FEED))
+    batch = lambda: write_batch_reports(spark, str(tmp_path / "in"), str(tmp_path / "out"), "2026-5-14")
+    assert reads_of(spark, monkeypatch, batch, "FileScan json") == 1
+
+
 def test_daily_rerun_changes_nothing(spark, root, reports, rows):
     before = {n: rows(reports.read(spark, n, "text")) for n in ("segment_summary", "top_products_text", "category_conversion_text")}
     write_daily_reports(spark, root, DAYS[1], DAYS[1], report_root=reports.root)

@@ -245,6 +245,11 @@ FROM t JOIN c USING (report_date)""",
             _WIRE,
             select=f"SELECT {lake_columns} FROM lake WHERE event_date BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}'",
         ),
+        "lake_date_forms": _with(
+            _WIRE,
+            select=f"""SELECT unnest(['text', 'unpadded', 'date', 'datetime']) AS form, event_date, count(*) AS events
+FROM lake WHERE event_date BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}' GROUP BY event_date""",
+        ),
         "partition_presence": _with(
             _WIRE,
             f"days AS (SELECT CAST(unnest(generate_series(DATE '{CALENDAR[0]}', DATE '{CALENDAR[1]}', INTERVAL 1 DAY)) AS DATE) AS event_date)",

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -250,6 +252,20 @@ def lake_day_slice(spark, sf_dir):
     return files.read_lake(spark, feeds.lake(spark, sf_dir), *SLICE)
 
 
+@_query
+def lake_date_forms(spark, sf_dir):
+    """The slice, its bounds given in each form a caller may use: rows per form and day."""
+    root, (first, last) = feeds.lake(spark, sf_dir), (date.fromisoformat(d) for d in SLICE)
+    forms = {
+        "text": SLICE,
+        "unpadded": tuple(f"{d.year}-{d.month}-{d.day}" for d in (first, last)),
+        "date": (first, last),
+        "datetime": (datetime(first.year, first.month, first.day, 23, 59), f"{last}T00:00:00"),
+    }
+    slices = [files.read_lake(spark, root, *bounds).select(F.lit(form).alias("form"), "event_date") for form, bounds in forms.items()]
+    return reduce(DataFrame.unionByName, slices).groupBy("form", "event_date").agg(F.count("*").alias("events"))
+
+
 @_query
 def partition_metadata(spark, sf_dir):
     """Over a lake of text lines, whose sizes are a function of the data."""
