@@ -9,6 +9,9 @@ import zipfile
 from collections.abc import Callable, Hashable, Iterator
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clicklake.session import scratch_dir
@@ -84,6 +87,17 @@ def byte_words(data: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``size`` bytes in a column of texts (a row at least), without copying it."""
+    if not batch.num_rows:
+        return
+    lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    parts = (np.cumsum(lengths) - lengths) // size
+    starts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), batch.num_rows]
+    for start, end in zip(starts, starts[1:], strict=False):
+        yield batch.slice(start, end - start)
+
+
 def text_chunks(text: str) -> Iterator[str]:
     """The text in pieces of about a MiB that end at white space."""
     start = 0

@@ -10,6 +10,7 @@ that a task run again packs alike. A task holds the open bins only.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -17,35 +18,42 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from clicklake.llm.common import byte_words, kept, written
+from clicklake.llm.common import byte_words, kept, slices, written
 
 SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 4096
 LOT = 1 << 24
 HUGE = 4 << 20
-CACHED_WORDS = 1_000_000
-MARKS = b",.!?;:|"
+CACHED_BYTES = 64 << 20
+ENTRY_BYTES = 130  # what a remembered word takes besides its own bytes and those of its ids
+SLICE_BYTES = 4 << 20
+# A mark that ends a word after a letter or digit.
+_MARK = re.compile(rb"(?<=[0-9A-Za-z])[,.!?;:|](?=[ \t-\r]|\Z)")
 VOCABULARY = "word_bpe_49k.json"
 
 
 class WordEncoder:
     """Ids of a text as little-endian bytes. The vocabulary's pre-tokenizer drops white space, so a text's ids are those of its words,
-    and the words met before need no second encoding.
+    and the words met before need no second encoding. Words are remembered in two generations of half of ``CACHED_BYTES`` each: when
+    the younger is full, the older is forgotten; a word met again moves to the younger.
 
-    A new word that only ends in one mark after a letter or digit is its core and the mark, as letters, digits and other marks never share
-    a token. New cores of letters alone are encoded together: each is one piece there, whose last token closes a word.
+    A mark that ends a word after a letter or digit is a word of its own, as letters, digits and other marks never share a token. New
+    words of letters alone are encoded together: each is one piece there, whose last token closes a word.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
-        # The same model for words that are normalised already: composed, lower case and one piece each.
-        self.plain = Tokenizer.from_file(path)
+        self.older: dict[bytes, bytes] = {}
+        self.size = 0
+        # The same model (shared, not read again) for words that are normalised already: composed, lower case and one piece each.
+        self.plain = Tokenizer(self.tokenizer.model)
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
@@ -56,7 +64,11 @@ class WordEncoder:
 
     def _each(self, words: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        self.known.update((w, np.array(x.ids, "<u4").tobytes()) for w, x in zip(words, found, strict=True))
+        self._keep(words, [np.array(x.ids, "<u4").tobytes() for x in found])
+
+    def _keep(self, words: list[bytes], ids: list[bytes]) -> None:
+        self.known.update(zip(words, ids, strict=True))
+        self.size += ENTRY_BYTES * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
     def _together(self, words: list[bytes], texts: list[str]) -> None:
         ids = np.array(self.plain.encode(" ".join(texts), add_special_tokens=False).ids, "<u4")
@@ -65,22 +77,16 @@ class WordEncoder:
             self._each(words)
             return
         data, ends = ids.tobytes(), (4 * ends).tolist()
-        self.known.update((w, data[i:j]) for w, i, j in zip(words, [0, *ends], ends, strict=False))
-
-    def learn(self, words: list[bytes]) -> None:
-        known = self.known
-        new = set(words)
-        if len(known) + 2 * len(new) > CACHED_WORDS:
-            known.clear()
-        split, cores = [], set()
-        for word in new:
-            if word[-1] in MARKS and word[-2:-1].isalnum():
-                split.append(word)
-                word = word[:-1]
-            if word not in known:
-                cores.add(word)
-        alone, together, texts = [bytes([m]) for m in MARKS if bytes([m]) not in known], [], []
-        for word in cores:
+        self._keep(words, [data[i:j] for i, j in zip([0, *ends], ends, strict=False)])
+
+    def learn(self, words: set[bytes]) -> None:
+        if 2 * self.size > CACHED_BYTES:
+            self.known, self.older, self.size = {}, self.known, 0
+        older = self.older
+        again = [w for w in words if w in older]
+        self._keep(again, list(map(older.__getitem__, again)))
+        alone, together, texts = [], [], []
+        for word in words.difference(again):
             text = word.decode("utf-8", "replace")
             plain = text.lower() if word.isascii() else unicodedata.normalize("NFC", text).lower()
             if plain.isalpha() and "ς" not in plain:  # a final sigma is the one letter whose lower case depends on its place
@@ -91,13 +97,12 @@ class WordEncoder:
         for i in range(0, len(together), 1024):
             self._together(together[i : i + 1024], texts[i : i + 1024])
         self._each(alone)
-        known.update((w, known[w[:-1]] + known[w[-1:]]) for w in split)
 
     def many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The ids of each text; new words are learnt for about a MiB of texts at once."""
         held, size = [], 0
         for text in texts:
-            data = (text or "").encode("utf-8", "replace")
+            data = _MARK.sub(rb" \g<0>", (text or "").encode("utf-8", "replace"))
             if len(data) > HUGE:  # alone, and its words a MiB at a time
                 yield from self._drain(held)
                 held, size = [], 0
@@ -114,10 +119,11 @@ class WordEncoder:
         every = [w for words in held for w in words]
         found = list(map(self.known.get, every))
         if None in found:
-            self.learn([w for w, ids in zip(every, found, strict=True) if ids is None])
-            for i, ids in enumerate(found):
-                if ids is None:
-                    found[i] = self.known[every[i]]
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            self.learn({every[i] for i in missing})
+            known = self.known
+            for i in missing:
+                found[i] = known[every[i]]
         at = 0
         for words in held:
             yield b"".join(found[at : at + len(words)])
@@ -137,21 +143,21 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end
     """
     schema = "doc_id {}, piece int, start long, length long, ids_crc32 long".format(docs.schema["doc_id"].dataType.simpleString())
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
-        for batch in batches:
-            rows = []
-            for doc_id, ids in zip(batch["doc_id"], encode.many(batch["text"]), strict=True):
+        for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
+            at, rows = [], []
+            for row, ids in enumerate(encode.many(batch.column("text").to_pylist())):
                 ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[at : at + 4 * size]
-                    rows.append((doc_id, k, k * size, len(part) // 4, zlib.crc32(part), *([part] if keep_ids else [])))
-            names = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if keep_ids else [])]
-            out = pd.DataFrame(rows, columns=names)
-            out["doc_id"] = pd.Series([r[0] for r in rows], dtype=batch["doc_id"].dtype)
-            yield out
-
-    return docs.select("doc_id", "text").mapInPandas(cut, schema + (", ids binary" if keep_ids else ""))
+                for k, start in enumerate(range(0, len(ids), 4 * size)):
+                    part = ids[start : start + 4 * size]
+                    at.append(row)
+                    rows.append((k, k * size, len(part) // 4, zlib.crc32(part), *([part] if keep_ids else [])))
+            types = {"piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), **({"ids": pa.binary()} if keep_ids else {})}
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types.values(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *columns], ["doc_id", *types])
+
+    return docs.select("doc_id", "text").mapInArrow(cut, schema + (", ids binary" if keep_ids else ""))
 
 
 class Bins:

@@ -154,17 +154,18 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX_DISTANCE) -> DataFrame:
-    """One row, all columns, of each group of ``docs``: the one with the smallest doc_id, then fingerprint, then hash of the text.
+    """One row, all columns, of each group of ``docs``: the one with the smallest doc_id (null last), then fingerprint, then key.
 
-    Rows are told apart by id and text, so an id that is repeated with other texts neither loses a document nor saves a copy; of rows
-    repeated with both, one stays. Rows without an id that only link among themselves go.
+    Rows are told apart by a key of id and text, so an id that is repeated with other texts, or no id at all, neither loses a
+    document nor saves a copy; of rows repeated with both, one stays. A group whose ids are all null keeps one row like any other; an
+    empty table gives no rows.
     """
-    key = F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.md5(F.col("text"))))
+    key = F.md5(F.concat_ws(":", F.coalesce(F.concat(F.lit("="), F.col("doc_id").cast("string")), F.lit("-")), F.md5(F.col("text"))))
     prints = docs.select("doc_id", fingerprint(F.col("text"), shingle).alias("fp"), key.alias("row_key"))
     prints = written(prints, "simhash-prints")
-    named = prints.where("doc_id is not null")  # the others still link their groups
-    first = named.join(_grouped(prints, max_distance, BUCKET), "fp").groupBy("root").agg(F.min(F.struct("doc_id", "fp", "row_key")).alias("first"))
-    found = named.join(first.select(F.col("first.row_key").alias("row_key")), "row_key").groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct(F.isnull("doc_id").alias("unnamed"), "doc_id", "fp", "row_key"))
+    first = prints.join(_grouped(prints, max_distance, BUCKET), "fp").groupBy("root").agg(best.alias("first"))
+    found = prints.join(first.select(F.col("first.row_key").alias("row_key")), "row_key").groupBy("row_key").agg(F.count(F.lit(1)).alias("n"))
     found = written(found.withColumnRenamed("row_key", "kept_key"), "simhash-kept")
     kept = docs.join(found.select("kept_key"), key == F.col("kept_key"), "left_semi")
     if found.where("n > 1").isEmpty():

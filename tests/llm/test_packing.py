@@ -36,11 +36,25 @@ def test_any_texts_encode_alike(texts):
 
 
 def test_a_full_memory_and_a_huge_text(tokenizer, monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 50)
+    monkeypatch.setattr(packing, "CACHED_BYTES", 10_000)
     monkeypatch.setattr(packing, "HUGE", 200)
     rng = random.Random(3)
     texts = [" ".join("".join(rng.choices("abcé.,", k=rng.randint(1, 9))) for _ in range(n)) for n in (5, 400, 30, 2000)]
-    assert list(packing.WordEncoder(PATH).many(texts)) == [plain(tokenizer, t) for t in texts]
+    encode = packing.WordEncoder(PATH)
+    assert list(encode.many(texts)) == [plain(tokenizer, t) for t in texts]
+    assert encode.older and len(encode.known) + len(encode.older) < len({w for t in texts for w in t.split()})
+    assert list(encode.many(texts)) == [plain(tokenizer, t) for t in texts]
+
+
+def test_the_bound_on_open_bins_closes_bins_and_costs_little():
+    rng = random.Random(2)
+    lengths = [min(4096, int(30 * 1.002 ** (3 * rng.randint(1, 900)))) for _ in range(20_000)]
+    made = {}
+    for most in (4, 64, 1 << 20):
+        bins = packing.Bins(4096, most)
+        assert max(bins.open for n in lengths if bins.place(n)) <= most
+        made[most] = bins.made
+    assert made[4] > made[64] and made[64] <= 1.01 * made[1 << 20]
 
 
 def test_best_fit_takes_the_fullest_bin_and_closes_the_fullest_first():

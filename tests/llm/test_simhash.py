@@ -79,7 +79,13 @@ def test_odd_rows(odd, rows):
     assert found == sorted([(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (5, 4), (6, 6), (7, 7), (8, 8), (None, None)], key=repr)
     kept = simhash.keep_first(odd)
     assert kept.columns == odd.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 4, 6, 7, 8]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [1, 4, 6, 7, 8, None]
+
+
+def test_documents_without_ids_lose_their_copies_only(documents):
+    rows = [(None, "one two three four"), (None, "five six seven eight"), (None, "five six seven eight"), (None, None), (9, "one two three four"), (None, "")]
+    kept = simhash.keep_first(documents(*rows))
+    assert sorted(((r["doc_id"], r["text"] or "") for r in kept.collect()), key=repr) == [(9, "one two three four"), (None, ""), (None, "five six seven eight")]
 
 
 def test_repeated_rows_of_the_first_id_stay_once(documents):
