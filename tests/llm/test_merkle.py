@@ -1,0 +1,125 @@
+import zlib
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from clicklake.llm import merkle
+
+
+def h(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def leaf(doc):
+    return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in doc))
+
+
+def tree(nodes):
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([h("".join(levels[-1][i : i + 16])) for i in range(0, len(levels[-1]), 16)])
+    return levels
+
+
+def siblings(levels, at):
+    out = []
+    for level in levels[:-1]:
+        first = at // 16 * 16
+        out.append((level[first:at], level[at + 1 : first + 16]))
+        at //= 16
+    return out
+
+
+def fold(digest, path):
+    for left, right in path:
+        digest = h("".join([*left, digest, *right]))
+    return digest
+
+
+def lowered(text):
+    return None if text is None else "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+
+
+def tampered(doc):
+    return doc[0] is not None and zlib.crc32(str(doc[0]).encode()) % 5 == 0
+
+
+def brute(docs):
+    """Rows as the contract has them; docs: (doc_id, source, lang, n_chars, text)."""
+    groups = {}
+    for d in docs:
+        groups.setdefault(d[1], []).append(d)
+    names = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    for name in names:
+        groups[name].sort(key=lambda d: (d[0] is not None, d[0] or 0, leaf(d)))
+    trees = {name: tree([leaf(d) for d in groups[name]]) for name in names}
+    top = tree([trees[name][-1][0] for name in names])
+    root, out = top[-1][0], []
+    for n, name in enumerate(names):
+        for at, d in enumerate(groups[name]):
+            path = siblings(trees[name], at) + siblings(top, n)
+            new = leaf((*d[:4], lowered(d[4]))) if tampered(d) else leaf(d)
+            folded = fold(new, path)
+            out.append((d[0], leaf(d), trees[name][-1][0], root, h("".join(x for a, b in path for x in a + b)), folded, folded == root))
+    return sorted(out, key=repr)
+
+
+def tampering():
+    lowered_text = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    return F.crc32(F.col("doc_id").cast("string")) % 5 == 0, lowered_text
+
+
+DOCUMENTS = "doc_id long, source string, lang string, n_chars long, text string"
+
+
+def corpus(sizes):
+    rows = [(i * 7 % 10_007, source, "en" if i % 3 else None, i, f"Text {i} ÄÖ" if i % 4 else None) for source, size in sizes.items() for i in range(size)]
+    return [(d[0] + 100_000 * list(sizes).index(d[1]), *d[1:]) for d in rows]
+
+
+SHAPES = [{"a": 1}, {"a": 16, None: 17}, {"z": 300, "ä": 1, None: 33, "Z": 257, "": 16}, {f"s{i}": 1 + i % 3 for i in range(40)}]
+
+
+@pytest.mark.parametrize("shape", range(len(SHAPES)))
+@pytest.mark.parametrize("levels", [1, 3])
+def test_rows_equal_a_plain_tree(spark, rows, shape, levels):
+    docs = corpus(SHAPES[shape])
+    found = rows(merkle.manifest(spark.createDataFrame(docs, DOCUMENTS).repartition(4), *tampering(), height=levels))
+    assert found == brute(docs) and (len(docs) < 10 or {r[-1] for r in found} == {True, False})
+
+
+def test_a_group_of_more_than_one_full_block(spark, rows):
+    docs = corpus({"hot": 4096 + 3, "b": 5})
+    assert rows(merkle.manifest(spark.createDataFrame(docs, DOCUMENTS), *tampering())) == brute(docs)
+
+
+@pytest.mark.parametrize("height", [1, 3])
+def test_a_version_copies_its_path_and_shares_the_rest(spark, height):
+    docs = corpus({"a": 600})
+    frame = spark.createDataFrame(docs, DOCUMENTS)
+    shared = {(r["height"], r["index"]): r["digest"] for r in merkle.nodes(merkle.build(frame, height)[0], "source", height).collect()}
+    ordered = sorted(docs, key=lambda d: d[0])
+    own = tree([leaf(d) for d in ordered])
+    assert shared == {(k, i): x for k, level in enumerate(own) for i, x in enumerate(level)}
+    versions = {r["doc_id"]: r["version"] for r in merkle.manifest(frame, *tampering(), keep_versions=True, height=height).collect()}
+    for at, d in enumerate(ordered):
+        if not tampered(d):
+            assert versions[d[0]] is None
+        elif at % 10 == 0:
+            leaves = [leaf(x) for x in ordered]
+            leaves[at] = leaf((*d[:4], lowered(d[4])))
+            rebuilt = tree(leaves)
+            copied = {(k, at // 16**k): node for k, node in enumerate(versions[d[0]])}
+            assert all(copied.get((k, i), shared[k, i]) == x for k, level in enumerate(rebuilt) for i, x in enumerate(level))
+
+
+def test_odd_rows(odd, rows):
+    plain = [tuple(r) for r in odd.select("doc_id", "source", "lang", "n_chars", "text").collect()]
+    clashing = odd.withColumns({c: F.lit("clash") for c in ("digest", "index", "total", "block", "above", "_at", "_key", "root", "other", "subroot", "top")})
+    assert rows(merkle.manifest(clashing, *tampering())) == brute(plain)
+    assert rows(merkle.manifest(odd)) == [(*r[:5], r[3], True) for r in brute(plain)]
+
+
+def test_no_rows(documents):
+    assert merkle.manifest(documents(), *tampering()).count() == 0 and merkle.build(documents())[1].count() == 0
