@@ -138,6 +138,27 @@ FROM embeddings e LEFT JOIN degrees d ON d.a = e.vec_id LEFT JOIN parts p ON p.a
 """
 
 
+_RANKED = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+asked AS (
+  SELECT row_number() OVER () AS q, item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+bags AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(terms) AS term FROM asked) GROUP BY ALL),
+total AS (SELECT count(*) AS docs, sum(len(terms))::BIGINT AS words FROM docs WHERE len(terms) > 0),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM docs) WHERE term IN (SELECT term FROM bags) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM held, total GROUP BY term, docs),
+lengths AS (SELECT r, doc_id, 100 - 75 + ((75 * len(terms)::BIGINT * docs) // words) AS m FROM docs, total),
+worth AS (SELECT r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * m)) AS points FROM held JOIN weights USING (term) JOIN lengths USING (r)),
+scores AS (SELECT q, r, sum(times * points)::BIGINT AS score FROM bags JOIN worth USING (term) GROUP BY q, r)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scores JOIN asked USING (q) JOIN lengths USING (r) WHERE score > 0 QUALIFY rank <= 10
+"""
+
+
 def _levels(prefix: str, key: str, source: str, height: int) -> str:
     """CTEs of a tree over ``source`` (key, i, d, n): a level's nodes, and with each node's parent the level above."""
     out = [f"{prefix}0 AS (SELECT {key} AS g, i, d, n FROM {source})"]
@@ -194,4 +215,4 @@ SELECT doc_id, leaf, subroot, (SELECT d FROM u{height}) AS root, proof_sha256, h
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op3_licenses": _license_sql(), "op4_vector_near_duplicates": _VECTORS, "op5_top_k": _TOP_K, "op6_source_mix": _MIX, "op10_chat_format": _chat_sql(), "op11_merkle_manifest": _merkle_sql()}
+    return {"op3_licenses": _license_sql(), "op4_vector_near_duplicates": _VECTORS, "op5_top_k": _TOP_K, "op6_source_mix": _MIX, "op10_chat_format": _chat_sql(), "op11_merkle_manifest": _merkle_sql(), "op12_lexical_search": _RANKED}

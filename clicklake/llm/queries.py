@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import chat, html, language, licenses, merkle, mixing, neighbours, packing, simhash, topk, toxicity
+from clicklake.llm import chat, html, language, lexical, licenses, merkle, mixing, neighbours, packing, simhash, topk, toxicity
 from clicklake.llm.common import remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,9 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
     return merkle.manifest(table(spark, sf_dir, "documents"), remainder(F.col("doc_id"), 5) == 0, lowered)
+
+
+@_query
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
