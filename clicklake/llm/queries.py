@@ -5,9 +5,10 @@ from __future__ import annotations
 import string
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clicklake.llm import chat, html, language, lexical, licenses, merkle, mixing, neighbours, packing, simhash, topk, toxicity
+from clicklake.llm import bpe, chat, html, language, lexical, licenses, merkle, mixing, neighbours, packing, simhash, topk, toxicity
 from clicklake.llm.common import remainder, ship, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -110,3 +111,9 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(bpe.VOCABULARY))
