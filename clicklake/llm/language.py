@@ -28,8 +28,11 @@ _RUN = re.compile(r"[^\W\d_]+")
 
 
 def runs(text: str) -> list[str]:
-    """The text's runs of letters, in lower case."""
-    return _RUN.findall(text.lower())
+    """The text's runs of letters, in lower case. Letters are so by category: superscripts, fractions and numerals are none."""
+    found = _RUN.findall(text.lower())
+    if all(map(str.isalpha, found)):
+        return found
+    return [part for run in found for part in ([run] if run.isalpha() else "".join(c if c.isalpha() else " " for c in run).split())]
 
 
 def spans(run: str) -> list[bytes]:

@@ -87,3 +87,9 @@ def test_no_rows_and_no_labels(documents, network):
     assert language.identify(documents(), network).count() == 0
     net = language.fit(documents((1, "abc", None, "s"), (2, None, "en", "s")))
     assert language.identify(documents((1, "abc", None, "s")), net).first()["lang_pred"] in ("und",)
+
+
+def test_letters_are_so_by_category(documents, network):
+    assert language.runs("Ab² ½ c³d Ⅷ ª") == ["ab", "c", "d", "ª"] and language.runs("½ ² Ⅷ 12") == []
+    found = language.identify(documents((1, "½ ²"), (2, "x²")), network)
+    assert [r["lang_pred"] == "und" for r in found.orderBy("doc_id").collect()] == [True, False]
