@@ -10,8 +10,9 @@ the body down. On each page that has the node, it shows a style (the row of its
 - A paragraph, heading or other block of text is judged by its own content, if that is on most pages of its place.
 - All importance is smoothed by a page of full importance: few pages must agree more than many.
 
-Branches of low importance are removed from each page, besides those whose tag, class, id or role says what they are: a name counts if
-all its words say so ("cookie-notice", not "has-sidebar"). A branch with half of a page's text or more stays, whatever it is called, as
+Branches of low importance are removed from each page, and so are paragraphs and headings outside an article; inside it a line that pages
+share is the article's. So are branches whose tag, class, id or role says what they are: a name counts if its first or last word says so
+("cookie-bar", "user-comments") and none of its words makes it a state ("has-sidebar", "comments-open"). A branch with half of a page's text or more stays, whatever it is called, as
 does one around a page's only article; of the tree's branches one with half of the remaining text: hosts may hold little but copies.
 
 Counts are made per task and added up in Spark; a page meets its host's list of unimportant nodes in a join.
@@ -50,6 +51,9 @@ ASIDE_NAMES = frozenset(
     "disqus footer form header login masthead menu modal nav navbar navigation newsletter notice pager pagination popup promo promotion "
     "recommended related replies reply search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
+# Words that make a name a state of what bears it, and words that make a header the site's.
+STATES = frozenset("has no not with without is open opened closed enabled disabled".split())
+SITE = frozenset("site global masthead top".split())
 MAIN = frozenset(("article", "main"))
 # Branches that a style tree may remove; of the flow of paragraphs and headings it judges each text.
 CONTAINERS = frozenset("center dl div fieldset figure ol section span table ul".split())
@@ -88,6 +92,14 @@ def _names(attributes: str) -> list[list[str]]:
     return [words for words in map(_TOKEN.findall, found) if words]
 
 
+def _hint(words: list[str]) -> str | None:
+    """What a name says: "aside", "header" (one that an article may have) or nothing."""
+    said = {words[0], words[-1]} & ASIDE_NAMES
+    if not said or STATES.intersection(words):
+        return None
+    return "header" if said == {"header"} and not SITE.intersection(words) else "aside"
+
+
 def _judge(blocks: list[Block], nodes: list[Node]) -> None:
     """Set what is aside and what is in an article. A name is a hint: it does not remove half of the text or the only article."""
     sizes, articles = Counter(), set()
@@ -175,9 +187,9 @@ def parse(html: str | None) -> tuple[list[Block], list[Node]]:
         if tag in VOID or attributes.endswith("/") and tag not in BLOCK:
             continue
         names = [] if tag in ("html", "body", "main") else _names(attributes)
-        hints = [set(words) for words in names if ASIDE_NAMES.issuperset(words)]
-        header = tag == "header" or {"header"} in hints
-        named = tag in ASIDE_TAGS and tag != "header" or any(words != {"header"} for words in hints)
+        hints = [_hint(words) for words in names]
+        header = tag == "header" or "header" in hints
+        named = tag in ASIDE_TAGS and tag != "header" or "aside" in hints
         names = [word for words in names for word in words]
         place = parent.place
         if tag in BLOCK or names:
@@ -208,7 +220,7 @@ def main_text(html: str | None, unimportant: frozenset[int] = frozenset(), host:
         total = sum(len(b.text) for b in kept)
         removed = {place for place, size in low.items() if 2 * size < total}
         kept = [b for b in kept if not removed.intersection(b.node.above)]
-        own = [b for b in kept if node_key(host, b.node.place) ^ _content(b) not in unimportant]
+        own = [b for b in kept if b.node.main or node_key(host, b.node.place) ^ _content(b) not in unimportant]
         if 2 * sum(len(b.text) for b in own) > sum(len(b.text) for b in kept):
             kept = own
     return "\n\n".join(b.text for b in kept)
