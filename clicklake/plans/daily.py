@@ -18,6 +18,7 @@ from clicklake.operators.conversion import with_conversion_rate
 from clicklake.operators.products import ranked_within
 from clicklake.operators.reports import conversion_lines, daily_report_body, segment_summary_lines, top_products_lines
 from clicklake.operators.segments import segment_distribution, segments_three_way
+from clicklake.plans.distinct import daily_sketches
 from clicklake.session import scratch_dir, sized_shuffles
 from clicklake.sources import sinks
 from clicklake.sources.files import read_lake
@@ -110,13 +111,14 @@ def write_daily_reports(
             lambda: staged(daily_segments(events, min_views), f"{run}/segments"),
             lambda: staged(daily_product_counts(events), f"{run}/counts"),
         )
-    per_product, top, conversion, summary, two_way, statistics = at_once(
+    per_product, top, conversion, summary, two_way, statistics, sketches = at_once(
         lambda: staged(rolled_up(counts, sinks.DAY, "product_id"), f"{run}/products"),
         lambda: staged(top_of_counts(rolled_up(counts, sinks.DAY, "product_id"), k), f"{run}/top"),
         lambda: staged(with_conversion_rate(rolled_up(counts, sinks.DAY, "category")), f"{run}/conversion"),
         lambda: staged(segment_summary(segments), f"{run}/summary"),
         lambda: staged(segment_summary(segments.withColumn("segment", F.col("segment_two_way"))), f"{run}/two_way"),
         lambda: staged(statistics_of(counts, segments), f"{run}/statistics"),
+        lambda: staged(daily_sketches(counts, segments), f"{run}/sketches"),
     )
     best_first = (F.desc("conversion_rate"), F.asc("category"))
     top_lines = top_products_lines(per_product, k, sinks.DAY)
@@ -126,6 +128,7 @@ def write_daily_reports(
         lambda: sinks.write_table(segments, paths.of("user_segments"), days=days),
         lambda: sinks.write_table(segments, paths.of("user_segments_json"), "json", days=days),
         lambda: sinks.write_table(counts.drop("events"), paths.of("product_counts"), days=days),
+        lambda: sinks.write_table(sketches, paths.of("daily_sketches"), days=days),
         lambda: sinks.write_json_report(statistics, paths.of("run_statistics"), days=days),
         lambda: sinks.write_text_report(summary, paths.of("segment_summary"), days=days),
         lambda: sinks.write_text_report(two_way, paths.of("segment_summary_two_way"), days=days),

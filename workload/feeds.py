@@ -110,3 +110,16 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
         sinks.write_table(rows, lake_path(root), day="event_date")
 
     return _once(spark, sf_dir, "lake", write)
+
+
+ARRIVALS = ("2024-01-08", "2024-01-15", "2024-01-22")
+
+
+def arrivals(spark: SparkSession, sf_dir: str, late: bool) -> list[DataFrame]:
+    """The messages in the parts that arrive one after the other: by week and, if asked, every third purchase a week late."""
+    week = sum((F.to_date("event_time") >= F.lit(day).cast("date")).cast("int") for day in ARRIVALS)
+    delayed = (F.col("event_type") == "purchase") & (F.col("event_id") % 3 == 0)
+    part = week + F.when(delayed, 1).otherwise(0) if late else week
+    fields = F.struct("event_id", "user_id", "product_id", "event_type", iso_text("event_time").alias("timestamp"))
+    rows = click_events(spark, sf_dir).select(F.to_json(fields).alias("value"), part.alias("part"))
+    return [rows.where(F.col("part") == k).select("value") for k in range(len(ARRIVALS) + 1 + late)]

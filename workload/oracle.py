@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from workload.queries import CALENDAR, GAP_SECONDS, MIN_VIEWS, SLICE
+from clicklake.functions.time import as_day
+from workload.feeds import ARRIVALS
+from workload.queries import CALENDAR, GAP_SECONDS, MIN_VIEWS, RANGES, RULE, SLICE
 
 _CLICK = """click AS (
   SELECT event_id, ts AS event_time, CAST(ts AS DATE) AS event_date, user_id, event_type, value,
@@ -92,6 +94,16 @@ numbered AS (
     OVER (PARTITION BY user_id ORDER BY event_time, event_id ROWS UNBOUNDED PRECEDING) AS session_no FROM paused)"""
 
 
+_WEEKS = " + ".join(f"CAST(CAST(ts AS DATE) >= DATE '{day}' AS INTEGER)" for day in ARRIVALS)
+_LATE = f"""fed AS (
+  SELECT event_id, user_id, json_extract_string(props, '$.k') AS product_id, event_type, ts AS event_time,
+         {_WEEKS} + CASE WHEN event_type = 'purchase' AND event_id % 3 = 0 THEN 1 ELSE 0 END AS batch FROM events),
+marks AS (SELECT batch + 1 AS batch, max(max(event_time)) OVER (ORDER BY batch) - INTERVAL 10 MINUTE AS mark FROM fed GROUP BY batch)"""
+_EDGE = RULE.slide_seconds * 1_000_000
+_MISSED = f"""(least(epoch_us(mark), epoch_us(event_time) + {RULE.window_seconds * 1_000_000}) // {_EDGE} - epoch_us(event_time) // {_EDGE})"""
+_RANGES = " UNION ALL ".join(f"SELECT DATE '{as_day(a)}' AS first_day, DATE '{as_day(b)}' AS last_day" for a, b in RANGES)
+
+
 def _with(*parts: str, select: str) -> str:
     return f"WITH {', '.join(parts)} {select}"
 
@@ -245,6 +257,28 @@ FROM t JOIN c USING (report_date)""",
             _WIRE,
             select=f"SELECT {lake_columns} FROM lake WHERE event_date BETWEEN DATE '{SLICE[0]}' AND DATE '{SLICE[1]}'",
         ),
+        "late_events": _with(
+            _LATE,
+            select=f"""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, product_id, event_type, event_time,
+  (epoch_us(mark) - epoch_us(event_time)) / 1000000 AS behind_seconds, {_MISSED}::BIGINT AS missed_windows, batch
+FROM fed JOIN marks USING (batch) WHERE event_time < mark""",
+        ),
+        "session_stream": _with(
+            _CLICK,
+            _SESSIONS,
+            f"""found AS (
+  SELECT user_id, min(event_time) AS session_start, max(event_time) AS last_event, count(*) AS events,
+    (epoch_us(max(event_time)) - epoch_us(min(event_time))) / 1000000 AS duration_seconds FROM numbered GROUP BY user_id, session_no)""",
+            select=f"""SELECT * FROM found WHERE epoch_us(last_event) + {GAP_SECONDS * 1_000_000}
+  <= (SELECT epoch_ms(max(ts)) * 1000 - 600000000 FROM events)""",
+        ),
+        "statistics_of_ranges": _with(
+            _WIRE,
+            f"asked AS ({_RANGES})",
+            select="""SELECT first_day, last_day, count(DISTINCT event_date) AS days, count(event_date) AS records_processed,
+  count(DISTINCT product_id) AS products, count(DISTINCT user_id) AS users, true AS products_close, true AS users_close
+FROM asked LEFT JOIN lake ON event_date BETWEEN first_day AND last_day GROUP BY ALL""",
+        ),
         "lake_date_forms": _with(
             _WIRE,
             select=f"""SELECT unnest(['text', 'unpadded', 'date', 'datetime']) AS form, event_date, count(*) AS events

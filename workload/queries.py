@@ -21,11 +21,14 @@ from clicklake.operators import traffic as M
 from clicklake.operators.alerts import flash_sale_alerts as detect
 from clicklake.plans.batch import write_batch_reports
 from clicklake.plans.daily import write_daily_reports
+from clicklake.plans.distinct import read_sketches, relative_error, statistics_over
 from clicklake.session import scratch_dir, stream_session
 from clicklake.sources import files, inventory, sinks
 from clicklake.streaming.alerts import alert_rows, alert_writer, start_alerts
 from clicklake.streaming.archive import start_archive
+from clicklake.streaming.late import read_late_events, start_late_events
 from clicklake.streaming.run import wait
+from clicklake.streaming.sessions import closed_sessions, start_sessions
 from workload import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +39,7 @@ GAP_SECONDS = 6 * 3600
 RULE = S.AlertRule(window_seconds=6 * 3600, slide_seconds=3600, min_views=2, purchases_below=3)
 CALENDAR = ("2023-12-25", "2024-02-05")
 SLICE = ("2024-01-10", "2024-01-12")
+RANGES = [("2024-01-01", "2024-01-31"), ("2024-1-3", "2024-1-9"), SLICE, ("2024-01-11", "2024-01-11"), ("2031-01-01", "2031-01-05")]
 
 _QUERIES: dict[str, Query] = {}
 
@@ -244,6 +248,55 @@ def archive_stream(spark, sf_dir):
     return files.read_lake(spark, root)
 
 
+def _arrive(spark: SparkSession, sf_dir: str, late: bool, run: Callable[[str], object]) -> None:
+    """Let the parts of the feed arrive in a topic folder, and the job, restarted for each, read what is new."""
+    topic = scratch_dir(spark, "arrivals")
+    for part in feeds.arrivals(spark, sf_dir, late):
+        part.write.mode("append").text(topic)
+        run(topic)
+
+
+@_query
+def late_events(spark, sf_dir):
+    """Purchases that come a week late, found by a job that is restarted for every part of the feed."""
+    root = scratch_dir(spark, "late")
+    _arrive(spark, sf_dir, True, lambda topic: wait(start_late_events(files.stream_messages(spark, topic), root, every=None, rule=RULE)))
+    columns = ["event_id", "user_id", "product_id", "event_type", "event_time", "behind_seconds", "missed_windows", "batch"]
+    return read_late_events(spark, root).select(*columns)
+
+
+@_query
+def session_stream(spark, sf_dir):
+    """Sessions closed by the watermark, over a feed that arrives in weeks and a job that is restarted for each."""
+    out = scratch_dir(spark, "sessions")
+    session = stream_session(spark, state_partitions=spark.sparkContext.defaultParallelism)
+
+    def run(topic: str) -> None:
+        closed = closed_sessions(files.stream_messages(session, topic), GAP_SECONDS, user_type="bigint")
+        wait(start_sessions(closed, f"{out}/sessions", f"{out}/checkpoint", every=None))
+
+    _arrive(spark, sf_dir, False, run)
+    schema = "user_id bigint, session_start timestamp, last_event timestamp, events bigint, duration_seconds double"
+    return spark.read.schema(schema).parquet(f"{out}/sessions")
+
+
+@_query
+def statistics_of_ranges(spark, sf_dir):
+    """Distinct counts of ranges of days from the daily run's sketches, each held against the exact count of the events."""
+    lake, root = feeds.lake(spark, sf_dir), scratch_dir(spark, "ranges")
+    paths = write_daily_reports(spark, lake, *CALENDAR, report_root=root)
+    estimated = statistics_over(read_sketches(spark, paths.of("daily_sketches")), RANGES)
+    exact = files.read_lake(spark, lake).join(estimated.select("first_day", "last_day"), F.col("event_date").between(F.col("first_day"), F.col("last_day")))
+    exact = exact.groupBy("first_day", "last_day").agg(F.count_distinct("product_id").alias("products"), F.count_distinct("user_id").alias("users"))
+    both = estimated.join(exact, ["first_day", "last_day"], "left").na.fill(0, ["products", "users"])
+
+    def close(estimate: str, count: str):
+        return (F.abs(F.col(estimate) - F.col(count)) <= F.lit(relative_error()) * F.col(count)).alias(f"{count}_close")
+
+    shown = ["first_day", "last_day", "days", "records_processed", "products", "users"]
+    return both.select(*shown, close("unique_products", "products"), close("unique_users", "users"))
+
+
 # --- sources and sinks ------------------------------------------------------------------------------------------------
 
 
