@@ -20,7 +20,7 @@ import json
 from collections import defaultdict
 from collections.abc import Iterator
 from hashlib import sha256
-from itertools import count, pairwise
+from itertools import count, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ from tokenizers import Tokenizer
 from clicklake.llm.common import CHUNK, kept, slices
 
 VOCABULARY = "byte_bpe_50k.json"
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 16 << 20
 KNOWN_BYTES = 64 << 20
 PIECE_BYTES = 300  # what a remembered piece takes besides its own bytes
 # Fixed value: the pieces of the byte-level pre-tokenizer.
@@ -154,22 +154,24 @@ def encode_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> tuple[np.ndarr
     listed(np.flatnonzero(symbols >= 0))
     while active:
         rank = heapq.heappop(active)
-        at = np.unique(np.concatenate(lists.pop(rank)))
-        left, right = vocabulary.left[rank], vocabulary.right[rank]
+        at = np.concatenate(lists.pop(rank))  # a symbol is made once, so a position is not listed twice for a pair
+        left, right, made = vocabulary.left[rank], vocabulary.right[rank], vocabulary.made[rank]
         second = after[at]
         holds = (symbols[at] == left) & (symbols[second] == right)
         at, second = at[holds], second[holds]
         if left == right and len(at) > 1:
+            at = np.sort(at)
+            second = after[at]
             opens = np.flatnonzero(np.append(True, second[:-1] != at[1:]))
             place = np.arange(len(at)) - np.repeat(opens, np.diff(np.append(opens, len(at))))
             at, second = at[place % 2 == 0], second[place % 2 == 0]
         if not len(at):
             continue
-        symbols[at], symbols[second] = vocabulary.made[rank], -2
+        symbols[at], symbols[second] = made, -2
         third = after[second]
         after[at], before[third] = third, at
         ahead = before[at]
-        listed(np.unique(np.concatenate([ahead[ahead >= 0], at])))
+        listed(np.concatenate([ahead[(ahead >= 0) & (symbols[ahead] != made)], at]))
     held = np.flatnonzero(symbols >= 0)
     return symbols[held], np.searchsorted(held, np.concatenate([[0], ends + 1]))
 
@@ -183,27 +185,25 @@ class Encoder:
 
     def forget(self) -> None:
         self.number: defaultdict[str, int] = defaultdict(count().__next__)
-        self.ids: list[np.ndarray] = []
         self.counts: list[int] = []
         self.decimal: list[str] = []
         self.decoded: list[bytes] = []
         self.size = 0
 
     def _learn(self) -> None:
-        new = [p.encode() for p in list(self.number)[len(self.ids) :]]
+        new = [p.encode() for p in list(islice(self.number, len(self.counts), None))]
         ids, starts = encode_pieces(self.vocabulary, new)
         bytes_of, listed = self.vocabulary.bytes_of, ids.tolist()
-        for a, b in pairwise(starts.tolist()):
-            own = listed[a:b]
-            self.ids.append(ids[a:b])
-            self.counts.append(b - a)
-            self.decimal.append(",".join(map(str, own)))
-            self.decoded.append(b"".join(map(bytes_of.__getitem__, own)))
+        self.counts += np.diff(starts).tolist()
+        text_of, pieces = list(map(str, listed)), list(map(bytes_of.__getitem__, listed))
+        spans = list(pairwise(starts.tolist()))
+        self.decimal += [",".join(text_of[a:b]) for a, b in spans]
+        self.decoded += [b"".join(pieces[a:b]) for a, b in spans]
         self.size += sum(map(len, new)) * 4 + PIECE_BYTES * len(new)
 
     def many(self, texts: list[str | None]) -> Iterator[list[int]]:
-        """Each text as numbers of pieces, a special token being a number below 0 (its id's complement). What ``ids``, ``counts``, ``decimal``
-        and ``decoded`` say of these numbers holds until the next call."""
+        """Each text as numbers of pieces, a special token being a number below 0 (its id's complement). What ``counts``, ``decimal`` and
+        ``decoded`` say of these numbers holds until the next call."""
         if self.size > KNOWN_BYTES:
             self.forget()
         found = []

@@ -23,7 +23,7 @@ TEXTS = [
 
 def ids_of(texts):
     return [
-        [i for n in numbers for i in ([~n] if n < 0 else ENCODER.ids[n].tolist())] for numbers in ENCODER.many(texts)
+        [i for n in numbers for i in ([~n] if n < 0 else map(int, ENCODER.decimal[n].split(",")))] for numbers in ENCODER.many(texts)
     ]
 
 
