@@ -30,7 +30,7 @@ END_ID = 1
 OPEN_BINS = 4096
 LOT = 1 << 24
 HUGE = 4 << 20
-CACHED_BYTES = 64 << 20
+CACHED_BYTES = 160 << 20
 ENTRY_BYTES = 130  # what a remembered word takes besides its own bytes and those of its ids
 SLICE_BYTES = 4 << 20
 # A mark that ends a word after a letter or digit.
@@ -71,7 +71,7 @@ class WordEncoder:
         self.size += ENTRY_BYTES * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
     def _together(self, words: list[bytes], texts: list[str]) -> None:
-        ids = np.array(self.plain.encode(" ".join(texts), add_special_tokens=False).ids, "<u4")
+        ids = np.array(self.plain.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.flatnonzero(self.closes[ids]) + 1
         if len(ends) != len(words):
             self._each(words)
