@@ -30,18 +30,21 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id stays."""
+    """Of each group of near duplicates the document with the smallest id (null last) stays; of repeated rows one. Null and empty texts
+    are one group; no rows give none."""
     ship(spark)
     return simhash.keep_first(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents and parts of documents that the mix draws, once for each time."""
+    """The documents and parts of documents that the mix draws, once for each time. Texts without a word are not drawn; repeated rows
+    are documents each; no rows give none."""
     return mixing.mixed_documents(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of tokens: one row for each piece of a drawn text, with its sequence and place."""
+    """Sequences of tokens: one row for each piece of a drawn text, with its sequence and place. Null and empty texts are the end id
+    alone; repeated rows are packed each; no rows give none."""
     ship(spark)
     return packing.pack_documents(docs)
 
