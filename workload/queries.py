@@ -286,7 +286,8 @@ def statistics_of_ranges(spark, sf_dir):
     lake, root = feeds.lake(spark, sf_dir), scratch_dir(spark, "ranges")
     paths = write_daily_reports(spark, lake, *CALENDAR, report_root=root)
     estimated = statistics_over(read_sketches(spark, paths.of("daily_sketches")), RANGES)
-    exact = files.read_lake(spark, lake).join(estimated.select("first_day", "last_day"), F.col("event_date").between(F.col("first_day"), F.col("last_day")))
+    asked = estimated.select("first_day", "last_day", F.explode(F.sequence("first_day", "last_day")).alias("event_date"))
+    exact = files.read_lake(spark, lake).join(asked, "event_date")
     exact = exact.groupBy("first_day", "last_day").agg(F.count_distinct("product_id").alias("products"), F.count_distinct("user_id").alias("users"))
     both = estimated.join(exact, ["first_day", "last_day"], "left").na.fill(0, ["products", "users"])
 
