@@ -42,6 +42,11 @@ def file_system(spark: SparkSession, path: str) -> tuple[JavaObject, JavaObject]
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    system, at = file_system(spark, path)
+    return system.exists(at)
+
+
 def days_below(spark: SparkSession, path: str, day: str) -> dict[date, str]:
     """The day directories right below a path, by day, from one listing that does not descend. The directory of rows without a
     day is none of them."""

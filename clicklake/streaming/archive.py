@@ -1,4 +1,4 @@
-"""Messages to the date-partitioned Parquet lake. Narrow: no shuffle and no state."""
+"""Messages to the date-partitioned Parquet lake. Narrow: no shuffle and no state; ``streaming.once`` leaves repeated deliveries out."""
 
 from __future__ import annotations
 
@@ -15,13 +15,10 @@ def archive_rows(messages: DataFrame) -> DataFrame:
     return with_event_date(archivable(decode_events(messages)))
 
 
-def start_archive(
-    messages: DataFrame, root: str, every: str | None = S.ARCHIVE_TRIGGER, name: str = "raw-event-archive", checkpoint: str | None = None
-) -> StreamingQuery:
-    """Append every event with a readable time to the lake under ``root``; the checkpoint lies beside the data."""
+def append_to_lake(rows: DataFrame, root: str, every: str | None, name: str, checkpoint: str | None = None) -> StreamingQuery:
+    """Append a stream of lake rows to the lake under ``root``; the checkpoint lies beside the data."""
     writer = (
-        archive_rows(messages)
-        .writeStream.format("parquet")
+        rows.writeStream.format("parquet")
         .queryName(name)
         .outputMode("append")
         .partitionBy("event_date")
@@ -29,3 +26,10 @@ def start_archive(
         .option("checkpointLocation", checkpoint or f"{root.rstrip('/')}/{S.CHECKPOINTS}/{name}")
     )
     return triggered(writer, every).start()
+
+
+def start_archive(
+    messages: DataFrame, root: str, every: str | None = S.ARCHIVE_TRIGGER, name: str = "raw-event-archive", checkpoint: str | None = None
+) -> StreamingQuery:
+    """Append every event with a readable time to the lake under ``root``."""
+    return append_to_lake(archive_rows(messages), root, every, name, checkpoint)

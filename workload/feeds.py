@@ -113,13 +113,26 @@ def lake(spark: SparkSession, sf_dir: str) -> str:
 
 
 ARRIVALS = ("2024-01-08", "2024-01-15", "2024-01-22")
+REPEATS = ((5, 0), (7, 1), (11, 3))  # every so manieth event, how many weeks later
+
+
+def _wire_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All messages with the number of the week, 0 to 3, that they belong to."""
+    week = sum((F.to_date("event_time") >= F.lit(day).cast("date")).cast("int") for day in ARRIVALS)
+    fields = F.struct("event_id", "user_id", "product_id", "event_type", iso_text("event_time").alias("timestamp"))
+    return click_events(spark, sf_dir).select(F.to_json(fields).alias("value"), "event_id", "event_type", week.alias("week"))
 
 
 def arrivals(spark: SparkSession, sf_dir: str, late: bool) -> list[DataFrame]:
     """The messages in the parts that arrive one after the other: by week and, if asked, every third purchase a week late."""
-    week = sum((F.to_date("event_time") >= F.lit(day).cast("date")).cast("int") for day in ARRIVALS)
     delayed = (F.col("event_type") == "purchase") & (F.col("event_id") % 3 == 0)
-    part = week + F.when(delayed, 1).otherwise(0) if late else week
-    fields = F.struct("event_id", "user_id", "product_id", "event_type", iso_text("event_time").alias("timestamp"))
-    rows = click_events(spark, sf_dir).select(F.to_json(fields).alias("value"), part.alias("part"))
+    part = F.col("week") + F.when(delayed, 1).otherwise(0) if late else F.col("week")
+    rows = _wire_by_week(spark, sf_dir).withColumn("part", part)
     return [rows.where(F.col("part") == k).select("value") for k in range(len(ARRIVALS) + 1 + late)]
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The messages by week, some of them delivered again: every fifth at once, every seventh a week later, every eleventh three weeks later."""
+    again = [F.when(F.col("event_id") % every == 0, F.col("week") + weeks) for every, weeks in REPEATS]
+    rows = _wire_by_week(spark, sf_dir).select("value", F.explode(F.array_compact(F.array("week", *again))).alias("part"))
+    return [rows.where(F.col("part") == k).select("value") for k in range(len(ARRIVALS) + 1 + max(weeks for _, weeks in REPEATS))]

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from clicklake.functions.time import as_day
-from workload.feeds import ARRIVALS
-from workload.queries import CALENDAR, GAP_SECONDS, MIN_VIEWS, RANGES, RULE, SLICE
+from workload.feeds import ARRIVALS, REPEATS
+from workload.queries import CALENDAR, GAP_SECONDS, MIN_VIEWS, RANGES, REPEAT_DELAY, RULE, SLICE
 
 _CLICK = """click AS (
   SELECT event_id, ts AS event_time, CAST(ts AS DATE) AS event_date, user_id, event_type, value,
@@ -99,6 +99,14 @@ _LATE = f"""fed AS (
   SELECT event_id, user_id, json_extract_string(props, '$.k') AS product_id, event_type, ts AS event_time,
          {_WEEKS} + CASE WHEN event_type = 'purchase' AND event_id % 3 = 0 THEN 1 ELSE 0 END AS batch FROM events),
 marks AS (SELECT batch + 1 AS batch, max(max(event_time)) OVER (ORDER BY batch) - INTERVAL 10 MINUTE AS mark FROM fed GROUP BY batch)"""
+# Each delivery with its number among those of its id; one is behind if its time is not after the mark of the parts before.
+_DELIVERED = f"""fed AS (
+  SELECT event_id, ts, {_WEEKS} AS week FROM events),
+sent AS (
+  SELECT event_id, ts, week AS part FROM fed{"".join(f" UNION ALL SELECT event_id, ts, week + {weeks} FROM fed WHERE event_id % {every} = 0" for every, weeks in REPEATS)}),
+marks AS (SELECT part + 1 AS part, max(max(ts)) OVER (ORDER BY part) - INTERVAL {REPEAT_DELAY} AS mark FROM sent GROUP BY part),
+numbered AS (
+  SELECT event_id, coalesce(ts <= mark, false) AS behind, row_number() OVER (PARTITION BY event_id ORDER BY part) AS n FROM sent LEFT JOIN marks USING (part))"""
 _EDGE = RULE.slide_seconds * 1_000_000
 _MISSED = f"""(least(epoch_us(mark), epoch_us(event_time) + {RULE.window_seconds * 1_000_000}) // {_EDGE} - epoch_us(event_time) // {_EDGE})"""
 _RANGES = " UNION ALL ".join(f"SELECT DATE '{as_day(a)}' AS first_day, DATE '{as_day(b)}' AS last_day" for a, b in RANGES)
@@ -272,6 +280,20 @@ FROM fed JOIN marks USING (batch) WHERE event_time < mark""",
             select=f"""SELECT * FROM found WHERE epoch_us(last_event) + {GAP_SECONDS * 1_000_000}
   <= (SELECT epoch_ms(max(ts)) * 1000 - 600000000 FROM events)""",
         ),
+        "archive_once": _with(
+            _CLICK,
+            select="""SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(user_id AS VARCHAR) AS user_id, product_id, event_type, event_time, event_date
+FROM click""",
+        ),
+        "archive_once_accounts": _with(
+            _DELIVERED,
+            select="""SELECT count(*) AS delivered, count(*) FILTER (NOT behind AND n = 1) AS archived, count(*) FILTER (NOT behind AND n > 1) AS copies,
+  count(*) FILTER (behind) AS behind FROM numbered""",
+        ),
+        "top_products_stream": _with(
+            _CLICK,
+            select="SELECT product_id, count(*) AS view_count FROM click WHERE event_type = 'view' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5",
+        ),
         "statistics_of_ranges": _with(
             _WIRE,
             f"asked AS ({_RANGES})",

@@ -27,8 +27,10 @@ from clicklake.sources import files, inventory, sinks
 from clicklake.streaming.alerts import alert_rows, alert_writer, start_alerts
 from clicklake.streaming.archive import start_archive
 from clicklake.streaming.late import read_late_events, start_late_events
+from clicklake.streaming.once import read_accounts, start_archive_once, wait_and_account
 from clicklake.streaming.run import wait
 from clicklake.streaming.sessions import closed_sessions, start_sessions
+from clicklake.streaming.top import SummarySize, start_top_products, top_products_so_far
 from workload import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +42,8 @@ RULE = S.AlertRule(window_seconds=6 * 3600, slide_seconds=3600, min_views=2, pur
 CALENDAR = ("2023-12-25", "2024-02-05")
 SLICE = ("2024-01-10", "2024-01-12")
 RANGES = [("2024-01-01", "2024-01-31"), ("2024-1-3", "2024-1-9"), SLICE, ("2024-01-11", "2024-01-11"), ("2031-01-01", "2031-01-05")]
+REPEAT_DELAY = "8 days"
+SUMMARY_SIZE = SummarySize(buckets=4, counters=20)
 
 _QUERIES: dict[str, Query] = {}
 
@@ -248,10 +252,10 @@ def archive_stream(spark, sf_dir):
     return files.read_lake(spark, root)
 
 
-def _arrive(spark: SparkSession, sf_dir: str, late: bool, run: Callable[[str], object]) -> None:
-    """Let the parts of the feed arrive in a topic folder, and the job, restarted for each, read what is new."""
+def _arrive(spark: SparkSession, parts: list[DataFrame], run: Callable[[str], object]) -> None:
+    """Let the parts of a feed arrive in a topic folder, and the job, restarted for each, read what is new."""
     topic = scratch_dir(spark, "arrivals")
-    for part in feeds.arrivals(spark, sf_dir, late):
+    for part in parts:
         part.write.mode("append").text(topic)
         run(topic)
 
@@ -260,7 +264,7 @@ def _arrive(spark: SparkSession, sf_dir: str, late: bool, run: Callable[[str], o
 def late_events(spark, sf_dir):
     """Purchases that come a week late, found by a job that is restarted for every part of the feed."""
     root = scratch_dir(spark, "late")
-    _arrive(spark, sf_dir, True, lambda topic: wait(start_late_events(files.stream_messages(spark, topic), root, every=None, rule=RULE)))
+    _arrive(spark, feeds.arrivals(spark, sf_dir, late=True), lambda topic: wait(start_late_events(files.stream_messages(spark, topic), root, every=None, rule=RULE)))
     columns = ["event_id", "user_id", "product_id", "event_type", "event_time", "behind_seconds", "missed_windows", "batch"]
     return read_late_events(spark, root).select(*columns)
 
@@ -275,11 +279,48 @@ def session_stream(spark, sf_dir):
         closed = closed_sessions(files.stream_messages(session, topic), GAP_SECONDS, user_type="bigint")
         wait(start_sessions(closed, f"{out}/sessions", f"{out}/checkpoint", every=None))
 
-    _arrive(spark, sf_dir, False, run)
+    _arrive(spark, feeds.arrivals(spark, sf_dir, late=False), run)
     schema = "user_id bigint, session_start timestamp, last_event timestamp, events bigint, duration_seconds double"
     return spark.read.schema(schema).parquet(f"{out}/sessions")
 
 
+def _archive_once(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_dir(spark, "once")
+    session = stream_session(spark, state_partitions=spark.sparkContext.defaultParallelism)
+
+    def run(topic: str) -> None:
+        query = start_archive_once(files.stream_messages(session, topic), root, every=None, delay=REPEAT_DELAY)
+        wait_and_account(spark, query, f"{root}/accounts")
+
+    _arrive(spark, feeds.deliveries(spark, sf_dir), run)
+    return root
+
+
+@_query
+def archive_once(spark, sf_dir):
+    """A lake that holds each event once, from a feed that delivers some of them again and a job that is restarted for each part of it."""
+    return files.read_lake(spark, _archive_once(spark, sf_dir)).select("event_id", "user_id", "product_id", "event_type", "event_time", "event_date")
+
+
+@_query
+def archive_once_accounts(spark, sf_dir):
+    """What that job was given, archived, and left out as copies or as behind the watermark."""
+    found = read_accounts(spark, f"{_archive_once(spark, sf_dir)}/accounts")
+    return found.agg(*[F.sum(c).alias(c) for c in ("delivered", "archived", "copies", "behind")])
+
+
+@_query
+def top_products_stream(spark, sf_dir):
+    """The top products of a stream that is restarted for every week of its feed, from its bounded summary and the candidates' counts."""
+    root = scratch_dir(spark, "top")
+    _arrive(
+        spark,
+        feeds.arrivals(spark, sf_dir, late=False),
+        lambda topic: wait(start_top_products(files.stream_messages(spark, topic), root, every=None, size=SUMMARY_SIZE)),
+    )
+    return top_products_so_far(spark, root)
+
+
 @_query
 def statistics_of_ranges(spark, sf_dir):
     """Distinct counts of ranges of days from the daily run's sketches, each held against the exact count of the events."""
