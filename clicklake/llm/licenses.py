@@ -1,10 +1,13 @@
 """Licence notices found by a positional index of rare words.
 
-The templates' words are weighted by how rare they are among all documents (inverse document frequency). A template's three rarest
-words are its anchors; the index lists the templates and places that an anchor has. Each occurrence of an anchor in a file
-votes for the place where the template would start, and a start on which two anchors agree is a candidate: also one before the file's
-first word, as a file may open with its licence's title. It counts if the template's mandatory key phrase stands there word by word; its score is the share of the template's weight that stands at its place.
-Base phrases are found by themselves, wherever their words follow each other.
+The templates' words are weighted by how rare they are among all documents (inverse document frequency). The index lists, for
+each template, the places of its rarest word outside its mandatory key phrase and of the key phrase's rarest word. Each occurrence of these in a
+file gives a place where the template would start; the starts that both give are candidates. A candidate counts if the key phrase stands
+there word by word and, outside it, the rarest word and one more stand at their places. What a template has before the file's first word
+or after its last is not asked for, as a file may open with its licence's title: the rarest is that of the words left, and the fewer
+are left, the fewer must agree.
+The score is the share of the template's weight that stands at its place. Base phrases are found by themselves, wherever their words follow
+each other.
 
 All of it is DataFrame expressions on the text's array of words; nothing but the word counts is shuffled.
 """
@@ -19,8 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 # Upper-case letters are lowered before words are taken, so they are no part of the class.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 KELVIN, OTHER = "\u212a", "\u0138"  # the one other letter whose lower case is an ASCII letter; a letter without that
-ANCHORS = 3
-AGREEING = 2
+AGREEING = 2  # words outside the key phrase
 
 # Phrases and labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -41,12 +43,11 @@ class Template:
         key, words = self.key.split(), self.words
         return next(i for i in range(len(words)) if words[i : i + len(key)] == key)
 
-    def places(self) -> dict[str, int]:
-        """The first place of each distinct word."""
-        out: dict[str, int] = {}
-        for i, word in enumerate(self.words):
-            out.setdefault(word, i)
-        return out
+    @property
+    def outside(self) -> list[int]:
+        """The places that the key phrase does not take."""
+        after = self.key_at + len(self.key.split())
+        return [k for k in range(len(self.words)) if not self.key_at <= k < after]
 
 
 # Opening or notice lines of public licences, in lower case and without punctuation, with the words that must be there.
@@ -84,36 +85,54 @@ def _places(words: Column, hits: Column, word: str) -> Column:
 
 
 def _stands(words: Column, start: Column, phrase: list[str]) -> Column:
-    out = F.get(words, start) == phrase[0]
+    out = (start >= 0) & (F.get(words, start) == phrase[0])
     for k, word in enumerate(phrase[1:], 1):
         out = out & (F.get(words, start + k) == word)
     return F.coalesce(out, F.lit(False))
 
 
-def anchors(template: Template, weight: dict[str, float]) -> list[tuple[str, int]]:
-    """The template's rarest words, and those of its key phrase, with their places."""
-    rarest = sorted(template.places().items(), key=lambda p: (-weight[p[0]], p[0]))[:ANCHORS]
-    own = [(word, template.key_at + k) for k, word in enumerate(template.key.split())]
-    return list(dict.fromkeys(rarest + own))
+def by_rarity(words: list[str], places: list[int], weight: dict[str, float]) -> list[int]:
+    """The places, those of the rarest words first, ties by word and place."""
+    return sorted(places, key=lambda k: (-weight[words[k]], words[k], k))
+
+
+def anchors(template: Template, weight: dict[str, float]) -> tuple[int | None, int]:
+    """The places of the rarest word outside the key phrase, if there is any, and of the rarest within it."""
+    words, key = template.words, [k for k in range(len(template.words)) if k not in template.outside]
+    return next(iter(by_rarity(words, template.outside, weight)), None), by_rarity(words, key, weight)[0]
 
 
 def _share(words: Column, hits: Column, template: Template, weight: dict[str, float]) -> Column:
     """The largest share of the template's weight at a verified start; null if there is none."""
+    own, (rare, keyed) = template.words, anchors(template, weight)
 
-    def begins(word: str, at: int) -> Column:
-        return F.transform(_places(words, hits, word), lambda i: i - at)
+    def begins(at: int) -> Column:
+        return F.transform(_places(words, hits, own[at]), lambda i: i - at)
 
-    starts = [begins(word, at) for word, at in anchors(template, weight)]
-    agreed = [F.array_intersect(a, b) for k, a in enumerate(starts) for b in starts[k + 1 :]]
-    verified = F.filter(
-        F.array_distinct(F.concat(*agreed)), lambda s: _stands(words, s + template.key_at, template.key.split())
-    )
-    total = sum(weight[w] for w in template.words)
+    def stands(s: Column, k: int) -> Column:
+        return F.when((s + k >= 0) & (F.get(words, s + k) == own[k]), 1).otherwise(0)
+
+    def inside(s: Column, k: int) -> Column:
+        return (s + k >= 0) & (s + k < F.size(words))
+
+    def agrees(s: Column) -> Column:
+        if rare is None:
+            return F.lit(True)
+        held = sum((stands(s, k) for k in template.outside), F.lit(0))
+        asked = sum((inside(s, k).cast("int") for k in template.outside), F.lit(0))
+        first = [F.when(inside(s, k), stands(s, k) == 1) for k in by_rarity(own, template.outside, weight)]
+        return (held >= F.least(F.lit(AGREEING), asked)) & F.coalesce(*first, F.lit(True))
+
+    starts = begins(keyed)
+    if rare is not None:
+        starts = F.concat(F.array_intersect(starts, begins(rare)), F.filter(starts, lambda s: ~inside(s, rare)))
+    verified = F.filter(starts, lambda s: _stands(words, s + template.key_at, template.key.split()) & agrees(s))
+    total = sum(weight[w] for w in own)
 
     def mass(s: Column) -> Column:
         out = F.lit(0.0)
-        for k, word in enumerate(template.words):
-            out = out + F.when(F.get(words, s + k) == word, F.lit(weight[word])).otherwise(F.lit(0.0))
+        for k, word in enumerate(own):
+            out = out + stands(s, k) * F.lit(weight[word])
         return out / F.lit(total)
 
     return F.array_max(F.transform(verified, mass))
@@ -127,7 +146,7 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES, base: tup
     empty texts have no words and nothing found; repeated rows are rows; an empty table gives no rows.
     """
     weight = rarity(docs, templates)
-    looked_up = {w for t in templates for w, _ in anchors(t, weight)} | {p.split()[0] for p, _ in base}
+    looked_up = {t.words[k] for t in templates for k in anchors(t, weight) if k is not None} | {p.split()[0] for p, _ in base}
     words, hits = F.col("words"), F.col("hits")
     every = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.size(words) - 1)).otherwise(F.array().cast("array<int>"))
     rows = docs.select("doc_id", words_of(F.col("text")).alias("words"))

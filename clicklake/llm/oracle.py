@@ -88,16 +88,19 @@ seen AS (SELECT r, i, words[i + 1] AS word FROM (SELECT r, words, unnest(range(0
 found AS (SELECT r, i, word FROM seen WHERE word IN (SELECT word FROM vocabulary)),
 weight AS (
   SELECT v.word, ln(((SELECT count(*) FROM docs) + 1) / (count(DISTINCT f.r) + 1)) + 1 AS w FROM vocabulary v LEFT JOIN found f ON f.word = v.word GROUP BY v.word),
-anchors AS (
-  SELECT t, word, k FROM (SELECT t, word, min(k) AS k, row_number() OVER (PARTITION BY t ORDER BY any_value(w) DESC, word) AS n FROM slots JOIN weight USING (word) GROUP BY t, word) WHERE n <= {licenses.ANCHORS}),
-starts AS (
-  SELECT f.r, a.t, f.i - a.k AS s FROM found f JOIN anchors a ON f.word = a.word WHERE f.i >= a.k
-  GROUP BY ALL HAVING count(DISTINCT a.word) >= {licenses.AGREEING}),
+outside AS (SELECT t, k, word, w FROM slots JOIN templates p USING (t) JOIN weight USING (word) WHERE k < p.key_at OR k >= p.key_at + len(p.key)),
+keyed AS (
+  SELECT d.r, p.t, p.label, f.i - p.key_at AS s, d.words FROM templates p JOIN found f ON f.word = p.key[1] JOIN docs d USING (r)
+  WHERE d.words[f.i + 1 : f.i + len(p.key)] = p.key),
+agreeing AS (
+  SELECT r, t, s, count(*) FILTER (words[s + k + 1] = word) AS held, count(*) AS asked,
+         first(words[s + k + 1] = word ORDER BY w DESC, word, k) AS rarest
+  FROM keyed JOIN outside USING (t) WHERE s + k >= 0 AND s + k < len(words) GROUP BY ALL),
 verified AS (
-  SELECT s.*, p.label, d.words FROM starts s JOIN templates p USING (t) JOIN docs d USING (r)
-  WHERE d.words[s.s + p.key_at + 1 : s.s + p.key_at + len(p.key)] = p.key),
+  SELECT v.* FROM keyed v LEFT JOIN agreeing a USING (r, t, s)
+  WHERE coalesce(a.held >= least({licenses.AGREEING}, a.asked) AND a.rarest, true)),
 shares AS (
-  SELECT v.r, v.label, v.t, v.s, sum(w.w) FILTER (v.words[v.s + l.k + 1] = l.word) / sum(w.w) AS share
+  SELECT v.r, v.label, v.t, v.s, sum(w.w) FILTER (v.s + l.k >= 0 AND v.words[v.s + l.k + 1] = l.word) / sum(w.w) AS share
   FROM verified v JOIN slots l USING (t) JOIN weight w USING (word) GROUP BY ALL),
 places AS (
   SELECT e.r, e.i, b.label FROM base b JOIN seen e ON e.word = b.phrase[1] JOIN docs d ON d.r = e.r WHERE d.words[e.i + 1 : e.i + len(b.phrase)] = b.phrase),
