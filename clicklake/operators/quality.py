@@ -60,11 +60,16 @@ def category_mismatches(events: DataFrame, catalogue: DataFrame) -> DataFrame:
 
 
 def order_violations(events: DataFrame, arrival: str = "event_id", time: str = "event_time", chunk: int = 1_000_000) -> DataFrame:
-    """Per user: events, and how many lie before the event that arrived just ahead of them.
+    """Per user: events, and how many lie before the event that arrived just ahead of them."""
+    return order_per_user(events, arrival, time, chunk).select("user_id", "events", "violations")
 
-    ``arrival`` is an integer that grows with arrival. Events are shuffled once, by (user, chunk of arrival numbers): there copies of
-    one arrival are merged, and arrivals compared, so no task orders more than ``chunk`` arrivals of a user; last, the
-    chunks' edges are compared. The result is that of one ordering per user.
+
+def order_per_user(events: DataFrame, arrival: str = "event_id", time: str = "event_time", chunk: int = 1_000_000) -> DataFrame:
+    """The same, with the times of the user's first and last arrival (``head``, ``tail``) and the latest time of all (``seen``).
+
+    ``arrival`` is an integer that grows with arrival; events without one are one arrival, before the others. Events are shuffled once, by
+    (user, chunk of arrival numbers): there copies of one arrival are merged, and arrivals compared, so no task orders more than
+    ``chunk`` arrivals of a user; last, the chunks' edges are compared. The result is that of one ordering per user.
     """
     narrow = events.select("user_id", F.floor(F.col(arrival) / F.lit(chunk)).alias("chunk"), F.col(arrival).alias("arrival"), F.col(time).alias("at"))
     arrivals = narrow.repartition("user_id", "chunk").groupBy("user_id", "chunk", "arrival").agg(
@@ -72,17 +77,25 @@ def order_violations(events: DataFrame, arrival: str = "event_id", time: str = "
     )
     in_chunk = Window.partitionBy("user_id", "chunk").orderBy("arrival")
     compared = arrivals.withColumn("before", F.lag("last").over(in_chunk)).withColumn(
-        "opens", F.lag("arrival").over(in_chunk).isNull()
-    ).withColumn("closes", F.lead("arrival").over(in_chunk).isNull())
+        "opens", F.row_number().over(in_chunk) == 1
+    ).withColumn("closes", F.lead(F.lit(1)).over(in_chunk).isNull())
     chunks = compared.groupBy("user_id", "chunk").agg(
         F.sum("copies").alias("events"),
         F.count_if(F.col("first") < F.col("before")).alias("inner"),
         F.min(F.when(F.col("opens"), F.col("first"))).alias("head"),
         F.max(F.when(F.col("closes"), F.col("last"))).alias("tail"),
+        F.max("last").alias("seen"),
     )
     across = Window.partitionBy("user_id").orderBy("chunk")
     return (
         chunks.withColumn("edge", (F.col("head") < F.lag("tail").over(across)).cast("int"))
+        .withColumn("n", F.row_number().over(across))
         .groupBy("user_id")
-        .agg(F.sum("events").alias("events"), F.sum(F.col("inner") + F.coalesce("edge", F.lit(0))).alias("violations"))
+        .agg(
+            F.sum("events").alias("events"),
+            F.sum(F.col("inner") + F.coalesce("edge", F.lit(0))).alias("violations"),
+            F.min_by("head", "n").alias("head"),
+            F.max_by("tail", "n").alias("tail"),
+            F.max("seen").alias("seen"),
+        )
     )

@@ -47,6 +47,16 @@ def exists(spark: SparkSession, path: str) -> bool:
     return system.exists(at)
 
 
+def whole_batches(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of the folders ``batch=N`` below a path that were written to their end."""
+    system, at = file_system(spark, path)
+    if not system.exists(at):
+        return []
+    names = [status.getPath().getName() for status in system.listStatus(at)]
+    numbers = [int(n.removeprefix("batch=")) for n in names if n.startswith("batch=")]
+    return [n for n in numbers if exists(spark, f"{path}/batch={n}/_SUCCESS")]
+
+
 def days_below(spark: SparkSession, path: str, day: str) -> dict[date, str]:
     """The day directories right below a path, by day, from one listing that does not descend. The directory of rows without a
     day is none of them."""

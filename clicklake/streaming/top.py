@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from clicklake import schema as S
 from clicklake.operators.activity import product_view_counts
 from clicklake.operators.decode import decode_events
-from clicklake.sources.files import exists, file_system
+from clicklake.sources.files import exists, whole_batches
 from clicklake.streaming.run import triggered
 
 COUNTS = "product_id string, view_count bigint"
@@ -83,13 +83,7 @@ def start_top_products(
 
 def last_batch(spark: SparkSession, root: str) -> int:
     """The newest batch whose summary is whole; -1 if there is none. Batches are numbered without gaps."""
-    path = f"{root}/summary"
-    if not exists(spark, path):
-        return -1
-    system, at = file_system(spark, path)
-    named = [status.getPath().getName() for status in system.listStatus(at)]
-    batches = [int(name.removeprefix("batch=")) for name in named if name.startswith("batch=")]
-    return max((b for b in batches if exists(spark, f"{path}/batch={b}/_SUCCESS")), default=-1)
+    return max(whole_batches(spark, f"{root}/summary"), default=-1)
 
 
 def candidates(summary: DataFrame, k: int) -> tuple[DataFrame, bool, bool]:

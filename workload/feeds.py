@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clicklake.functions.time import iso_text
 from clicklake.operators.conversion import enrich_category
@@ -116,18 +116,35 @@ ARRIVALS = ("2024-01-08", "2024-01-15", "2024-01-22")
 REPEATS = ((5, 0), (7, 1), (11, 3))  # every so manieth event, how many weeks later
 
 
+def _week() -> Column:
+    return sum((F.to_date("event_time") >= F.lit(day).cast("date")).cast("int") for day in ARRIVALS)
+
+
 def _wire_by_week(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages with the number of the week, 0 to 3, that they belong to."""
-    week = sum((F.to_date("event_time") >= F.lit(day).cast("date")).cast("int") for day in ARRIVALS)
-    fields = F.struct("event_id", "user_id", "product_id", "event_type", iso_text("event_time").alias("timestamp"))
-    return click_events(spark, sf_dir).select(F.to_json(fields).alias("value"), "event_id", "event_type", week.alias("week"))
+    return _wire(click_events(spark, sf_dir).withColumn("week", _week()), "event_id")
+
+
+def _wire(events: DataFrame, event_id: str, *more: str) -> DataFrame:
+    fields = F.struct(F.col(event_id).alias("event_id"), "user_id", "product_id", "event_type", *more, iso_text("event_time").alias("timestamp"))
+    return events.withColumn("value", F.to_json(fields))
 
 
 def arrivals(spark: SparkSession, sf_dir: str, late: bool) -> list[DataFrame]:
     """The messages in the parts that arrive one after the other: by week and, if asked, every third purchase a week late."""
+    return _parts_by_week(_wire_by_week(spark, sf_dir), late)
+
+
+def labelled_arrivals(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """Those with late purchases, and with the product's category on each message."""
+    events = categorised_events(spark, sf_dir).withColumn("week", _week())
+    return _parts_by_week(_wire(events, "event_id", "category"), late=True)
+
+
+def _parts_by_week(wire: DataFrame, late: bool) -> list[DataFrame]:
     delayed = (F.col("event_type") == "purchase") & (F.col("event_id") % 3 == 0)
     part = F.col("week") + F.when(delayed, 1).otherwise(0) if late else F.col("week")
-    rows = _wire_by_week(spark, sf_dir).withColumn("part", part)
+    rows = wire.withColumn("part", part)
     return [rows.where(F.col("part") == k).select("value") for k in range(len(ARRIVALS) + 1 + late)]
 
 
@@ -136,3 +153,31 @@ def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     again = [F.when(F.col("event_id") % every == 0, F.col("week") + weeks) for every, weeks in REPEATS]
     rows = _wire_by_week(spark, sf_dir).select("value", F.explode(F.array_compact(F.array("week", *again))).alias("part"))
     return [rows.where(F.col("part") == k).select("value") for k in range(len(ARRIVALS) + 1 + max(weeks for _, weeks in REPEATS))]
+
+
+def numbered_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events with their arrival numbers; purchases arrive some fifty events late."""
+    late = F.when(F.col("event_type") == "purchase", 505).otherwise(0)
+    return click_events(spark, sf_dir).withColumn("arrival", F.col("event_id") * 10 + late)
+
+
+def by_arrival(spark: SparkSession, sf_dir: str, parts: int = 4) -> list[DataFrame]:
+    """These as messages, the arrival number as their id, in parts that arrive one after the other."""
+    rows = _wire(numbered_arrivals(spark, sf_dir), "arrival")
+    last = rows.agg(F.max("arrival").alias("last")).first()["last"] or 0
+    part = F.floor(F.col("arrival") * parts / F.lit(last + 1))
+    return [rows.where(part == k).select("value") for k in range(parts)]
+
+
+RENAMED, RENAMING_DAYS, LEAVING = "2024-01-01 12:00:00", 20, "6 days"
+
+
+def dated_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part is known by its type, and from some day in January on by its brand; oversized parts leave six days after that."""
+    parts = table(spark, sf_dir, "part")
+    renamed = F.lit(RENAMED).cast("timestamp_ntz") + F.make_dt_interval(F.col("p_partkey") % RENAMING_DAYS)
+    never = F.lit(None).cast("timestamp_ntz")
+    product = F.col("p_partkey").cast("string").alias("product_id")
+    first = parts.select(product, F.col("p_type").alias("category"), never.alias("valid_from"), never.alias("valid_to"))
+    left = F.when(F.col("p_size") > 40, renamed + F.expr(f"interval {LEAVING}"))
+    return first.unionByName(parts.select(product, F.col("p_brand").alias("category"), renamed.alias("valid_from"), left.alias("valid_to")))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clicklake.functions.time import as_day
-from workload.feeds import ARRIVALS, REPEATS
+from workload.feeds import ARRIVALS, LEAVING, RENAMED, RENAMING_DAYS, REPEATS
 from workload.queries import CALENDAR, GAP_SECONDS, MIN_VIEWS, RANGES, REPEAT_DELAY, RULE, SLICE
 
 _CLICK = """click AS (
@@ -116,6 +116,16 @@ def _with(*parts: str, select: str) -> str:
     return f"WITH {', '.join(parts)} {select}"
 
 
+_ORDER = _with(
+    _CLICK,
+    """compared AS (SELECT user_id, event_time, lag(event_time) OVER (PARTITION BY user_id
+  ORDER BY event_id * 10 + CASE WHEN event_type = 'purchase' THEN 505 ELSE 0 END) AS before FROM click)""",
+    select="SELECT user_id, count(*) AS events, count(*) FILTER (event_time < before) AS violations FROM compared GROUP BY 1",
+)
+_RENAME = f"TIMESTAMP '{RENAMED}' + to_days(CAST(p_partkey % {RENAMING_DAYS} AS INTEGER))"
+_DATED = f"""dated AS (
+  SELECT event_id, json_extract_string(props, '$.k') AS product_id, ts, p_type, p_brand, p_size, {_RENAME} AS renamed
+  FROM events LEFT JOIN part ON CAST(p_partkey AS VARCHAR) = json_extract_string(props, '$.k'))"""
 _OUTCOMES = """SELECT user_id, min(event_time) AS session_start, count(*) AS events,
   last(event_type ORDER BY event_time, event_id) AS last_event_type, bool_or(event_type = 'click') AS has_cart,
   last(event_type ORDER BY event_time, event_id) = 'purchase' AS ends_in_purchase
@@ -294,6 +304,14 @@ FROM click""",
             _CLICK,
             select="SELECT product_id, count(*) AS view_count FROM click WHERE event_type = 'view' GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5",
         ),
+        "open_alert_windows": _with(
+            _STREAMED,
+            select="""SELECT s AS start, s + INTERVAL 6 HOUR AS "end", product_id, views, purchases FROM hits
+WHERE s + INTERVAL 6 HOUR > (SELECT max(event_time) FROM valid) - INTERVAL 10 MINUTE""",
+        ),
+        "user_totals_stream": _with(_CLICK, _DAILY_USERS, select="SELECT * FROM users"),
+        "category_totals_stream": _with(_CLICK, _BY_TYPE, select=f"SELECT *, {_RATE} FROM by_type"),
+        "order_violations_stream": _ORDER,
         "statistics_of_ranges": _with(
             _WIRE,
             f"asked AS ({_RANGES})",
@@ -355,6 +373,11 @@ UNION ALL SELECT 'category_conversion_text', report_date, line FROM rate_lines""
             _STOCKED,
             select="SELECT event_id, product_id, coalesce(category, 'Other') AS category FROM click LEFT JOIN stocked USING (product_id)",
         ),
+        "enrich_category_as_of": _with(
+            _DATED,
+            select=f"""SELECT event_id, product_id, CASE WHEN p_type IS NULL THEN 'Other' WHEN ts < renamed THEN p_type
+  WHEN p_size > 40 AND ts >= renamed + INTERVAL '{LEAVING}' THEN 'Other' ELSE p_brand END AS category FROM dated""",
+        ),
         "user_sessions": _with(
             _CLICK,
             _SESSIONS,
@@ -421,12 +444,7 @@ SELECT event_id, count(*) AS copies FROM deliveries GROUP BY 1 HAVING count(*) >
             select="""SELECT product_id, category, count(*) AS events, p_type AS expected_category
 FROM wire JOIN part ON CAST(p_partkey AS VARCHAR) = product_id WHERE category IS DISTINCT FROM p_type GROUP BY ALL""",
         ),
-        "dq_order_violations": _with(
-            _CLICK,
-            """compared AS (SELECT user_id, event_time, lag(event_time) OVER (PARTITION BY user_id
-  ORDER BY event_id * 10 + CASE WHEN event_type = 'purchase' THEN 505 ELSE 0 END) AS before FROM click)""",
-            select="SELECT user_id, count(*) AS events, count(*) FILTER (event_time < before) AS violations FROM compared GROUP BY 1",
-        ),
+        "dq_order_violations": _ORDER,
     }
 
 

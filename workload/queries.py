@@ -19,6 +19,7 @@ from clicklake.operators import segments as G
 from clicklake.operators import sessions as N
 from clicklake.operators import traffic as M
 from clicklake.operators.alerts import flash_sale_alerts as detect
+from clicklake.operators.validity import enrich_category_as_of as as_of
 from clicklake.plans.batch import write_batch_reports
 from clicklake.plans.daily import write_daily_reports
 from clicklake.plans.distinct import read_sketches, relative_error, statistics_over
@@ -26,11 +27,14 @@ from clicklake.session import scratch_dir, stream_session
 from clicklake.sources import files, inventory, sinks
 from clicklake.streaming.alerts import alert_rows, alert_writer, start_alerts
 from clicklake.streaming.archive import start_archive
+from clicklake.streaming.audit import open_windows
 from clicklake.streaming.late import read_late_events, start_late_events
 from clicklake.streaming.once import read_accounts, start_archive_once, wait_and_account
+from clicklake.streaming.order import order_violations_so_far, start_order_check
 from clicklake.streaming.run import wait
 from clicklake.streaming.sessions import closed_sessions, start_sessions
 from clicklake.streaming.top import SummarySize, start_top_products, top_products_so_far
+from clicklake.streaming.totals import daily_category_totals, daily_user_totals, start_daily_totals
 from workload import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -228,20 +232,26 @@ def _alert_stream(spark: SparkSession, sf_dir: str, sink: str) -> str:
     session = stream_session(spark, state_partitions=spark.sparkContext.defaultParallelism)
     alerts = alert_rows(files.stream_messages(session, topic), RULE)
     wait(start_alerts(alert_writer(alerts, f"{out}/checkpoint", sink, path=f"{out}/alerts"), every=None))
-    return f"{out}/alerts"
+    return out
 
 
 @_query
 def flash_sale_stream(spark, sf_dir):
     return spark.read.schema(
         "start timestamp, end timestamp, product_id string, view_count bigint, purchase_count bigint, action string"
-    ).parquet(_alert_stream(spark, sf_dir, "parquet"))
+    ).parquet(f"{_alert_stream(spark, sf_dir, 'parquet')}/alerts")
+
+
+@_query
+def open_alert_windows(spark, sf_dir):
+    """The windows that the alert stream has counted and not yet judged when it stops, from its checkpoint."""
+    return open_windows(spark, f"{_alert_stream(spark, sf_dir, 'parquet')}/checkpoint")
 
 
 @_query
 def alert_messages(spark, sf_dir):
     """The alert stream as the JSON documents a message sink gets."""
-    return spark.read.text(_alert_stream(spark, sf_dir, "text"))
+    return spark.read.text(f"{_alert_stream(spark, sf_dir, 'text')}/alerts")
 
 
 @_query
@@ -321,6 +331,38 @@ def top_products_stream(spark, sf_dir):
     return top_products_so_far(spark, root)
 
 
+def _daily_totals(spark: SparkSession, sf_dir: str) -> str:
+    root = scratch_dir(spark, "totals")
+    _arrive(spark, feeds.labelled_arrivals(spark, sf_dir), lambda topic: wait(start_daily_totals(files.stream_messages(spark, topic), root, every=None)))
+    return root
+
+
+@_query
+def user_totals_stream(spark, sf_dir):
+    """Daily user activity kept up to date by a stream whose purchases partly come a week late, restarted for every part of the feed."""
+    totals = daily_user_totals(spark, _daily_totals(spark, sf_dir))
+    return totals.withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
+@_query
+def category_totals_stream(spark, sf_dir):
+    """Daily conversion by category, from the same job."""
+    return daily_category_totals(spark, _daily_totals(spark, sf_dir))
+
+
+@_query
+def order_violations_stream(spark, sf_dir):
+    """``dq_order_violations`` from a stream that is restarted for every quarter of the arrivals."""
+    root = scratch_dir(spark, "order")
+
+    def run(topic: str) -> None:
+        events = D.decode_events(files.stream_messages(spark, topic), "event_id", "user_id", "timestamp")
+        wait(start_order_check(events, root, every=None, keep_seconds=60 * 86_400, chunk=50_000))
+
+    _arrive(spark, feeds.by_arrival(spark, sf_dir), run)
+    return order_violations_so_far(spark, root).withColumn("user_id", F.col("user_id").cast("bigint"))
+
+
 @_query
 def statistics_of_ranges(spark, sf_dir):
     """Distinct counts of ranges of days from the daily run's sketches, each held against the exact count of the events."""
@@ -482,6 +524,13 @@ def enrich_category(spark, sf_dir):
     return labelled.select("event_id", "product_id", "category")
 
 
+@_query
+def enrich_category_as_of(spark, sf_dir):
+    """Over a catalogue in which each product is renamed once, and large ones leave it six days later."""
+    labelled = as_of(feeds.click_events(spark, sf_dir), feeds.dated_catalogue(spark, sf_dir))
+    return labelled.select("event_id", "product_id", "category")
+
+
 @_query
 def user_sessions(spark, sf_dir):
     return N.user_sessions(feeds.click_events(spark, sf_dir), GAP_SECONDS)
@@ -593,6 +642,4 @@ def dq_category_mismatch(spark, sf_dir):
 @_query
 def dq_order_violations(spark, sf_dir):
     """Over a feed in which purchases arrive some fifty events late."""
-    late = F.when(F.col("event_type") == "purchase", 505).otherwise(0)
-    events = feeds.click_events(spark, sf_dir).withColumn("arrival", F.col("event_id") * 10 + late)
-    return Q.order_violations(events, "arrival", chunk=50_000)
+    return Q.order_violations(feeds.numbered_arrivals(spark, sf_dir), "arrival", chunk=50_000)
