@@ -1,4 +1,4 @@
-"""Jobs for spark-submit: ``archive`` and ``alerts`` (streams from a topic), ``daily`` (reports for a range of days),
+"""Jobs for spark-submit: ``archive``, ``totals`` and ``alerts`` (streams from a topic), ``daily`` (reports for a range of days),
 ``batch`` (reports over a directory of JSON events) and ``inventory`` (what the lake holds).
 
 Storage credentials, cores and memory come from the submit-time configuration.
@@ -17,6 +17,7 @@ from clicklake.sources import inventory, kafka
 from clicklake.streaming.alerts import alert_rows, alert_writer, start_alerts
 from clicklake.streaming.archive import start_archive
 from clicklake.streaming.run import wait
+from clicklake.streaming.totals import start_daily_totals
 
 
 BACKFILL_OFFSETS = 20_000_000
@@ -39,6 +40,10 @@ def _parser() -> argparse.ArgumentParser:
     archive.add_argument("--lake", required=True)
     archive.add_argument("--every", default=S.ARCHIVE_TRIGGER)
 
+    totals = jobs.add_parser("totals", parents=[topic])
+    totals.add_argument("--root", required=True, help="folder of the daily totals and of the checkpoint")
+    totals.add_argument("--every", default=S.ALERT_TRIGGER)
+
     alerts = jobs.add_parser("alerts", parents=[topic])
     alerts.add_argument("--alerts-topic", default="alerts-notifications")
     alerts.add_argument("--checkpoint", required=True)
@@ -65,6 +70,7 @@ def _parser() -> argparse.ArgumentParser:
     batch.add_argument("--input", required=True)
     batch.add_argument("--reports", required=True)
     batch.add_argument("--report-date", default=date.today().isoformat())
+    batch.add_argument("--schema", default=S.EVENT_SCHEMA, help="types of the events' fields as DDL, for users that are numbers")
 
     inventory_of = jobs.add_parser("inventory", parents=[days])
     inventory_of.add_argument("--output", required=True, help="folder for one JSON row per day; replaced")
@@ -91,6 +97,8 @@ def main(argv: list[str] | None = None) -> None:
     every = None if getattr(args, "backfill", False) else getattr(args, "every", None)
     if args.job == "archive":
         wait(start_archive(kafka.read_topic(spark, _topic_options(args)), args.lake, every))
+    elif args.job == "totals":
+        wait(start_daily_totals(kafka.read_topic(spark, _topic_options(args)), args.root, every))
     elif args.job == "alerts":
         rule = S.AlertRule(args.window_seconds, args.slide_seconds, args.min_views, args.purchases_below)
         messages = kafka.read_topic(stream_session(spark, args.state_partitions), _topic_options(args))
@@ -99,7 +107,7 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "daily":
         write_daily_reports(spark, args.lake, args.first, args.last or args.first, args.reports, args.top, args.min_views)
     elif args.job == "batch":
-        write_batch_reports(spark, args.input, args.reports, args.report_date, args.top, args.min_views)
+        write_batch_reports(spark, args.input, args.reports, args.report_date, args.top, args.min_views, args.schema)
     else:
         known = inventory.partition_metadata(spark, args.lake)
         presence = inventory.partition_presence(known, args.first, args.last or args.first)
