@@ -49,9 +49,7 @@ class WordEncoder:
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.older: dict[bytes, bytes] = {}
-        self.size = 0
+        self.forget()
         # The same model (shared, not read again) for words that are normalised already: composed, lower case and one piece each.
         self.plain = Tokenizer(self.tokenizer.model)
         self.plain.normalizer = normalizers.Sequence([])
@@ -62,6 +60,11 @@ class WordEncoder:
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
+    def forget(self) -> None:
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
+        self.size = 0
+
     def _each(self, words: list[bytes]) -> None:
         found = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
         self._keep(words, [np.array(x.ids, "<u4").tobytes() for x in found])
@@ -135,9 +138,12 @@ def encoder(path: str) -> WordEncoder:
     return kept(("words", path), lambda: WordEncoder(path))
 
 
-def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
+def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end_id: int = END_ID, keep_ids: bool = False, forget: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if asked, ids (little-endian unsigned 32-bit binary).
 
+    With ``forget``, a task that ends gives up the words it has met: other stages follow on the same executors, where idle workers would
+    hold them for a minute beside what those stages need.
+
     ``docs``: doc_id and text; other columns are not used. Null and empty texts are the end id alone. Repeated rows are packed
     each; an empty table gives no rows.
     """
@@ -145,17 +151,21 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
-        for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
-            at, rows = [], []
-            for row, ids in enumerate(encode.many(batch.column("text").to_pylist())):
-                ids += end
-                for k, start in enumerate(range(0, len(ids), 4 * size)):
-                    part = ids[start : start + 4 * size]
-                    at.append(row)
-                    rows.append((k, k * size, len(part) // 4, zlib.crc32(part), *([part] if keep_ids else [])))
-            types = {"piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), **({"ids": pa.binary()} if keep_ids else {})}
-            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types.values(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *columns], ["doc_id", *types])
+        try:
+            for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
+                at, rows = [], []
+                for row, ids in enumerate(encode.many(batch.column("text").to_pylist())):
+                    ids += end
+                    for k, start in enumerate(range(0, len(ids), 4 * size)):
+                        part = ids[start : start + 4 * size]
+                        at.append(row)
+                        rows.append((k, k * size, len(part) // 4, zlib.crc32(part), *([part] if keep_ids else [])))
+                types = {"piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), **({"ids": pa.binary()} if keep_ids else {})}
+                columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(at, pa.int64())), *columns], ["doc_id", *types])
+        finally:
+            if forget:
+                encode.forget()
 
     return docs.select("doc_id", "text").mapInArrow(cut, schema + (", ids binary" if keep_ids else ""))
 
@@ -234,7 +244,8 @@ def pack_documents(
     open_bins: int = OPEN_BINS,
     lot: int = LOT,
     keep_ids: bool = False,
+    forget: bool = False,
 ) -> DataFrame:
     """Every document's pieces with the sequence and the place they got; see ``token_pieces`` and ``pack``."""
     path = tokenizer_path or public_tokenizers.path(VOCABULARY)
-    return pack(written(token_pieces(docs, path, size, end_id, keep_ids), "pieces"), size, open_bins, lot)
+    return pack(written(token_pieces(docs, path, size, end_id, keep_ids, forget), "pieces"), size, open_bins, lot)

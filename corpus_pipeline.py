@@ -46,7 +46,7 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Sequences of tokens: one row for each piece of a drawn text, with its sequence and place. Null and empty texts are the end id
     alone; repeated rows are packed each; no rows give none."""
     ship(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, forget=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

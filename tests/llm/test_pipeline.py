@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from clicklake.llm import language, packing, toxicity
+from clicklake.llm import common, language, packing, toxicity
 from clicklake.llm.common import written
 from tests.llm.test_mixing import brute_targets
 from tests.llm.test_simhash import brute_components, brute_fingerprint
@@ -141,3 +141,37 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOCUMENTS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).where(F.lit(True)).count() == 0
+
+
+def test_a_worker_that_waits_after_packing_holds_no_words(spark, corpus):
+    def held(batches):
+        import os
+
+        import pyarrow as pa
+
+        from clicklake.llm import common
+
+        for batch in batches:
+            found = [len(e.known) + len(e.older) for key, e in common._KEPT.items() if key[0] == "words"]
+            yield pa.RecordBatch.from_pydict({"worker": pa.array([os.getpid()] * len(found), pa.int64()), "n_words": pa.array(found, pa.int64())})
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet").repartition(8)
+    assert written(corpus_pipeline.packing_stage(spark, docs, corpus), "test-forgets").count() > 0
+    after = spark.range(0, 64, 1, 64).mapInArrow(held, "worker long, n_words long").collect()
+    assert after and {r.n_words for r in after} == {0}
+
+
+def test_batches_of_texts_are_small_unless_the_session_says_otherwise(spark):
+    def sizes(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([batch.nbytes], pa.int64())})
+
+    texts = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("text"))
+    found = [r.n for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(found) >= 40 << 20 and max(found) <= 10 << 20
+    own = spark.newSession()
+    own.conf.set(common.BATCH_BYTES, "32m")
+    common.ship(own)
+    assert own.conf.get(common.BATCH_BYTES) == "32m"
