@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clicklake.llm.common import CHUNK, kept, text_chunks, unit
+from clicklake.llm.common import kept, text_chunks, unit
 
 UNKNOWN = "und"
 SPAN = 24
@@ -266,7 +266,7 @@ class Pool:
         return self.pooled(sum((self.add(runs(chunk)) for chunk in text_chunks(text or "")), np.zeros(self.sums.shape[1])))
 
     def predict_all(self, texts: Iterable[str | None]) -> Iterator[tuple[str, float]]:
-        """As ``predict`` for each text; new runs are learnt for about a MiB of texts at once, which stand in memory as runs."""
+        """As ``predict`` for each text; new runs are learnt for some MiB of texts at once."""
         held, size = [], 0
         for text in texts:
             if text is not None and len(text) > HUGE:  # alone, and its runs a MiB at a time
@@ -276,7 +276,7 @@ class Pool:
                 continue
             held.append(runs(text or ""))
             size += len(text or "")
-            if size > CHUNK:
+            if size > HUGE:
                 yield from self._drain(held)
                 held, size = [], 0
         yield from self._drain(held)
