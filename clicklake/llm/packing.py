@@ -11,6 +11,7 @@ that a task run again packs alike. A task holds the open bins only.
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -23,39 +24,49 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-from clicklake.llm.common import byte_words, kept, slices, written
+from clicklake.llm.common import byte_chunks, kept, slices, written
 
 SEQUENCE = 4096
 END_ID = 1
 OPEN_BINS = 4096
 LOT = 1 << 24
 HUGE = 4 << 20
-CACHED_BYTES = 160 << 20
+CACHED_BYTES = 96 << 20
 ENTRY_BYTES = 130  # what a remembered word takes besides its own bytes and those of its ids
 SLICE_BYTES = 4 << 20
-# A mark that ends a word after a letter or digit.
-_MARK = re.compile(rb"(?<=[0-9A-Za-z])[,.!?;:|](?=[ \t-\r]|\Z)")
 VOCABULARY = "word_bpe_49k.json"
+LEARNT = 1 << 15
+# Bytes by kind: white space, letter or digit, a mark that may end a word, any other.
+_SPACE, _LETTER, _MARK, _OTHER = range(4)
+_KIND = np.full(256, _OTHER, np.uint8)
+for _kind, _bytes in ((_SPACE, b" \t\n\v\f\r"), (_LETTER, (string.ascii_letters + string.digits).encode()), (_MARK, b",.!?;:|")):
+    _KIND[list(_bytes)] = _kind
+_VISIBLE = re.compile(rb"[!-~]+")
+# The vocabulary's pieces of a word of visible ASCII characters.
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class WordEncoder:
-    """Ids of a text as little-endian bytes. The vocabulary's pre-tokenizer drops white space, so a text's ids are those of its words,
-    and the words met before need no second encoding. Words are remembered in two generations of half of ``CACHED_BYTES`` each: when
-    the younger is full, the older is forgotten; a word met again moves to the younger.
+    """Ids of a text as little-endian bytes. The vocabulary's pre-tokenizer drops white space, so a text's ids are those of its words.
+    The words of many texts are told apart by Arrow, and each different one is looked up once; the words met before need no second
+    encoding. Words are remembered in two generations of half of ``CACHED_BYTES`` each: when the younger is full, the older is
+    forgotten; a word met again moves to the younger.
 
     A mark that ends a word after a letter or digit is a word of its own, as letters, digits and other marks never share a token. New
-    words of letters alone are encoded together: each is one piece there, whose last token closes a word.
+    words of letters alone or of visible ASCII characters are encoded together, piece by piece: the last token of a piece closes a word.
     """
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.forget()
-        # The same model (shared, not read again) for words that are normalised already: composed, lower case and one piece each.
-        self.plain = Tokenizer(self.tokenizer.model)
-        self.plain.normalizer = normalizers.Sequence([])
+        # The same model (shared, not read again) for pieces that are normalised already (composed, lower case), the second for ASCII.
+        self.plain, self.ascii = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
+        self.plain.normalizer = self.ascii.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence(
             [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
         )
+        self.ascii.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.control = [str(token).lower().encode() for token in self.tokenizer.get_added_tokens_decoder().values()]
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
@@ -73,13 +84,17 @@ class WordEncoder:
         self.known.update(zip(words, ids, strict=True))
         self.size += ENTRY_BYTES * len(words) + sum(map(len, words)) + sum(map(len, ids))
 
-    def _together(self, words: list[bytes], texts: list[str]) -> None:
-        ids = np.array(self.plain.encode_batch_fast([" ".join(texts)], add_special_tokens=False)[0].ids, "<u4")
+    def _together(self, tokenizer: Tokenizer, words: list[bytes], texts: list[str], pieces: list[int]) -> None:
+        """The words' texts have their pieces parted by spaces; ``pieces`` has how many."""
+        ids = []
+        for i in range(0, len(texts), 64):  # longer texts cost the library more a word
+            ids += tokenizer.encode_batch_fast([" ".join(texts[i : i + 64])], add_special_tokens=False)[0].ids
+        ids, last = np.array(ids, "<u4"), np.cumsum(pieces) - 1
         ends = np.flatnonzero(self.closes[ids]) + 1
-        if len(ends) != len(words):
+        if len(ends) != last[-1] + 1:
             self._each(words)
             return
-        data, ends = ids.tobytes(), (4 * ends).tolist()
+        data, ends = ids.tobytes(), (4 * ends[last]).tolist()
         self._keep(words, [data[i:j] for i, j in zip([0, *ends], ends, strict=False)])
 
     def learn(self, words: set[bytes]) -> None:
@@ -88,49 +103,90 @@ class WordEncoder:
         older = self.older
         again = [w for w in words if w in older]
         self._keep(again, list(map(older.__getitem__, again)))
-        alone, together, texts = [], [], []
+        alone, ascii, plain = [], ([], [], []), ([], [], [])
         for word in words.difference(again):
-            text = word.decode("utf-8", "replace")
-            plain = text.lower() if word.isascii() else unicodedata.normalize("NFC", text).lower()
-            if plain.isalpha() and "ς" not in plain:  # a final sigma is the one letter whose lower case depends on its place
-                together.append(word)
-                texts.append(plain)
+            if word.isalpha():  # ASCII letters
+                kind, text, pieces = ascii, word.decode().lower(), 1
+            elif _VISIBLE.fullmatch(word):
+                lower = word.lower()
+                if any(token in lower for token in self.control):
+                    alone.append(word)
+                    continue
+                parts = _PIECE.findall(lower.decode())
+                kind, text, pieces = ascii, " ".join(parts), len(parts)
             else:
-                alone.append(word)
-        for i in range(0, len(together), 1024):
-            self._together(together[i : i + 1024], texts[i : i + 1024])
+                kind, text, pieces = plain, unicodedata.normalize("NFC", word.decode("utf-8", "replace")).lower(), 1
+                if not text.isalpha() or "ς" in text:  # a final sigma is the one letter whose lower case depends on its place
+                    alone.append(word)
+                    continue
+            for column, value in zip(kind, (word, text, pieces), strict=True):
+                column.append(value)
+        for tokenizer, columns in ((self.ascii, ascii), (self.plain, plain)):
+            for i in range(0, len(columns[0]), 1024):
+                self._together(tokenizer, *(column[i : i + 1024] for column in columns))
         self._each(alone)
 
-    def many(self, texts: Iterable[str | None]) -> Iterator[bytes]:
-        """The ids of each text; new words are learnt for about a MiB of texts at once."""
-        held, size = [], 0
-        for text in texts:
-            data = _MARK.sub(rb" \g<0>", (text or "").encode("utf-8", "replace"))
-            if len(data) > HUGE:  # alone, and its words a MiB at a time
-                yield from self._drain(held)
-                held, size = [], 0
-                yield b"".join(next(self._drain([words])) for words in byte_words(data))
-                continue
-            held.append([w for words in byte_words(data) for w in words])
-            size += len(held[-1])
-            if size > 150_000:
-                yield from self._drain(held)
-                held, size = [], 0
-        yield from self._drain(held)
-
-    def _drain(self, held: list[list[bytes]]) -> Iterator[bytes]:
-        every = [w for words in held for w in words]
-        found = list(map(self.known.get, every))
-        if None in found:
-            missing = [i for i, ids in enumerate(found) if ids is None]
-            self.learn({every[i] for i in missing})
+    def many(self, texts: pa.Array | Iterable[str | None]) -> Iterator[bytes]:
+        """The ids of each text; words are looked up for about ``SLICE_BYTES`` of texts at once, those of a huge text a MiB at a time."""
+        if not isinstance(texts, pa.Array):
+            texts = pa.array([(text or "").encode("utf-8", "replace") for text in texts], pa.large_binary())
+        for part in slices(pa.record_batch([texts.cast(pa.large_binary()).fill_null(b"")], ["text"]), "text", SLICE_BYTES):
+            column = part.column(0)
+            bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset :][: len(column) + 1]
+            data = np.frombuffer(column.buffers()[2] or b"", np.uint8)
+            # The last text may be longer than all of a slice's bytes.
+            usual = len(column) - int(bounds[-1] - bounds[-2] > HUGE)
+            if usual:
+                yield from self._drain(data[bounds[0] : bounds[usual]], bounds[: usual + 1] - bounds[0])
+            for i in range(usual, len(column)):
+                text = data[bounds[i] : bounds[i + 1]]
+                yield b"".join(next(self._drain(chunk, np.array([0, len(chunk)]))) for chunk in byte_chunks(text))
+
+    def _drain(self, data: np.ndarray, bounds: np.ndarray) -> Iterator[bytes]:
+        """Ids of the texts that lie in ``data`` between ``bounds``."""
+        words, counts = self._words(data, bounds)
+        words = words.dictionary_encode()
+        different = words.dictionary.to_pylist()
+        found = list(map(self.known.get, different))
+        missing = [i for i, ids in enumerate(found) if ids is None]
+        for k in range(0, len(missing), LEARNT):
+            self.learn({different[i] for i in missing[k : k + LEARNT]})
             known = self.known
-            for i in missing:
-                found[i] = known[every[i]]
-        at = 0
-        for words in held:
-            yield b"".join(found[at : at + len(words)])
-            at += len(words)
+            for i in missing[k : k + LEARNT]:
+                found[i] = known[different[i]]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        lengths = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        codes = words.indices.to_numpy()
+        taken = lengths[codes]
+        ends = np.zeros(len(taken) + 1, np.int32)
+        np.cumsum(taken, out=ends[1:])
+        at = np.repeat((np.cumsum(lengths, dtype=np.int32) - lengths)[codes] - ends[:-1], taken)
+        at += np.arange(len(at), dtype=np.int32)
+        out, places = ids[at].tobytes(), (4 * ends[counts].astype(np.int64)).tolist()
+        for i, j in zip(places, places[1:], strict=False):
+            yield out[i:j]
+
+    def _words(self, data: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """All words in their order, and how many of them lie before each bound. A capital ASCII letter is a small one there, unless a
+        mark to be composed with it may follow or a control token stands in the texts."""
+        kinds = _KIND[data]
+        word = kinds != _SPACE
+        starts = np.zeros(len(data) + 1, bool)
+        starts[bounds] = True
+        ends = starts[1:].copy()
+        ends[:-1] |= ~word[1:]
+        inside = ~starts[1:-1]  # from the second byte: the byte before is of the same text
+        begins = word.copy()
+        begins[1:] &= ~(word[:-1] & inside) | ((kinds[1:] == _MARK) & (kinds[:-1] == _LETTER) & ends[1:])
+        counts = np.searchsorted(np.flatnonzero(begins), bounds)
+        begins = begins[word]
+        offsets = np.append(np.flatnonzero(begins), len(begins)).astype(np.int32)
+        capital = (data - ord("A")) < 26
+        capital[:-1] &= data[1:] < 128
+        lower = data | (capital.view(np.uint8) << 5)
+        whole = lower.tobytes()
+        packed = (data if any(token in whole for token in self.control) else lower)[word]
+        return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(packed)]), counts
 
 
 def encoder(path: str) -> WordEncoder:
@@ -154,7 +210,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = SEQUENCE, end
         try:
             for batch in (part for whole in batches for part in slices(whole, "text", SLICE_BYTES)):
                 at, rows = [], []
-                for row, ids in enumerate(encode.many(batch.column("text").to_pylist())):
+                for row, ids in enumerate(encode.many(batch.column("text"))):
                     ids += end
                     for k, start in enumerate(range(0, len(ids), 4 * size)):
                         part = ids[start : start + 4 * size]

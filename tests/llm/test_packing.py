@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
@@ -46,6 +47,29 @@ def test_a_full_memory_and_a_huge_text(tokenizer, monkeypatch):
     assert list(encode.many(texts)) == [plain(tokenizer, t) for t in texts]
 
 
+def test_each_different_word_is_looked_up_once(tokenizer):
+    class Counted(dict):
+        looked_up = 0
+
+        def get(self, key):
+            self.looked_up += 1
+            return super().get(key)
+
+    encode, texts = packing.WordEncoder(PATH), ["The house, the HOUSE: the old house."] * 500
+    encode.known = Counted()
+    assert list(encode.many(texts)) == [plain(tokenizer, texts[0])] * 500
+    assert encode.known.looked_up <= 7
+
+
+def test_texts_side_by_side_do_not_touch(tokenizer):
+    texts = ["H", "\u0331 A.", ".", "", "A.", "!", "<|ENDOFTEXT|>", "x", None, "don'T 'Tis", "A\x1cB,\x85C. D", "Σ", "A", "\u030a", "it's,\n(A1b2)..."]
+    expected = [plain(tokenizer, t or "") for t in texts]
+    assert list(packing.WordEncoder(PATH).many(texts)) == expected
+    assert list(packing.WordEncoder(PATH).many(pa.array(texts)[3:])) == expected[3:]
+    texts.append("<|endoftext|> A<|STARTOFTEXT|> B<|startoftext|>")  # no capital may become small beside a control token
+    assert list(packing.WordEncoder(PATH).many(pa.array(texts))) == [*expected, plain(tokenizer, texts[-1])]
+
+
 def test_the_bound_on_open_bins_closes_bins_and_costs_little():
     rng = random.Random(2)
     lengths = [min(4096, int(30 * 1.002 ** (3 * rng.randint(1, 900)))) for _ in range(20_000)]
