@@ -13,6 +13,7 @@ from clicklake.plans.daily import write_daily_reports
 from clicklake.session import sized_shuffles
 from clicklake.sources import files, inventory, sinks
 from clicklake.streaming.archive import archive_rows
+from workload import queries
 
 
 def event(i, user, product, kind, category, time):
@@ -162,6 +163,31 @@ def test_rerun_replaces_its_days_only(spark, tmp_path, rows):
         assert rows(got) == [("a", 1, date(2026, 5, 10)), ("b", 9, date(2026, 5, 11))]
 
 
+def test_long_lines_are_made_after_the_gathering(spark, tmp_path, rows, plan, monkeypatch):
+    kinds = [("view", "x" * 2_000), ("view", "x" * 2_000), ("click", "y"), (None, "z"), ("click", None)]
+    events = [(i, datetime(2026, 5, 1 + i % 3) if i % 4 else None, i, kinds[i % 5][0], 1.0, kinds[i % 5][1]) for i in range(120)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    spark.createDataFrame(events, schema).repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    put, written = sinks._replace_days, []
+    monkeypatch.setattr(sinks, "_replace_days", lambda lines, *more, **named: (written.append(lines), put(lines, *more, **named)))
+    found = rows(queries.partition_metadata(spark, str(tmp_path)))
+
+    sizes = {}
+    for _, at, _, kind, _, props in events:
+        day = at and at.date()
+        sizes[day] = sizes.get(day, 0) + (len(kind) + 1 + 400 * len(props) if kind and props else 0) + 1
+    assert found == sorted(((d, round(n / 2**20, 2), True, True) for d, n in sizes.items()), key=repr)
+
+    (lines,) = written
+    shown = plan(lines)
+    assert shown.index("repeat(") < shown.index("Sort [") < shown.index("Exchange ") and shown.count("repeat(") == 1
+    lines.createOrReplaceTempView("long_lines")
+    spark.sql(f"CREATE TABLE long_lines_by_day (line string, event_date date) USING text PARTITIONED BY (event_date) LOCATION '{tmp_path}/t'")
+    shown = spark.sql("EXPLAIN INSERT INTO long_lines_by_day SELECT line, event_date FROM long_lines").first()[0]
+    spark.sql("DROP TABLE long_lines_by_day")
+    assert "WriteFiles" in shown and shown.count("Sort [") == 1
+
+
 def test_text_report_is_one_ordered_file_per_day(spark, tmp_path):
     lines = [(date(2026, 5, d), n, f"{d} line {n:03d}") for d in range(1, 9) for n in range(60, 0, -1)]
     frame = spark.createDataFrame(lines, "report_date date, line_no int, line string").repartition(5)
